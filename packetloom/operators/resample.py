@@ -63,7 +63,9 @@ def resample_time(df: DataFrame, rate_hz: float, duration_s: float | None = None
         last = F.coalesce(F.ceil(after * rate) + 1, grid_length(span, rate_hz) - 1)
     grid = explode_range(rows, first, last, "_k").withColumn("_at", F.col("_k") / rate)
     grid = grid.where((F.col("_at") >= F.col(time)) & (after.isNull() | (F.col("_at") < after)))
-    run, x = after - F.col(time), F.col("_at") - F.col(time)
+    # columns of their own: below, the name of the time column already means the grid point
+    grid = grid.withColumn("_run", after - F.col(time)).withColumn("_x", F.col("_at") - F.col(time))
+    run, x = F.col("_run"), F.col("_x")
     values = [F.when(after.isNull(), as_floats(s))
               .otherwise(_on_line(F.col(s), F.col(f"_next.{s}"), run, x)).alias(s)
               for s in signals]
@@ -145,8 +147,10 @@ def resample_index_linear(df: DataFrame, lengths: DataFrame, signals: Sequence[s
     grid = explode_range(rows, first.cast("long"), last.cast("long"), "_j")
     weight = F.when(keep | lone, F.lit(0.0)).otherwise(
         (F.col("_j") * gaps - i * steps).cast("double") / F.when(steps > 0, steps).otherwise(1))
-    values = [F.when(F.col("_next").isNull() | (weight == 0), as_floats(s))
-              .otherwise(_between(F.col(s), F.col(f"_next.{s}"), weight)).alias(s) for s in signals]
+    grid = grid.withColumn("_weight", weight)
+    values = [F.when(F.col("_next").isNull() | (F.col("_weight") == 0), as_floats(s))
+              .otherwise(_between(F.col(s), F.col(f"_next.{s}"), F.col("_weight"))).alias(s)
+              for s in signals]
     return grid.select(*keys, F.col("_j").alias("packet_index"), *values)
 
 

@@ -24,6 +24,7 @@ def get_session(app_name: str = "packetloom", master: str | None = None,
         # split a hot join key even when that costs one more exchange
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     if master:
         builder = builder.master(master)

@@ -1,0 +1,18 @@
+"""Registered queries: every operator over the given tables, with the same answer in SQL."""
+
+from __future__ import annotations
+
+import importlib
+
+MODULES = ("timeline", "signals")
+
+
+def load(kind: str) -> dict:
+    out: dict = {}
+    for name in MODULES:
+        part = getattr(importlib.import_module(f"packetloom.workload.{name}"), kind)
+        clash = set(out) & set(part)
+        if clash:
+            raise ValueError(f"query registered twice: {sorted(clash)}")
+        out.update(part)
+    return out
