@@ -18,6 +18,15 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def bind(value: Column, use) -> Column:
+    """Evaluate ``value`` once per row and hand it to ``use``.
+
+    What a lambda refers to is evaluated again for every element; a large array or a mean inside
+    one would make a packet quadratic.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def as_floats(c) -> Column:
     return F.transform(_col(c), lambda x: x.cast("float"))
 
@@ -44,9 +53,8 @@ def polar_imag(amp, angle) -> Column:
 
 def take(c, indices) -> Column:
     """The elements at ``indices`` (an array Column), those outside the array left out."""
-    arr, idx = _col(c), _col(indices)
-    return F.transform(F.filter(idx, lambda i: (i >= 0) & (i < F.size(arr))),
-                       lambda i: F.get(arr, i))
+    return bind(_col(c), lambda arr: F.transform(
+        F.filter(_col(indices), lambda i: (i >= 0) & (i < F.size(arr))), lambda i: F.get(arr, i)))
 
 
 def kept_indices(c, indices) -> Column:
@@ -55,7 +63,8 @@ def kept_indices(c, indices) -> Column:
 
 
 def drop_indices(c, indices) -> Column:
-    return F.filter(_col(c), lambda x, i: ~F.array_contains(_col(indices), i))
+    return bind(_col(indices), lambda drop: F.filter(
+        _col(c), lambda x, i: ~F.array_contains(drop, i)))
 
 
 def index_array(values: Sequence[int]) -> Column:
@@ -98,7 +107,7 @@ def divide_by_mean(c, reference=None) -> Column:
     """Divide by the mean of ``reference`` (the amplitude of the packet), never by less than eps."""
     base = _col(c if reference is None else reference)
     scale = F.greatest(mean(base), F.lit(FLOAT32_EPS))
-    return F.transform(_col(c), lambda x: (x / scale).cast("float"))
+    return bind(scale, lambda s: F.transform(_col(c), lambda x: (x / s).cast("float")))
 
 
 def is_finite(x: Column) -> Column:
@@ -109,7 +118,7 @@ def is_finite(x: Column) -> Column:
 def repair_nonfinite(c) -> Column:
     arr = _col(c)
     fill = F.coalesce(mean(F.filter(arr, is_finite)), F.lit(0.0)).cast("float")
-    return F.transform(arr, lambda x: F.when(is_finite(x), x).otherwise(fill))
+    return bind(fill, lambda f: F.transform(arr, lambda x: F.when(is_finite(x), x).otherwise(f)))
 
 
 def any_nonzero(c) -> Column:
@@ -123,7 +132,6 @@ def permute(c, sizes: Sequence, order: Sequence[int]) -> Column:
     """
     if sorted(order) != list(range(len(sizes))):
         raise ValueError(f"axis order {list(order)} is not a permutation of {len(sizes)} axes")
-    arr = _col(c)
     size = [F.lit(s) if isinstance(s, int) else s for s in sizes]
 
     def stride(axis: int) -> Column:
@@ -141,42 +149,42 @@ def permute(c, sizes: Sequence, order: Sequence[int]) -> Column:
             rest = F.floor(rest / target[axis])
         return position.cast("int")
 
-    return F.when(F.size(arr) == 0, arr).otherwise(
-        F.transform(F.sequence(F.lit(0), F.size(arr) - 1), lambda k: F.get(arr, source(k))))
+    return bind(_col(c), lambda arr: F.when(F.size(arr) == 0, arr).otherwise(
+        F.transform(F.sequence(F.lit(0), F.size(arr) - 1), lambda k: F.get(arr, source(k)))))
 
 
 def fit_axis(c, outer, length, inner, target: int, centred: bool = False, fill=0.0) -> Column:
     """Crop or pad one axis of a row-major tensor seen as ``outer x length x inner``."""
-    arr = _col(c)
     outer, length, inner = [F.lit(v) if isinstance(v, int) else v for v in (outer, length, inner)]
     shift = F.lit(0)
     if centred:
         shift = F.when(length > target, F.floor((length - target) / 2)).otherwise(
             -F.floor((F.lit(target) - length) / 2))
 
-    def cell(k: Column) -> Column:
+    def cell(arr: Column, k: Column) -> Column:
         o = F.floor(k / (inner * target))
         p = F.floor(k / inner) % target + shift
         i = k % inner
         return F.when((p >= 0) & (p < length), F.get(arr, ((o * length + p) * inner + i).cast("int"))
                       ).otherwise(F.lit(fill).cast("float"))
 
-    return F.transform(F.sequence(F.lit(0), (outer * target * inner - 1).cast("int")), cell)
+    return bind(_col(c), lambda arr: F.transform(
+        F.sequence(F.lit(0), (outer * target * inner - 1).cast("int")), lambda k: cell(arr, k)))
 
 
 def axis_reduce(c, outer, length, inner, how: str = "sum") -> Column:
     """Sum or average away one axis of a row-major tensor seen as ``outer x length x inner``."""
-    arr = _col(c)
     outer, length, inner = [F.lit(v) if isinstance(v, int) else v for v in (outer, length, inner)]
 
-    def cell(k: Column) -> Column:
+    def cell(arr: Column, k: Column) -> Column:
         o, i = F.floor(k / inner), k % inner
         parts = F.transform(F.sequence(F.lit(0), (length - 1).cast("int")),
                             lambda p: F.get(arr, ((o * length + p) * inner + i).cast("int")))
         summed = total(parts)
         return (summed / length if how == "mean" else summed).cast("float")
 
-    return F.transform(F.sequence(F.lit(0), (outer * inner - 1).cast("int")), cell)
+    return bind(_col(c), lambda arr: F.transform(
+        F.sequence(F.lit(0), (outer * inner - 1).cast("int")), lambda k: cell(arr, k)))
 
 
 def axis_mask(observed, target: int | None, centred: bool = False) -> Column:
@@ -192,11 +200,13 @@ def axis_mask(observed, target: int | None, centred: bool = False) -> Column:
 
 def fit_coordinate(c, target: int, centred: bool = False) -> Column:
     """Crop a coordinate array, or pad it with -1, the way its axis is cropped or padded."""
-    arr = _col(c)
-    shift = F.lit(0)
-    if centred:
-        shift = F.when(F.size(arr) > target, F.floor((F.size(arr) - target) / 2)).otherwise(
-            -F.floor((F.lit(target) - F.size(arr)) / 2))
-    return F.transform(F.sequence(F.lit(0), F.lit(target - 1)), lambda k: F.when(
-        (k + shift >= 0) & (k + shift < F.size(arr)), F.get(arr, (k + shift).cast("int"))
-    ).otherwise(F.lit(-1)))
+    def fitted(arr: Column) -> Column:
+        shift = F.lit(0)
+        if centred:
+            shift = F.when(F.size(arr) > target, F.floor((F.size(arr) - target) / 2)).otherwise(
+                -F.floor((F.lit(target) - F.size(arr)) / 2))
+        return F.transform(F.sequence(F.lit(0), F.lit(target - 1)), lambda k: F.when(
+            (k + shift >= 0) & (k + shift < F.size(arr)), F.get(arr, (k + shift).cast("int"))
+        ).otherwise(F.lit(-1)))
+
+    return bind(_col(c), fitted)

@@ -186,8 +186,9 @@ def unfold_frames(df: DataFrame, column: str, packets: int, frame: str = "frame_
         F.lit("unexpected frame size "), size.cast("string"))))
     channels = F.call_function("div", size, F.lit(packets)).cast("int")
     spread = A.permute(checked, (channels, F.lit(packets)), (1, 0))
-    cut = F.transform(F.sequence(F.lit(0), F.lit(packets - 1)),
-                      lambda p: F.slice(spread, p * channels + 1, channels))
+    cut = A.bind(spread, lambda flat: F.transform(
+        F.sequence(F.lit(0), F.lit(packets - 1)),
+        lambda p: F.slice(flat, p * channels + 1, channels)))
     others = [c for c in df.columns if c not in (column, frame)]
     return (df.select(*others, frame, F.posexplode(cut).alias("_pos", column))
             .withColumn("packet_index", F.col(frame).cast("long") * packets + F.col("_pos"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("timeline", "signals")
+MODULES = ("timeline", "signals", "windows", "layouts")
 
 
 def load(kind: str) -> dict:
