@@ -116,8 +116,8 @@ def expand_vocabulary(c) -> Column:
     A range keeps the wider zero padding, must not run backwards and spans at most 500.
     """
     body = F.regexp_replace(_col(c), r"^[^:\n]+:\s*", "")
-    tokens = F.filter(F.transform(F.split(body, r"\s*[·•|]\s*|\s*,\s*"), F.trim),
-                      lambda t: t != "")
+    tokens = F.filter(F.transform(F.split(body, r"\s*[·•|]\s*|\s*,\s*"),
+                                  lambda t: F.trim(t)), lambda t: t != "")
     pattern = r"^(.*?)(\d+)\s*[–-]\s*(\d+)$"
 
     def expand(token: Column) -> Column:

@@ -73,12 +73,15 @@ def annotation_join(recordings: DataFrame, annotations: DataFrame, path: str = "
 
 def layer_maps(*layers: Column) -> Column:
     """Merge maps, later ones win; no session setting needed."""
-    out = layers[0]
-    for later in layers[1:]:
-        later = F.coalesce(later, F.create_map().cast("map<string,string>"))
-        base = F.coalesce(out, F.create_map().cast("map<string,string>"))
-        kept = F.map_filter(base, lambda k, v, new=later: ~F.map_contains_key(new, k))
-        out = F.map_concat(kept, later)
+    empty = F.create_map().cast("map<string,string>")
+
+    def over(base: Column, later: Column) -> Column:
+        kept = F.map_filter(base, lambda k, v: ~F.map_contains_key(later, k))
+        return F.map_concat(kept, later)
+
+    out = F.coalesce(layers[0], empty)
+    for layer in layers[1:]:
+        out = over(out, F.coalesce(layer, empty))
     return out
 
 

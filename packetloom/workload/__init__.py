@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("timeline", "signals", "windows", "layouts")
+MODULES = ("timeline", "signals", "windows", "layouts", "labels", "links", "checks", "subsets", "paths")
 
 
 def load(kind: str) -> dict:
