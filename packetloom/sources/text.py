@@ -124,19 +124,17 @@ def read_packet_jsonl(spark: SparkSession, path: str | list[str], partitions: in
         folder != "original", F.initcap(F.translate(folder, "_", " "))))
 
 
-def read_numeric_csv(spark: SparkSession, path: str | list[str], columns: int,
-                     strict: bool = True) -> DataFrame:
-    """CSV matrices of at most ``columns`` columns: one row per line with ``row_index``.
+def read_numeric_csv(spark: SparkSession, path: str | list[str], strict: bool = True) -> DataFrame:
+    """CSV matrices of any width: one row per line with ``row_index`` and ``values``.
 
     Header lines (nothing numeric) and columns without any number go away per recording; with
-    ``strict`` a cell that is still not a number gives the row an ``error``.
+    ``strict`` a cell that is missing or still not a number gives the row an ``error``.
     """
-    schema = ST.StructType([ST.StructField(f"c{i}", ST.StringType()) for i in range(columns)])
-    raw = spark.read.schema(schema).csv(path, enforceSchema=True)
+    raw = spark.read.text(path)
     rows = raw.withColumns({
         "recording_id": recording_of(), "_start": F.col("_metadata.file_block_start"),
         "_id": F.monotonically_increasing_id()})
-    values = F.array(*[F.col(f"c{i}").try_cast("double") for i in range(columns)])
+    values = F.transform(F.split("value", ","), lambda x: x.try_cast("double"))
     return numeric_matrix(rows.select("recording_id", "_start", "_id", values.alias("values")), strict)
 
 
