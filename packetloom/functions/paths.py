@@ -38,17 +38,20 @@ def _filled(c: Column) -> Column:
     return F.when(c != "", c)
 
 
-def predefined_split(path) -> Column:
-    text = F.lower(T.unix_path(path))
+def predefined_split(path, lowered: Column | None = None) -> Column:
+    text = F.lower(T.unix_path(path)) if lowered is None else lowered
     out = F.lit(None).cast("string")
     for name, pattern in reversed(SPLIT_PATTERNS.items()):
         out = F.when(text.rlike(pattern), F.lit(name)).otherwise(out)
     return out
 
 
-def path_metadata(path) -> dict[str, Column]:
-    """One Column per metadata field; rules further down win over earlier ones."""
-    text = F.lower(T.unix_path(path))
+def path_metadata(path, lowered: Column | None = None) -> dict[str, Column]:
+    """One Column per metadata field; rules further down win over earlier ones.
+
+    ``lowered`` is the path in lower case with forward slashes, where a caller has it already.
+    """
+    text = F.lower(T.unix_path(path)) if lowered is None else lowered
     triple = text.rlike(TRIPLE_PATTERN)
     fields: dict[str, Column] = {}
     for field, pattern in GROUP_PATTERNS.items():
@@ -65,7 +68,7 @@ def path_metadata(path) -> dict[str, Column]:
         F.when(triple, F.regexp_extract(text, TRIPLE_PATTERN, 3)))
     fields["predefined_split"] = F.when(
         risk.isNotNull(), F.when(unseen.isNotNull(), F.lit("test")).otherwise(F.lit("train"))
-    ).otherwise(predefined_split(path))
+    ).otherwise(predefined_split(path, text))
     blocked = F.contains(text, F.lit("nlos"))
     fields["scenario"] = F.when(F.contains(text, F.lit("los")) & ~blocked, F.lit("los")).when(
         blocked | F.contains(text, F.lit("through-wall")) | F.contains(text, F.lit("through_wall")),
@@ -81,8 +84,11 @@ def path_metadata(path) -> dict[str, Column]:
 
 def extract_metadata(df: DataFrame, path: str, out: str = "metadata") -> DataFrame:
     """The fields found in a path as one map without empty entries."""
-    pairs = [x for name, value in path_metadata(path).items() for x in (F.lit(name), value)]
-    return df.withColumn(out, F.map_filter(F.create_map(*pairs), lambda k, v: v.isNotNull()))
+    rows = df.withColumn("_lowered", F.lower(T.unix_path(path)))
+    pairs = [x for name, value in path_metadata(path, F.col("_lowered")).items()
+             for x in (F.lit(name), value)]
+    return rows.withColumn(out, F.map_filter(F.create_map(*pairs), lambda k, v: v.isNotNull())
+                           ).drop("_lowered")
 
 
 def extract_task_folders(df: DataFrame, path: str) -> DataFrame:

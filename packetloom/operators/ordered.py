@@ -53,6 +53,38 @@ def with_neighbour(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
             .drop("_inside", "_edge"))
 
 
+def with_change_count(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], bucket: str,
+                      columns: Sequence[str], changed, out: str, first: int = 0) -> DataFrame:
+    """Add the running number of rows for which ``changed(previous, current)`` holds.
+
+    ``changed`` gets two struct Columns of ``columns``; ``first`` is what the recording's first
+    row counts.  Give it only the columns it needs: then rows and bucket edges come from one and
+    the same shuffle.
+    """
+    payload = F.struct(*[F.col(c) for c in columns])
+    order = F.struct(*[F.col(c) for c in order_by])
+    inside = Window.partitionBy(*keys, bucket).orderBy(*order_by)
+    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = df.repartition(*keys, bucket).withColumn("_before", F.lag(payload).over(inside))
+    step = F.when(F.col("_before").isNotNull(), changed(F.col("_before"), payload).cast("int"))
+    rows = rows.withColumn("_step", F.coalesce(step, F.lit(0)).cast("long"))
+    edges = rows.groupBy(*keys, bucket).agg(
+        F.min_by(payload, order).alias("_head"), F.max_by(payload, order).alias("_tail"),
+        F.sum("_step").alias("_inner"))
+    across = _edge_window(keys, bucket)
+    edges = edges.withColumn("_last", F.lag("_tail").over(across))
+    edges = edges.withColumn("_jump", F.when(F.col("_last").isNull(), F.lit(first)).otherwise(
+        changed(F.col("_last"), F.col("_head")).cast("int")).cast("long"))
+    offset = (F.sum("_jump").over(across.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+              + F.coalesce(F.sum("_inner").over(
+                  across.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    edges = edges.select(*keys, bucket, offset.alias("_offset"))
+    return (rows.withColumn("_running", F.sum("_step").over(upto))
+            .join(edges, [*keys, bucket], "left")
+            .withColumn(out, F.col("_running") + F.col("_offset"))
+            .drop("_before", "_step", "_running", "_offset"))
+
+
 def with_running_total(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], bucket: str,
                        value: Column, out: str) -> DataFrame:
     """Add the running total of ``value`` up to and including each row."""

@@ -2,7 +2,8 @@
 
 Spark's ``percentile`` keeps every distinct value of a group in one buffer.  Here a mergeable
 sketch only brackets the wanted ranks; the exact answer comes from counting what lies below
-the bracket and ranking the few values inside it.
+the bracket and ranking the few values inside it.  The input is read twice: for the sketch and
+for the answer.
 """
 
 from __future__ import annotations
@@ -33,13 +34,11 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: Column,
     cuts = [bound for p in wanted for bound in (max(0.0, p - margin), min(1.0, p + margin))]
     thin = df.select(*keys, value.cast("double").alias("_x")).where(
         F.col("_x").isNotNull() & ~F.isnan("_x"))
-    counted = thin.groupBy(*keys, "_x").agg(F.count(F.lit(1)).alias("_n"))
-
     sketch = thin.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_size"), F.min("_x").alias("_min"), F.max("_x").alias("_max"),
         F.percentile_approx("_x", [*cuts], accuracy).alias("_cuts"))
     small = F.col("_size") <= F.lit(10 * accuracy)
-    brackets = sketch.select(*keys, "_size", F.array(*[
+    brackets = sketch.select(*keys, F.array(*[
         F.struct(
             F.lit(i).alias("which"),
             F.when(small, F.col("_min")).otherwise(F.get("_cuts", F.lit(2 * i))).alias("low"),
@@ -47,21 +46,19 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: Column,
             (F.lit(p) * (F.col("_size") - 1)).alias("at"))
         for i, p in enumerate(wanted)]).alias("_brackets"))
 
-    placed = join_facts(counted, brackets, keys, F.hash("_x"), salts, "inner")
-    placed = placed.withColumn("_b", F.explode("_brackets")).drop("_brackets")
+    placed = join_facts(thin, brackets, keys, F.hash("_x"), salts, "inner")
+    placed = placed.select(*keys, "_x", F.explode("_brackets").alias("_b")).where(
+        F.col("_x") <= F.col("_b.high"))
+    # Values below a bracket only count: they fall together into one row with a NULL value.
     group = [*keys, "_which"]
-    placed = placed.select(*keys, "_x", "_n", F.col("_b.which").alias("_which"),
-                           F.col("_b.low").alias("_low"), F.col("_b.high").alias("_high"),
-                           F.col("_b.at").alias("_at"))
-    below = placed.where(F.col("_x") < F.col("_low")).groupBy(*group).agg(
-        F.sum("_n").alias("_below"))
-    inside = placed.where(F.col("_x").between(F.col("_low"), F.col("_high")))
-    running = (Window.partitionBy(*group).orderBy("_x")
+    kept = placed.groupBy(
+        *keys, F.col("_b.which").alias("_which"), F.col("_b.at").alias("_at"),
+        F.when(F.col("_x") >= F.col("_b.low"), F.col("_x")).alias("_x")).agg(
+        F.count(F.lit(1)).alias("_n"))
+    running = (Window.partitionBy(*group).orderBy(F.col("_x").asc_nulls_first())
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = (inside.withColumn("_upto", F.sum("_n").over(running))
-              .join(below, group, "left")
-              .withColumn("_upto", F.col("_upto") + F.coalesce("_below", F.lit(0)))
-              .withColumn("_from", F.col("_upto") - F.col("_n")))
+    ranked = kept.withColumn("_upto", F.sum("_n").over(running)).withColumn(
+        "_from", F.col("_upto") - F.col("_n"))
     lower, upper = F.floor("_at"), F.ceil("_at")
 
     def holds(rank: Column) -> Column:

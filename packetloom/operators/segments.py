@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from packetloom.functions import text as T
 from packetloom.operators.ordered import (
     PACKETS_PER_BUCKET, SECONDS_PER_BUCKET, explode_range, index_bucket, time_bucket,
-    with_neighbour, with_running_total)
+    with_change_count)
 from packetloom.operators.timeline import RECORDING
 
 
@@ -20,10 +20,8 @@ def numbered_runs(df: DataFrame, label: str, keys: Sequence[str], index: str) ->
     A run may be as long as its recording: it is reduced by partial aggregation, never collected.
     """
     rows = df.select(*keys, index, label).withColumn("_bucket", index_bucket(index))
-    rows = with_neighbour(rows, keys, [index], "_bucket", [label], "_prev", step=-1)
-    starts = F.when(F.col("_prev").isNull() | ~F.col(f"_prev.{label}").eqNullSafe(F.col(label)), 1
-                    ).otherwise(0).cast("long")
-    rows = with_running_total(rows, keys, [index], "_bucket", starts, "run")
+    rows = with_change_count(rows, keys, [index], "_bucket", [label],
+                             lambda prev, own: ~prev[label].eqNullSafe(own[label]), "run", first=1)
     return rows.groupBy(*keys, "run").agg(
         F.first(label).alias(label), F.min(index).cast("long").alias("start_index"),
         (F.max(index) + 1).cast("long").alias("end_index"))

@@ -37,13 +37,14 @@ def build_inventory(recordings: DataFrame, overrides: DataFrame | None = None) -
     rows = recordings.where(F.col("status").isin("converted", "skipped") & F.col("output").isNotNull())
     if "sample_values" not in rows.columns:
         rows = rows.withColumn("sample_values", F.lit(None).cast("array<map<string,string>>"))
+    # patterns run once per source, before its samples are written out
+    rows = extract_metadata(rows, "source_file", "inferred")
     rows = explode_range(rows, F.lit(0).cast("long"), F.col("sample_count").cast("long") - 1, "_i")
     many = F.col("sample_count") > 1
     rows = (rows.withColumn("sample_id", F.when(many, F.concat_ws(
                 "::", "output", F.col("_i").cast("string"))).otherwise(F.col("output")))
             .withColumn("index", F.when(many, F.col("_i")))
             .withColumn("sample_values", F.when(many, F.get("sample_values", F.col("_i").cast("int")))))
-    rows = extract_metadata(rows, "source_file", "inferred")
     if overrides is None:
         overrides = rows.sparkSession.createDataFrame([], "key string, metadata map<string,string>")
     return layer_metadata(rows, overrides).select("sample_id", "source_file", "index", "metadata")

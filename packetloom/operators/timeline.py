@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from packetloom.functions.arrays import is_finite
 from packetloom.operators.ordered import (
-    SECONDS_PER_BUCKET, index_bucket, join_facts, time_bucket, with_neighbour,
-    with_running_total)
+    SECONDS_PER_BUCKET, index_bucket, join_facts, time_bucket, with_change_count,
+    with_neighbour)
 from packetloom.operators.quantiles import exact_median
+from packetloom.session import cut_lineage
 
 RECORDING = ("recording_id",)
 DAY_MS = 24 * 60 * 60 * 1000.0
@@ -71,7 +72,8 @@ def source_rate(df: DataFrame, keys: Sequence[str] = RECORDING, time: str = "tim
                 declared: DataFrame | None = None) -> DataFrame:
     """Packets per second from the median positive gap; a declared positive rate wins."""
     gaps = packet_gaps(df, keys, time, order_by, bucket)
-    gaps = gaps.where(is_finite(F.col("gap_s")) & (F.col("gap_s") > 0))
+    gaps = cut_lineage(gaps.where(is_finite(F.col("gap_s")) & (F.col("gap_s") > 0)).select(
+        *keys, "gap_s"), "gaps")  # thin; the median reads it twice
     measured = exact_median(gaps, keys, F.col("gap_s"), "median_gap_s").withColumn(
         "measured_rate_hz", F.lit(1.0) / F.col("median_gap_s"))
     if declared is None:
@@ -126,15 +128,16 @@ def clock_ms(text: Column) -> Column:
 def elapsed_ms(df: DataFrame, clock: str, keys: Sequence[str] = RECORDING,
                index: str = "packet_index", out: str = "elapsed_ms") -> DataFrame:
     """Clock text as milliseconds since the first packet; stepping backwards is a new day."""
-    rows = df.withColumn("_ms", clock_ms(F.col(clock))).withColumn("_bucket", index_bucket(index))
-    rows = with_neighbour(rows, keys, [index], "_bucket", ["_ms"], "_prev", step=-1)
-    rolled = F.when(F.col("_ms") < F.col("_prev._ms"), 1).otherwise(0).cast("long")
-    rows = with_running_total(rows, keys, [index], "_bucket", rolled, "_days").withColumn(
-        "_abs", F.col("_ms") + F.col("_days") * F.lit(DAY_MS))
-    start = rows.groupBy(*keys).agg(F.min_by("_abs", index).alias("_start"))
-    return (join_facts(rows, start, list(keys), F.col(index))
-            .withColumn(out, F.col("_abs") - F.col("_start"))
-            .drop("_ms", "_bucket", "_prev", "_days", "_abs", "_start"))
+    thin = df.select(*keys, index, clock_ms(F.col(clock)).alias("_ms"),
+                     index_bucket(index).alias("_bucket"))
+    rows = with_change_count(thin, keys, [index], "_bucket", ["_ms"],
+                             lambda prev, own: own["_ms"] < prev["_ms"], "_days")
+    rows = rows.withColumn("_abs", F.col("_ms") + F.col("_days") * F.lit(DAY_MS))
+    # the first packet has seen no new day yet, so its clock is the start
+    start = thin.groupBy(*keys).agg(F.min_by("_ms", index).alias("_start"))
+    rows = join_facts(rows, start, list(keys), F.col(index)).select(
+        *keys, index, (F.col("_abs") - F.col("_start")).alias(out))
+    return df.join(rows, [*keys, index], "left") if set(df.columns) - {*keys, index} else rows
 
 
 __all__ = [

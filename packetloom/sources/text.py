@@ -15,7 +15,8 @@ from pyspark.sql import types as ST
 
 from packetloom.functions import arrays as A
 from packetloom.functions import text as T
-from packetloom.operators.ordered import index_bucket, with_position
+from packetloom.operators.ordered import with_position
+from packetloom.session import cut_lineage
 
 CHANNEL_COLUMN = r"^(real|imag|amplitude)_l(\d+)_s(\d+)$"  # fixed value: channel header
 
@@ -135,7 +136,9 @@ def read_numeric_csv(spark: SparkSession, path: str | list[str], strict: bool =
         "recording_id": recording_of(), "_start": F.col("_metadata.file_block_start"),
         "_id": F.monotonically_increasing_id()})
     values = F.transform(F.split("value", ","), lambda x: x.try_cast("double"))
-    return numeric_matrix(rows.select("recording_id", "_start", "_id", values.alias("values")), strict)
+    parsed = rows.select("recording_id", "_start", "_id", values.alias("values"))
+    # text is parsed once: finding the used columns and numbering the rows read the parsed table
+    return numeric_matrix(cut_lineage(parsed, "matrix"), strict)
 
 
 def numeric_matrix(rows: DataFrame, strict: bool = True,
@@ -191,7 +194,7 @@ def read_json_arrays(spark: SparkSession, path: str | list[str], schema: ST.Stru
 
 
 __all__ = [
-    "PACKET_SCHEMA", "index_bucket", "json_packets", "numeric_matrix", "parse_array_cell",
+    "PACKET_SCHEMA", "json_packets", "numeric_matrix", "parse_array_cell",
     "read_array_cell_csv", "read_json_arrays", "read_numeric_csv", "read_packet_jsonl",
     "read_wide_csv", "wide_channels", "wide_to_packets",
 ]

@@ -213,7 +213,7 @@ def elapsed_ms(spark, sf):
         "recording_id", "packet_index", F.date_format(
             F.timestamp_micros(F.rint(F.col("timestamp_s") * F.lit(3.6e9)).cast("long")),
             "HH:mm:ss.SSS").alias("clock"))
-    return TL.elapsed_ms(packets, "clock").select(
+    return TL.elapsed_ms(cut_lineage(packets, "clock"), "clock").select(
         "recording_id", "packet_index", "clock", r6("elapsed_ms").alias("elapsed_ms"))
 
 
