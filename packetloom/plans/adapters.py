@@ -70,9 +70,10 @@ def aril(df: DataFrame) -> DataFrame:
 
 def csi_bench(df: DataFrame, shapes: DataFrame) -> DataFrame:
     """``row_index``, ``data`` (what lies behind the first axis) and per recording its ``shape``."""
+    known = F.when(F.col("error").isNull(), F.col("source_axis_order")).otherwise(
+        F.raise_error(F.col("error")))
     rows = join_facts(df, L.infer_bench_axes(shapes).select(
-        ID, F.col("source_axis_order").alias("_axes"), F.col("shape").alias("_shape")), [ID],
-        F.col("row_index"), how="inner")
+        ID, known.alias("_axes"), F.col("shape").alias("_shape")), [ID], F.col("row_index"), how="inner")
     first = F.get("_axes", F.lit(0))
     d = [F.get("_shape", F.lit(i)) for i in range(4)]
     whole = rows.where(first == "time").withColumn(
@@ -212,7 +213,7 @@ def nist_breathesmart(real: DataFrame, imag: DataFrame, links: int = 9, carriers
     """``row_index`` and ``values`` of the real and the imaginary log of each recording."""
     both = J.pair_join(real.withColumnRenamed("values", "csi_real"),
                        imag.withColumnRenamed("values", "csi_imag"), [ID, "row_index"], IQ)
-    checked = F.when(F.col("error").isNull(), F.col("csi_real")).otherwise(F.raise_error("error"))
+    checked = F.when(F.col("error").isNull(), F.col("csi_real")).otherwise(F.raise_error(F.col("error")))
     rows = both.withColumn("csi_real", checked).drop("error")
     patterns = [[0, 1, 3, 4, 6, 7]] if links == 9 else [list(range(6))]
     rows = L.drop_zero_slots(rows, links, carriers, IQ, patterns=patterns, active_carriers=56)
@@ -277,7 +278,7 @@ def ut_har(df: DataFrame, labels: DataFrame) -> DataFrame:
     """``row_index`` and ``data`` of 250 x 90 values per clip; one label per clip."""
     joined = J.positional_join(_expect(df, "data", [250 * 90], "expected clips of 250 x 90"), labels)
     rows = joined.withColumn("data", F.when(F.col("error").isNull(), F.col("data")).otherwise(
-        F.raise_error("error"))).drop("error").withColumnRenamed("row_index", "sample_index")
+        F.raise_error(F.col("error")))).drop("error").withColumnRenamed("row_index", "sample_index")
     rows = _split(rows, ["data"], 90)
     rows = L.permute_axes(rows, "data", ["rx", "sub"], ["sub", "rx"], {"rx": 3, "sub": 30})
     return rows.withColumn("amplitude", A.as_floats("data")).drop("data").withColumn(
@@ -343,7 +344,7 @@ def wifi_presence_movement(spark: SparkSession, path: str | list[str], partition
     rows = ST.read_packet_jsonl(spark, path, partitions)
     for s in IQ:
         rows = rows.withColumn(s, F.when(F.col("packet_error").isNull(), F.col(s)).otherwise(
-            F.raise_error("packet_error")))
+            F.raise_error(F.col("packet_error"))))
     first = rows.groupBy(ID).agg(F.min("timestamp_s").alias("_t0"))
     rows = join_facts(rows, first, [ID], F.hash("timestamp_s"))
     rows = rows.withColumn("timestamp_s", F.col("timestamp_s") - F.col("_t0"))
@@ -400,7 +401,7 @@ def xrf_v2(df: DataFrame, intervals: DataFrame, receivers: Sequence[int] = (0, 1
     named = S.decode_labels(intervals, "label_id", V.XRF_V2_ACTIONS, "label", "null")
     checked = D.checked_intervals(named, lengths)
     checked = checked.withColumn("start_index", F.when(F.col("error").isNull(), F.col("start_index"))
-                                 .otherwise(F.raise_error("error"))).drop("error")
+                                 .otherwise(F.raise_error(F.col("error")))).drop("error")
     return P.extract_sequence(D.paint_labels(rows, checked), path)
 
 
