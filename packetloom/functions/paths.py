@@ -35,7 +35,7 @@ METADATA_FIELDS = (*GROUP_PATTERNS, "activity", "predefined_split", "release_gro
 
 
 def _filled(c: Column) -> Column:
-    return F.when(c != "", c)
+    return F.nullif(c, F.lit(""))
 
 
 def predefined_split(path, lowered: Column | None = None) -> Column:
@@ -85,10 +85,16 @@ def path_metadata(path, lowered: Column | None = None) -> dict[str, Column]:
 def extract_metadata(df: DataFrame, path: str, out: str = "metadata") -> DataFrame:
     """The fields found in a path as one map without empty entries."""
     rows = df.withColumn("_lowered", F.lower(T.unix_path(path)))
-    pairs = [x for name, value in path_metadata(path, F.col("_lowered")).items()
-             for x in (F.lit(name), value)]
-    return rows.withColumn(out, F.map_filter(F.create_map(*pairs), lambda k, v: v.isNotNull())
-                           ).drop("_lowered")
+    # The patterns get a projection of their own: inside a map's lambda Spark would interpret
+    # them and evaluate shared parts again and again.
+    fields = path_metadata(path, F.col("_lowered"))
+    rows = rows.withColumns({f"_f_{name}": value for name, value in fields.items()})
+    entries = F.array_compact(F.array(*[
+        F.when(F.col(f"_f_{name}").isNotNull(), F.struct(
+            F.lit(name).alias("k"), F.col(f"_f_{name}").alias("v")))
+        for name in fields]))
+    return rows.withColumn(out, F.map_from_entries(entries)).drop(
+        "_lowered", *[f"_f_{name}" for name in fields])
 
 
 def extract_task_folders(df: DataFrame, path: str) -> DataFrame:
@@ -96,20 +102,26 @@ def extract_task_folders(df: DataFrame, path: str) -> DataFrame:
 
     The last folder with a prefix wins.  Walking variants count as ``walking``.
     """
+    df = df.withColumn("_parts", T.path_parts(path))
+
+    def last(condition) -> Column:
+        return F.element_at(F.filter("_parts", condition), -1)
+
     def tagged(prefix: str) -> Column:
-        part = T.first_part(path, lambda p: F.startswith(p, F.lit(prefix)), last=True)
-        return F.substr(part, F.lit(len(prefix) + 1))
+        return F.substr(last(lambda p: F.startswith(p, F.lit(prefix))), F.lit(len(prefix) + 1))
 
-    task = T.first_part(path, lambda p: p.isin(*V.BENCH_TASK_PROFILES), last=True)
-    source = F.regexp_replace(tagged("motionsrc_"), "^0+", "")
-    raw_activity = tagged("act_")
+    task = last(lambda p: p.isin(*V.BENCH_TASK_PROFILES))
+    df = df.withColumn("_activity", tagged("act_")).withColumn(
+        "_source", F.regexp_replace(tagged("motionsrc_"), "^0+", ""))
+    source, raw_activity = F.col("_source"), F.col("_activity")
     rows = (df.withColumn("task", task).withColumn("subject", tagged("user_"))
             .withColumn("environment", tagged("env_")).withColumn("subject_type", tagged("sub_"))
             .withColumn("difficulty", tagged("Diff_"))
             .withColumn("location", F.when(source == "", F.lit("0")).otherwise(source)))
     walking = F.when(F.startswith(raw_activity, F.lit("walking")), F.lit("walking")).otherwise(
         raw_activity)
-    text = F.array_join(T.path_parts(path), "/")
+    rows = rows.withColumn("_text", F.array_join("_parts", "/"))
+    text = F.col("_text")
 
     def within(name: str, needed: Column) -> Column:
         return F.contains(text, F.lit(name)) & needed.isNotNull()
@@ -125,7 +137,8 @@ def extract_task_folders(df: DataFrame, path: str) -> DataFrame:
     for condition, class_value, activity_value in reversed(cases):
         label = F.when(condition, class_value).otherwise(label)
         activity = F.when(condition, activity_value).otherwise(activity)
-    return rows.withColumn("activity", activity).withColumn("class", label)
+    return rows.withColumn("_class", label).withColumn("activity", activity).withColumnRenamed(
+        "_class", "class").drop("_parts", "_activity", "_source", "_text")
 
 
 def extract_action_trial(df: DataFrame, path: str) -> DataFrame:

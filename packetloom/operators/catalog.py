@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from packetloom.operators.joins import coverage_diff
+from packetloom.operators.ordered import join_facts
 
 # What a catalog entry must have and which words its registries may use.
 REQUIRED_FIELDS = ("id", "name", "year", "summary", "tasks", "modalities", "hardware", "settings",
@@ -86,14 +87,15 @@ def violations(df: DataFrame, id_column: str, rules: Mapping[str, Column]) -> Da
 
 
 def duplicate_ids(df: DataFrame, id_column: str, order: Sequence[str]) -> DataFrame:
-    """Every later occurrence of an id.
+    """Every occurrence of an id but the first, by a total order.
 
-    Counted first: only ids that do repeat are ranked.
+    The first one is an aggregate, so an id that many rows share is never gathered.
     """
-    repeated = df.groupBy(id_column).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
-    w = Window.partitionBy(id_column).orderBy(*order)
-    return (df.join(repeated, id_column, "left_semi").withColumn("occurrence", F.row_number().over(w))
-            .where("occurrence > 1"))
+    place = F.struct(*order)
+    first = df.groupBy(id_column).agg(F.min(place).alias("_first"), F.count(F.lit(1)).alias("_n"))
+    first = first.where("_n > 1").drop("_n")
+    rows = join_facts(df, first, [id_column], F.xxhash64(*order), how="inner")
+    return rows.where(place > F.col("_first")).drop("_first")
 
 
 def validate_catalog(catalog: DataFrame, tasks: DataFrame, file: str = "file") -> DataFrame:

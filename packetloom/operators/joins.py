@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from packetloom.functions import text as T
+from packetloom.operators.ordered import join_facts
 
 
 def pair_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
@@ -94,9 +95,10 @@ def layer_metadata(inventory: DataFrame, overrides: DataFrame) -> DataFrame:
     by_path = overrides.select(F.col("key").alias("source_file"), F.col("metadata").alias("_path"))
     by_name = overrides.select(F.col("key").alias("_name"), F.col("metadata").alias("_bare"))
     by_id = overrides.select(F.col("key").alias("sample_id"), F.col("metadata").alias("_sample"))
-    rows = (inventory.withColumn("_name", T.file_name("source_file"))
-            .join(by_path, "source_file", "left").join(by_name, "_name", "left")
-            .join(by_id, "sample_id", "left"))
+    spread = F.hash("sample_id")  # one file may hold very many samples
+    rows = inventory.withColumn("_name", T.file_name("source_file"))
+    rows = join_facts(rows, by_path, ["source_file"], spread)
+    rows = join_facts(rows, by_name, ["_name"], spread).join(by_id, "sample_id", "left")
     merged = layer_maps(F.col("inferred"), F.coalesce("_path", "_bare"), F.col("sample_values"),
                         F.col("_sample"))
     return rows.withColumn("metadata", merged).drop("_name", "_path", "_bare", "_sample")

@@ -20,7 +20,7 @@ ACCURACY = 10_000
 
 def exact_percentiles(df: DataFrame, keys: Sequence[str], value: Column,
                       probabilities: Mapping[str, float], accuracy: int = ACCURACY,
-                      salts: int = 16) -> DataFrame:
+                      salts: int = 8) -> DataFrame:
     """One row per group with linearly interpolated percentiles, NULL and NaN left out.
 
     Groups up to ``10 * accuracy`` rows are ranked whole.  For larger ones the bracket
@@ -74,5 +74,5 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: Column,
 
 
 def exact_median(df: DataFrame, keys: Sequence[str], value: Column, out: str,
-                 salts: int = 16) -> DataFrame:
+                 salts: int = 8) -> DataFrame:
     return exact_percentiles(df, keys, value, {out: 0.5}, salts=salts)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from packetloom.functions import text as T
 from packetloom.operators.ordered import (
-    PACKETS_PER_BUCKET, SECONDS_PER_BUCKET, explode_range, index_bucket, time_bucket,
+    PACKETS_PER_BUCKET, SECONDS_PER_BUCKET, explode_range, index_bucket, join_facts, time_bucket,
     with_change_count)
 from packetloom.operators.timeline import RECORDING
 
@@ -35,8 +35,8 @@ def label_runs(df: DataFrame, rate: DataFrame | float | None = None, label: str
     """
     runs = numbered_runs(df, label, keys, index)
     if isinstance(rate, DataFrame):
-        runs = runs.join(rate.select(*keys, F.col("sample_rate_hz").alias("_rate")),
-                         list(keys), "left")
+        runs = join_facts(runs, rate.select(*keys, F.col("sample_rate_hz").alias("_rate")),
+                          list(keys), F.col("run"))
     else:
         runs = runs.withColumn("_rate", F.lit(rate).cast("double"))
     hz = F.coalesce(F.when(F.col("_rate") != 0, F.col("_rate")), F.lit(1.0))
@@ -76,7 +76,8 @@ def longest_run(runs: DataFrame, label: str = "source_label", keys: Sequence[str
 def checked_intervals(intervals: DataFrame, lengths: DataFrame,
                       keys: Sequence[str] = RECORDING) -> DataFrame:
     """Intervals clamped to ``[0, length]``; an empty one or a NULL label gets an error text."""
-    rows = intervals.join(lengths.select(*keys, "source_length"), list(keys))
+    rows = join_facts(intervals, lengths.select(*keys, "source_length"), list(keys),
+                      F.col("interval_order"), how="inner")
     rows = (rows.withColumn("start_index", F.greatest(F.lit(0), F.col("start_index")).cast("long"))
             .withColumn("end_index", F.least(F.col("source_length"), F.col("end_index")).cast("long")))
     return rows.drop("source_length").withColumn("error", F.when(
@@ -153,7 +154,7 @@ def segment_to_index(segments: DataFrame, recordings: DataFrame,
                      keys: Sequence[str] = RECORDING) -> DataFrame:
     """Segments as index ranges: seconds times rate where that fits, else the numbers as indices."""
     facts = recordings.select(*keys, "source_length", "sample_rate_hz")
-    rows = segments.join(facts, list(keys))
+    rows = join_facts(segments, facts, list(keys), F.col("segment_id"), how="inner")
     n, rate = F.col("source_length"), F.col("sample_rate_hz")
     low, high = (F.rint(F.col(c) * rate).cast("long") for c in ("start_seconds", "end_seconds"))
     fits = rate.isNotNull() & (rate != 0) & (low >= 0) & (low < n) & (low < high) & (high <= n)

@@ -18,8 +18,9 @@ from packetloom.operators.timeline import RECORDING
 CLIP = ("recording_id", "sample_index")
 
 
-def window_index(index: Column, width: int) -> Column:
-    return F.call_function("div", index.cast("long"), F.lit(width).cast("long"))
+def window_index(index: Column, width: int | Column) -> Column:
+    width = F.lit(width) if isinstance(width, int) else width
+    return F.call_function("div", index.cast("long"), width.cast("long"))
 
 
 def window_table(df: DataFrame, width: int, keys: Sequence[str] = CLIP) -> DataFrame:
@@ -39,32 +40,35 @@ def window_counts(df: DataFrame, width: int, keys: Sequence[str] = CLIP) -> Data
                 F.lit(1), F.ceil(F.col("resampled_length") / F.lit(width)))))
 
 
-def segment_windows(df: DataFrame, width: int, keys: Sequence[str] = CLIP,
+def segment_windows(df: DataFrame, width: int | str, keys: Sequence[str] = CLIP,
                     pads: dict[str, Column] | None = None) -> DataFrame:
     """Packets with their window, offset and validity, the last window of each clip padded.
 
-    No packet is dropped.  Padding: signal 0, mask false, time NaN, index -1, label "".
+    ``width`` is one length for all, or the column that holds each clip's own.  No packet is
+    dropped.  Padding: signal 0, mask false, time NaN, index -1, label "".
     """
-    if width <= 0:
+    if isinstance(width, int) and width <= 0:
         raise ValueError("window length must be positive")
     keys = list(keys)
-    others = [c for c in df.columns if c not in (*keys, "packet_index")]
+    own = [] if isinstance(width, int) else [width]
+    others = [c for c in df.columns if c not in (*keys, *own, "packet_index")]
     if "valid" not in others:
         df, others = df.withColumn("valid", F.lit(True)), [*others, "valid"]
+    size = (F.lit(width) if isinstance(width, int) else F.col(width)).cast("long")
     position = F.col("packet_index").cast("long")
-    real = df.select(*keys, window_index(position, width).alias("window_index"),
-                     F.pmod(position, F.lit(width)).alias("offset"),
-                     position.alias("packet_index"), *others)
+    real = df.select(*keys, *own, window_index(position, size).alias("window_index"),
+                     F.pmod(position, size).alias("offset"), position.alias("_index"), *others)
     widths = [F.max(F.size(c)).alias(f"_w_{c}") for c in others
               if df.schema[c].dataType.typeName() == "array"]
-    ends = df.groupBy(*keys).agg((F.max("packet_index") + 1).cast("long").alias("_n"), *widths)
-    padded_end = F.call_function("div", F.col("_n") + (width - 1), F.lit(width).cast("long")) * width
+    ends = df.groupBy(*keys).agg((F.max("packet_index") + 1).cast("long").alias("_n"),
+                                 *[F.max(c).alias(c) for c in own], *widths)
+    padded_end = F.call_function("div", F.col("_n") + size - 1, size) * size
     tails = explode_range(ends, F.col("_n"), padded_end - 1, "_k")
-    tails = tails.select(*keys, window_index(F.col("_k"), width).alias("window_index"),
-                         F.pmod(F.col("_k"), F.lit(width)).alias("offset"),
-                         F.lit(-1).cast("long").alias("packet_index"),
+    tails = tails.select(*keys, *own, window_index(F.col("_k"), size).alias("window_index"),
+                         F.pmod(F.col("_k"), size).alias("offset"),
+                         F.lit(-1).cast("long").alias("_index"),
                          *[pad_value(df, c, pads).alias(c) for c in others])
-    return real.unionByName(tails)
+    return real.unionByName(tails).withColumnRenamed("_index", "packet_index")
 
 
 def window_tensors(windows: DataFrame, signal: str, keys: Sequence[str] = CLIP) -> DataFrame:

@@ -144,7 +144,7 @@ def exposing_csi(df: DataFrame, path: str = "path") -> DataFrame:
     carriers = 2048 - len(V.NULL_2048_BINS)
     for s in IQ:
         rows = L.permute_axes(rows, s, ["rx", "sub"], ["sub", "rx"], {"rx": 4, "sub": carriers})
-    return _polar(rows).join(labels, ID, "left")
+    return join_facts(_polar(rows), labels, [ID], F.col("packet_index"))
 
 
 def figshare_csi_har(spark: SparkSession, data: str | list[str], labels: str | list[str] | None = None
@@ -244,7 +244,8 @@ def ntu_fi(df: DataFrame, path: str = "path") -> DataFrame:
     rows = rows.withColumn("amplitude", A.as_floats("data")).drop("data")
     mean, std = V.NTU_FI_NORMALIZATION
     rows = S.affine_companion(rows, "amplitude", mean, std, "official_normalized_amplitude")
-    return rows.join(paths, ID).withColumn("source_label", T.parent_name(path))
+    return join_facts(rows, paths, [ID], F.col("packet_index")).withColumn(
+        "source_label", T.parent_name(path))
 
 
 def operanet(df: DataFrame) -> DataFrame:
@@ -335,7 +336,8 @@ def wifi_80mhz(df: DataFrame, bins: int, path: str = "path") -> DataFrame:
     rows = L.group_rows(rows, 4, IQ)
     for s in IQ:
         rows = L.permute_axes(rows, s, ["rx", "sub"], ["sub", "rx"], {"rx": 4, "sub": 242})
-    return P.extract_monitor_codes(_polar(rows).join(paths, ID), path)
+    rows = join_facts(_polar(rows), paths, [ID], F.col("packet_index"))
+    return P.extract_monitor_codes(rows, path)
 
 
 def wifi_presence_movement(spark: SparkSession, path: str | list[str], partitions: int | None = None
@@ -410,7 +412,8 @@ def xrf55(df: DataFrame, path: str = "path") -> DataFrame:
     paths = df.select(ID, path).distinct()
     rows = L.orient_time_first(df.select(ID, "row_index", "data"), "data", [270])
     rows = L.permute_axes(rows, "data", ["rx", "sub"], ["sub", "rx"], {"rx": 9, "sub": 30})
-    rows = rows.withColumn("amplitude", A.as_floats("data")).drop("data").join(paths, ID)
+    rows = rows.withColumn("amplitude", A.as_floats("data")).drop("data")
+    rows = join_facts(rows, paths, [ID], F.col("packet_index"))
     return P.extract_clip_id(rows, path).withColumn("source_label", F.col("activity_label"))
 
 

@@ -15,6 +15,7 @@ from packetloom.operators import splits as SP
 from packetloom.operators import timeline as TL
 from packetloom.operators import windows as W
 from packetloom.operators.layout import canonicalize_links
+from packetloom.operators.ordered import join_facts
 from packetloom.operators.quality import quality_report
 from packetloom.operators.signal import power_db_rel
 from packetloom.plans.profiles import ViewOptions, resolve_profile, task_view
@@ -115,18 +116,9 @@ def create_view(packets: DataFrame, recordings: DataFrame, options: ViewOptions,
         rows = cut_lineage(rows, "resampled")
     if window_length is not None:
         info = info.drop("window_length").join(window_length, "recording_id")
-    widths = [r[0] for r in info.select("window_length").distinct().limit(1000).collect()]
-    parts = []
-    for width in widths:
-        part = rows
-        if len(widths) > 1:
-            same = info.where(F.col("window_length") == width).select(*CLIP)
-            part = rows.join(same, CLIP, "left_semi")
-        parts.append(W.segment_windows(part, int(width), CLIP).withColumn(
-            "window_length", F.lit(int(width)).cast("long")))
-    windows = parts[0]
-    for part in parts[1:]:
-        windows = windows.unionByName(part)
+    per_clip = info.select(*CLIP, "window_length")
+    rows = join_facts(rows, per_clip, CLIP, F.col("packet_index"), how="inner")
+    windows = W.segment_windows(rows, "window_length", CLIP)
     wanted = (options.subcarriers, options.tx_links, options.rx_links)
     if any(v is not None for v in wanted):
         if channels is None:

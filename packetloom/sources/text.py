@@ -15,7 +15,7 @@ from pyspark.sql import types as ST
 
 from packetloom.functions import arrays as A
 from packetloom.functions import text as T
-from packetloom.operators.ordered import with_position
+from packetloom.operators.ordered import join_facts, with_position
 from packetloom.session import cut_lineage
 
 CHANNEL_COLUMN = r"^(real|imag|amplitude)_l(\d+)_s(\d+)$"  # fixed value: channel header
@@ -151,7 +151,7 @@ def numeric_matrix(rows: DataFrame, strict: bool = True,
     used = (filled.select(*keys, F.explode(F.filter(F.transform(
                 "values", lambda x, i: F.when(x.isNotNull(), i)), lambda i: i.isNotNull())).alias("_c"))
             .distinct().groupBy(*keys).agg(F.sort_array(F.collect_set("_c")).alias("_keep")))
-    placed = filled.join(used, list(keys)).withColumn(
+    placed = join_facts(filled, used, list(keys), F.col(order[-1]), how="inner").withColumn(
         "values", F.transform("_keep", lambda i: F.get(F.col("values"), i))).drop("_keep")
     # one bucket per 4096 lines of a split: an order that grows with the file
     placed = placed.withColumn("_bucket", F.struct(
@@ -180,7 +180,8 @@ def read_array_cell_csv(spark: SparkSession, path: str | list[str], data_col: st
         "_id": F.monotonically_increasing_id(),
         "source_label": F.when(label != "", label).cast("string"),
         "values": parse_array_cell(data_col)})
-    rows = rows.select("recording_id", "_start", "_id", "source_label", "values").withColumn(
+    rows = cut_lineage(rows.select("recording_id", "_start", "_id", "source_label", "values"), "cells")
+    rows = rows.withColumn(
         "_bucket", F.struct("_start", F.shiftright("_id", 12).alias("part")))
     return with_position(rows, ["recording_id"], ["_start", "_id"], "_bucket", "packet_index"
                          ).drop("_bucket", "_start", "_id")
