@@ -49,11 +49,14 @@ def search_catalog(df: DataFrame, task: str = "", access: str = "", query: str =
 def catalog_stats(catalog: DataFrame, tasks: DataFrame, platform: Column, access: Column
                   ) -> DataFrame:
     """One row: entries, tasks, distinct platforms, directly accessible entries."""
-    left = catalog.agg(F.count(F.lit(1)).alias("datasets"),
-                       F.count_distinct(platform).alias("hardware_platforms"),
-                       F.count_if(access == "direct").alias("open_or_direct"))
-    right = tasks.agg(F.count(F.lit(1)).alias("tasks"))
-    return left.withColumn("_k", F.lit(1)).join(right.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    entries = catalog.select(F.lit(True).alias("entry"), platform.cast("string").alias("platform"),
+                             access.alias("access"))
+    named = tasks.select(F.lit(False).alias("entry"), F.lit(None).cast("string").alias("platform"),
+                         F.lit(None).cast("string").alias("access"))
+    return entries.unionByName(named).agg(
+        F.count_if("entry").alias("datasets"), F.count_distinct("platform").alias("hardware_platforms"),
+        F.count_if(F.col("access") == "direct").alias("open_or_direct"),
+        F.count_if(~F.col("entry")).alias("tasks"))
 
 
 def task_counts(catalog: DataFrame, tasks: DataFrame | None = None) -> DataFrame:

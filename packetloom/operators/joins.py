@@ -141,14 +141,12 @@ def check_manifest(records: DataFrame, members: DataFrame, files: DataFrame) ->
 
 def manifest_ok(records: DataFrame, missing: DataFrame) -> DataFrame:
     """One row: counts, and whether the run may be used."""
-    counts = records.agg(
-        F.count_if(F.col("status") == "converted").alias("converted"),
-        F.count_if(F.col("status") == "skipped").alias("skipped"),
-        F.count_if(F.col("status") == "failed").alias("failed"))
-    lost = missing.agg(F.count_if(F.col("kind") == "output").alias("missing_outputs"),
-                       F.count_if(F.col("kind") == "split member").alias("missing_members"))
-    both = counts.withColumn("_k", F.lit(1)).join(lost.withColumn("_k", F.lit(1)), "_k").drop("_k")
-    return both.withColumn("ok", (F.col("converted") > 0) & (F.col("failed") == 0)
+    facts = records.select(F.col("status").alias("fact")).unionByName(
+        missing.select(F.col("kind").alias("fact")))
+    names = {"converted": "converted", "skipped": "skipped", "failed": "failed",
+             "missing_outputs": "output", "missing_members": "split member"}
+    counts = facts.agg(*[F.count_if(F.col("fact") == v).alias(k) for k, v in names.items()])
+    return counts.withColumn("ok", (F.col("converted") > 0) & (F.col("failed") == 0)
                            & (F.col("missing_outputs") == 0) & (F.col("missing_members") == 0))
 
 

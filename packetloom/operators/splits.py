@@ -5,13 +5,13 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from packetloom.functions.paths import extract_metadata, predefined_split as path_split
 from packetloom.functions.text import natural_key
 from packetloom.operators.joins import layer_metadata
-from packetloom.operators.ordered import explode_range, with_position
+from packetloom.operators.ordered import explode_range
 
 PARTITIONS = ("train", "val", "test")
 DEFAULT_RATIOS = (0.7, 0.15, 0.15)  # fixed value: used where neither caller nor setting says
@@ -50,11 +50,30 @@ def build_inventory(recordings: DataFrame, overrides: DataFrame | None = None) -
     return layer_metadata(rows, overrides).select("sample_id", "source_file", "index", "metadata")
 
 
-def seeded_rank(df: DataFrame, key: str, seed: int, out: str) -> DataFrame:
-    """Global 0-based rank in the order of ``md5(key:seed)`` without a global sort."""
+def seeded_rank(df: DataFrame, key: str, seed: int, out: str, counted: Column | None = None,
+                total: str = "total", counted_total: str = "counted_total") -> DataFrame:
+    """Global 0-based rank in the order of ``md5(key:seed)`` without a global sort.
+
+    With ``counted`` only rows for which it holds take a place.  ``total`` is the number of rows
+    and ``counted_total`` that of counted ones.  Only the table of hash prefixes (at most 4096
+    rows) is seen as a whole.
+    """
     hashed = F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")).cast("binary"))
-    rows = df.withColumn("_hash", hashed).withColumn("_prefix", F.substring("_hash", 1, HASH_PREFIX))
-    return with_position(rows, [], ["_hash", key], "_prefix", out).drop("_hash", "_prefix")
+    step = F.lit(1) if counted is None else counted.cast("int")
+    rows = (df.withColumn("_hash", hashed).withColumn("_step", step.cast("long"))
+            .withColumn("_prefix", F.substring("_hash", 1, HASH_PREFIX)))
+    ahead = Window.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.orderBy("_prefix").rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing)
+    prefixes = rows.groupBy("_prefix").agg(F.sum("_step").alias("_c"), F.count(F.lit(1)).alias("_n"))
+    prefixes = prefixes.select(
+        "_prefix", F.coalesce(F.sum("_c").over(ahead), F.lit(0)).alias("_offset"),
+        F.sum("_n").over(everything).alias(total), F.sum("_c").over(everything).alias(counted_total))
+    inside = Window.partitionBy("_prefix").orderBy("_hash", key).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    return (rows.withColumn("_at", F.sum("_step").over(inside) - 1).join(prefixes, "_prefix")
+            .withColumn(out, F.col("_at") + F.col("_offset"))
+            .drop("_hash", "_prefix", "_step", "_at", "_offset"))
 
 
 def largest_remainder(n: Column, ratios: Sequence[float]) -> list[Column]:
@@ -78,12 +97,10 @@ def random_split(inventory: DataFrame, ratios: Sequence[float] | None = None, se
                  key: str = "sample_id") -> DataFrame:
     """Partitions of exact largest-remainder sizes, the same for the same ids and seed."""
     shares = checked_ratios(ratios)
-    total = inventory.agg(F.count(F.lit(1)).alias("_n")).withColumn("_one", F.lit(1))
-    ranked = seeded_rank(inventory, key, seed, "split_rank").withColumn("_one", F.lit(1))
-    rows = ranked.join(F.broadcast(total), "_one")  # one row
+    rows = seeded_rank(inventory, key, seed, "split_rank", total="_n", counted_total="_c")
     train, val, _ = largest_remainder(F.col("_n"), shares)
     return rows.withColumn("partition", F.when(F.col("split_rank") < train, "train").when(
-        F.col("split_rank") < train + val, "val").otherwise("test")).drop("_n", "_one")
+        F.col("split_rank") < train + val, "val").otherwise("test")).drop("_n", "_c")
 
 
 def _require(missing: DataFrame, column: str, message: str) -> None:
@@ -116,15 +133,11 @@ def group_assignment(groups: DataFrame, group_by: str, ratios: Sequence[float] |
         last = last.select(F.col("_l.group").alias("group"), F.lit(True).alias("_test"))
         tested = names.join(last, "group", "left").withColumn(
             "_test", F.coalesce("_test", F.lit(False)))
-    rest = seeded_rank(tested.where(~F.col("_test")), "group", seed, "_rank")
-    facts = tested.agg(F.count(F.lit(1)).alias("_groups"),
-                       F.count_if(~F.col("_test")).alias("_rest")).withColumn("_one", F.lit(1))
-    rest = rest.withColumn("_one", F.lit(1)).join(F.broadcast(facts), "_one")  # one row
+    rows = seeded_rank(tested, "group", seed, "_rank", ~F.col("_test"), "_groups", "_rest")
     share = F.lit(0) if shares[1] == 0 else F.when(F.col("_rest") < 2, 0).otherwise(
         F.greatest(F.lit(1), F.rint(F.col("_groups") * F.lit(shares[1])).cast("int")))
-    rest = rest.select("group", F.when(F.col("_rank") < share, "val").otherwise("train"
-                                                                               ).alias("partition"))
-    return rest.unionByName(tested.where("_test").select("group", F.lit("test").alias("partition")))
+    return rows.select("group", F.when(F.col("_test"), "test").when(
+        F.col("_rank") < share, "val").otherwise("train").alias("partition"))
 
 
 def group_holdout(inventory: DataFrame, group: Column, ratios: Sequence[float] | None = None,

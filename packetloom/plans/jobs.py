@@ -200,10 +200,8 @@ def view_policy(packets: DataFrame, recordings: DataFrame, dataset_id: str,
         return base, per.select("recording_id", "window_length"), policy
     info = W.target_lengths(clips, base.target_rate_hz)
     policy = W.window_policy(info, base.length_limit).withColumn("mode", F.lit("dataset-min"))
-    length = policy.select(F.col("selected_window_length").alias("window_length"),
-                           F.lit(1).alias("_one"))
-    per = recordings.select("recording_id", F.lit(1).alias("_one")).join(
-        F.broadcast(length), "_one").drop("_one")  # one row
+    shortest = policy.first()["selected_window_length"]  # the one number every recording waits for
+    per = recordings.select("recording_id", F.lit(shortest).cast("long").alias("window_length"))
     return replace(base, duration_s=None), per, policy
 
 

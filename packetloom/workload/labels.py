@@ -63,11 +63,8 @@ def turn_runs(spark, sf):
 
 def longest_run(spark, sf):
     runs = D.numbered_runs(_indexed(spark, sf), "source_label", [ID], "packet_index")
-    labels = table(spark, sf, "events").select(F.col("event_type").alias("source_label")).distinct()
-    users = runs.select(ID).distinct()
-    expected = users.withColumn("_k", F.lit(1)).join(
-        labels.unionByName(labels.sparkSession.createDataFrame([("never",)], "source_label string"))
-        .withColumn("_k", F.lit(1)), "_k").drop("_k")
+    labels = F.array(*map(F.lit, ("view", "purchase", "click", "signup", "error", "never")))
+    expected = runs.select(ID).distinct().select(ID, F.explode(labels).alias("source_label"))
     return D.longest_run(runs, cap=2, expected=expected)
 
 
@@ -77,7 +74,7 @@ best AS (
   QUALIFY row_number() OVER (PARTITION BY recording_id, source_label ORDER BY b - a DESC, a) = 1),
 expected AS (
   SELECT * FROM (SELECT DISTINCT recording_id FROM src),
-       (SELECT DISTINCT event_type AS source_label FROM events UNION ALL SELECT 'never'))
+       (VALUES ('view'), ('purchase'), ('click'), ('signup'), ('error'), ('never')) t(source_label))
 SELECT recording_id, source_label, a AS start_index, b AS end_index,
        CASE WHEN a IS NULL THEN 'no interval labelled ' || source_label END AS error
 FROM expected LEFT JOIN best USING (recording_id, source_label)"""

@@ -176,9 +176,9 @@ def class_coverage(spark, sf):
     docs = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id").select(
         F.concat_ws("/", "lang", "source").alias("class"), "doc_id")
     picked = SA.pick_per_class(docs, "class", F.col("doc_id"))
-    langs = table(spark, sf, "documents").select("lang").distinct().withColumn("_k", F.lit(1))
-    sources = table(spark, sf, "documents").select("source").distinct().withColumn("_k", F.lit(1))
-    documented = langs.join(sources, "_k").select(F.concat_ws("/", "lang", "source").alias("class"))
+    sources = F.transform(F.sequence(F.lit(0), F.lit(19)), lambda i: F.concat(F.lit("src"), i.cast("string")))
+    documented = table(spark, sf, "documents").select("lang").distinct().select(
+        "lang", F.explode(sources).alias("source")).select(F.concat_ws("/", "lang", "source").alias("class"))
     return SA.class_coverage(picked, documented, "class")
 
 
@@ -221,6 +221,6 @@ SQL = {
     "pick_per_class": """WITH d AS (SELECT *, CASE WHEN lang = 'de' THEN 'global' ELSE lang || '/' || source END AS class FROM documents)
         SELECT class, doc_id, n_chars FROM d QUALIFY row_number() OVER (PARTITION BY class ORDER BY n_chars, doc_id) = 1""",
     "class_coverage": """SELECT a.lang || '/' || b.source AS class FROM (SELECT DISTINCT lang FROM documents) a,
-        (SELECT DISTINCT source FROM documents) b
+        (SELECT 'src' || i AS source FROM range(20) t(i)) b
         WHERE a.lang || '/' || b.source NOT IN (SELECT lang || '/' || source FROM documents d JOIN labels l ON l.doc_id = d.doc_id)""",
 }
