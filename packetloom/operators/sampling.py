@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from packetloom.operators.ordered import explode_range, index_bucket, with_position
+from packetloom.operators.ordered import index_bucket, with_position
 from packetloom.operators.segments import tag_intervals
 from packetloom.session import cut_lineage
 
@@ -120,7 +120,7 @@ def order_by_vocabulary(df: DataFrame, label: str, order: DataFrame, out: str =
 
 
 __all__ = [
-    "capture_intervals", "class_coverage", "clip_per_action", "coverage_plan", "explode_range",
+    "capture_intervals", "class_coverage", "clip_per_action", "coverage_plan",
     "greedy_cover", "head_per_group", "missing_labels", "order_by_vocabulary", "pick_per_class",
     "stratified_pick",
 ]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from packetloom.operators.ordered import explode_range
@@ -84,7 +84,6 @@ def stream_capture_intervals(stream: DataFrame, intervals: DataFrame, cap: int,
             taken = before.groupBy("label").agg(F.count(F.lit(1)).alias("_taken"))
             counted = ranked.join(taken, "label", "left")
             # at most cap rows per label are left here, so this rank is small
-            from pyspark.sql import Window
             w = Window.partitionBy("label").orderBy(time, *keys, row_id)
             ranked = (counted.withColumn("_rn", F.row_number().over(w))
                       .where(F.col("_rn") + F.coalesce("_taken", F.lit(0)) <= cap)
