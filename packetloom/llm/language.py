@@ -17,8 +17,9 @@ from packetloom.llm.common import append, extended, mapped
 DICT_BYTES = 64 << 10     # of each language's dictionary
 SAMPLE_ROWS = 200         # about so many training rows are taken of each language
 SAMPLE_CHARS = 8192       # of each sampled row that may enter a dictionary
-CHUNK = 8192              # a text is packed in pieces, so that the dictionary stays in reach
-LEVEL = 1
+CHUNK = 16384             # a text is packed in pieces, so that the dictionary stays in reach
+LEVELS = (6, 12)          # the second, finer level decides when the first leaves a margin below UNSURE
+UNSURE = 0.04
 NARROW = 0.02             # margin below which a prediction is marked as rejected
 
 
@@ -52,25 +53,31 @@ class Packer:
 
     def __init__(self, contents: dict[str, bytes]):
         self.names = list(contents)
-        self.packers = []
-        for content in contents.values():
-            d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            d.precompute_compress(level=LEVEL)
-            self.packers.append(zstandard.ZstdCompressor(dict_data=d, level=LEVEL, write_content_size=False, write_dict_id=False))
-
-    def sizes(self, text: str) -> list[int]:
-        data = text.lower().encode()
+        self.packers: list[list] = []
+        for level in LEVELS:
+            self.packers.append([])
+            for content in contents.values():
+                d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+                d.precompute_compress(level=level)
+                self.packers[-1].append(zstandard.ZstdCompressor(dict_data=d, level=level, write_content_size=False, write_dict_id=False))
+
+    def ranked(self, data: bytes, packers: list) -> tuple[str, float]:
+        """The name with the smallest size, and the margin to the second."""
         pieces = [data[i: i + CHUNK] for i in range(0, len(data), CHUNK)]
-        return [sum(len(p.compress(x)) for x in pieces) for p in self.packers]
+        sizes = [sum(len(p.compress(x)) for x in pieces) for p in packers]
+        order = sorted(range(len(sizes)), key=lambda k: (sizes[k], self.names[k]))
+        margin = 1.0 if len(order) == 1 else 1 - sizes[order[0]] / sizes[order[1]]
+        return self.names[order[0]], float(np.clip(margin, 0.0, 1.0))
 
     def predict(self, text: str | None) -> tuple[str, float]:
         if not text or not self.names or not any(map(str.isalpha, text)):
             return "und", 0.0
-        sizes = self.sizes(text)
-        order = sorted(range(len(sizes)), key=lambda k: (sizes[k], self.names[k]))
-        best = order[0]
-        margin = 1.0 if len(order) == 1 else 1 - sizes[best] / sizes[order[1]]
-        return self.names[best], float(np.clip(margin, 0.0, 1.0))
+        data = text.lower().encode()
+        for packers in self.packers:
+            found = self.ranked(data, packers)
+            if found[1] >= UNSURE:
+                break
+        return found
 
 
 _packer: tuple[dict, Packer] | None = None
