@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from packetloom.llm import chat, decontaminate, language, lines, pieces, quality, tokenfiles, toxicity
+from packetloom.llm import chat, decontaminate, language, lines, ngram_join, pieces, quality, tokenfiles, toxicity
 
-MODULES = (chat, lines, language, tokenfiles, toxicity, quality, pieces, decontaminate)
+MODULES = (chat, lines, language, tokenfiles, toxicity, quality, pieces, ngram_join, decontaminate)
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 SQL = {name: q for m in MODULES for name, q in m.SQL.items()}
