@@ -260,7 +260,10 @@ class Join:
         found = copies
         pairs = grouped.where("doc <> low").select("level", F.col("low").alias("a"), F.col("doc").alias("b")).distinct()
         for k in range(PIVOT_ROUNDS):
-            found = cut_lineage(found.unionByName(self.verified(self.plausible(pairs))), "links")
+            fresh = cut_lineage(self.verified(self.plausible(pairs)), "links")
+            if k and fresh.isEmpty():
+                break     # groups of documents that are not alike: further pivots would find no more
+            found = cut_lineage(found.unionByName(fresh), "links")
             part = cut_lineage(components(found), "components")
             named = (join_small(grouped.drop("low"), part.withColumnRenamed("doc", "member"), F.col("doc") == F.col("member"), "left", 32)
                      .select("key", "doc", "level", F.coalesce("component", "doc").alias("component")))
