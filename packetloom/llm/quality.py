@@ -19,7 +19,7 @@ MIN_WORDS, MAX_REPEAT = 50, 50      # fixed values: fewer words, or more percent
 MIN_CONTENT = 0.5                   # share of words that content lines must hold
 SYMBOLS = b"#*$%&|<>"               # fixed values
 NOT_SPACE = byte_set(SPACE)
-TRAIN_ROWS = 600                    # documents of each label, by smallest id hash
+TRAIN_ROWS = 300                    # documents of each label, by smallest id hash
 TRAIN_BYTES, TRAIN_LINES = 32 << 10, 40   # of each: longest text, most lines
 FEATURES = 11
 
@@ -135,7 +135,7 @@ def viterbi(emit: np.ndarray, counts: np.ndarray, trans: np.ndarray) -> np.ndarr
     return label
 
 
-def fit(features: np.ndarray, counts: np.ndarray, labels: np.ndarray, rounds: int = 120, pull: float = 2e-3) -> tuple[np.ndarray, np.ndarray]:
+def fit(features: np.ndarray, counts: np.ndarray, labels: np.ndarray, rounds: int = 80, pull: float = 2e-3) -> tuple[np.ndarray, np.ndarray]:
     """Weights and transitions by gradient ascent on the conditional likelihood.
 
     ``labels`` is 0 or 1 for each line; all sequences run forward and backward together.
