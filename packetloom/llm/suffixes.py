@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from packetloom.llm.common import Hasher, append, as_signed, extended, flat, join_small, mapped, mix, ragged, ship, slices
+from packetloom.llm.common import Hasher, as_signed, extended, flat, mapped, mix, ragged, ship
 from packetloom.llm.decontaminate import merged
 from packetloom.session import cut_lineage
 
@@ -235,7 +235,7 @@ def repeated_spans(texts: DataFrame, span: int = SPAN, hot: int = HOT_CONTEXTS)
                                                                       F.struct("anchor", F.col("first.low").alias("low"), "n", "hot").alias("one"))
               .groupBy("of", "of_nth").agg(F.collect_list("one").alias("all")))
     wanted = cut_lineage(wanted, "wanted_contexts")
-    joined = join_small(texts, wanted, (F.col("doc") == F.col("of")) & (F.col("nth") == F.col("of_nth")), "inner", 512).select("doc", "nth", "text", "all")
+    joined = texts.join(wanted, (F.col("doc") == F.col("of")) & (F.col("nth") == F.col("of_nth"))).select("doc", "nth", "text", "all")
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         buf, offsets = flat(batch.column("text"))
@@ -299,7 +299,7 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text", sp
     texts = keyed.select(F.col("__doc").alias("doc"), F.col("__nth").alias("nth"), F.col("__text").alias("text"))
     spans = repeated_spans(texts, span).groupBy("doc", "nth").agg(F.collect_list(F.struct("start", "end")).alias("__spans"))
     spans = cut_lineage(spans.select(F.col("doc").alias("__of"), F.col("nth").alias("__of_nth"), "__spans"), "spans")
-    joined = join_small(keyed, spans, (F.col("__doc") == F.col("__of")) & (F.col("__nth") == F.col("__of_nth")), "left", 512).drop("__of", "__of_nth", "__doc", "__nth")
+    joined = keyed.join(spans, (F.col("__doc") == F.col("__of")) & (F.col("__nth") == F.col("__of_nth")), "left").drop("__of", "__of_nth", "__doc", "__nth")
     schema = extended(docs, n_bytes="bigint", n_removed="bigint", n_spans="bigint", kept_bytes="binary")
     return mapped(joined, _remove, schema, "__text")
 
