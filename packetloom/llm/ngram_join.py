@@ -36,7 +36,7 @@ SHARE = 64             # one of so many documents goes into the sample that orde
 HOT_COUNT = 3          # words in at least so many documents of the sample come last
 HOT_WORDS = 200_000    # most words that are put last; which ones changes the work only
 SMALL_GROUP = 32       # groups up to this size may meet pairwise, behind the bit sketch
-PIVOT_ROUNDS = 6
+PIVOT_ROUNDS = 2
 NOT_SPACE = byte_set(SPACE)
 _U = np.uint64
 
@@ -210,6 +210,19 @@ def components(links: DataFrame) -> DataFrame:
         edges.select(F.col("v").alias("doc"), F.col("v").alias("component")).distinct())
 
 
+def merge_components(part: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Components of earlier links and new ones: only the components that new links join are looked at."""
+    if part is None:
+        return cut_lineage(components(links), "components")
+    names = part.select(F.col("doc").alias("of"), F.col("component").alias("name"))
+    lifted = (links.join(names, F.col("a") == F.col("of"), "left").select(F.coalesce("name", "a").alias("a"), "b")
+              .join(names, F.col("b") == F.col("of"), "left").select("a", F.coalesce("name", "b").alias("b")))
+    moved = cut_lineage(components(lifted), "components").select(F.col("doc").alias("was"), F.col("component").alias("now"))
+    old = part.join(moved, F.col("component") == F.col("was"), "left").select("doc", F.coalesce("now", "component").alias("component"))
+    fresh = moved.join(part, F.col("was") == F.col("doc"), "left_anti").select(F.col("was").alias("doc"), F.col("now").alias("component"))
+    return cut_lineage(old.unionByName(fresh), "components")
+
+
 def _set_rows(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     """The shingle sets of the wanted docs."""
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -247,25 +260,25 @@ class Join:
         union = F.size("sa") + F.size("sb") - both
         return pairs.join(b, "b").join(a, "a").where(both * 100 >= union * self.percent).select("a", "b")
 
-    def links(self) -> DataFrame:
-        """Enough links to join every two similar docs by a path, all of them verified."""
+    def parts(self) -> DataFrame:
+        """The component of every linked doc; every link was verified on the sets."""
         copies = cut_lineage(self.classes(), "copies")
         keyed = self.sketches.select("doc", "level", F.explode("keys").alias("key"))
-        shared = (keyed.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low <> high")
-                  .select(F.col("key").alias("shared"), "low"))
-        grouped = keyed.join(shared, F.col("key") == F.col("shared")).select("key", "doc", "level", "low")
+        shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("key").alias("shared"))
+        grouped = keyed.join(shared, F.col("key") == F.col("shared")).select("key", "doc", "level")
         gone = copies.select(F.col("b").alias("copy"))
         grouped = cut_lineage(join_small(grouped, gone, F.col("doc") == F.col("copy"), "left_anti", 16), "groups")
-        # copies are gone: the smallest doc of a set is its representative, so ``low`` is still a member
-        found = copies
-        pairs = grouped.where("doc <> low").select("level", F.col("low").alias("a"), F.col("doc").alias("b")).distinct()
+        found, part = copies, None
+        first = grouped.groupBy("key").agg(F.min("doc").alias("low")).select(F.col("key").alias("of"), "low")
+        pairs = (grouped.join(first, F.col("key") == F.col("of")).where("doc <> low")
+                 .select("level", F.col("low").alias("a"), F.col("doc").alias("b")).distinct())
         for k in range(PIVOT_ROUNDS):
             fresh = cut_lineage(self.verified(self.plausible(pairs)), "links")
             if k and fresh.isEmpty():
                 break     # groups of documents that are not alike: further pivots would find no more
-            found = cut_lineage(found.unionByName(fresh), "links")
-            part = cut_lineage(components(found), "components")
-            named = (join_small(grouped.drop("low"), part.withColumnRenamed("doc", "member"), F.col("doc") == F.col("member"), "left", 32)
+            found = found.unionByName(fresh)
+            part = merge_components(part, fresh if k else found)
+            named = (join_small(grouped, part.withColumnRenamed("doc", "member"), F.col("doc") == F.col("member"), "left", 32)
                      .select("key", "doc", "level", F.coalesce("component", "doc").alias("component")))
             mixed = named.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count(F.lit(1)).alias("members")).where("c0 <> c1")
             # a group of two has met already
@@ -278,14 +291,15 @@ class Join:
             pairs = (open_.join(pivot, F.col("key") == F.col("of")).where(F.col("component") != F.col("pivot.component"))
                      .select("level", F.least("doc", "pivot.doc").alias("a"), F.greatest("doc", "pivot.doc").alias("b")).distinct())
         if not top:
-            return found
+            return part
         # what is left meets within its group, if in different components, behind the bit sketches
         bits = self.sketches.select(F.col("doc").alias("of"), F.col("level").alias("of_level"), "n", "bits")
         rest = cut_lineage(open_.join(bits, (F.col("doc") == F.col("of")) & (F.col("level") == F.col("of_level"))).select("key", "doc", "component", "n", "bits"), "rest")
         x, y = rest.alias("x"), rest.alias("y")
         pairs = (x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.doc") < F.col("y.doc")) & (F.col("x.component") != F.col("y.component"))
                         & _plausible("x", "y", self.percent)).select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b")).distinct())
-        return cut_lineage(found.unionByName(self.verified(pairs)), "links")
+        fresh = cut_lineage(self.verified(pairs), "links")
+        return part if fresh.isEmpty() else merge_components(part, fresh)
 
     def plausible(self, pairs: DataFrame) -> DataFrame:
         """Pairs (``level``, ``a``, ``b``) that the bit sketches do not rule out."""
@@ -315,7 +329,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
         again = join_small(ids, twice, F.col("doc") == F.col("again"), "left_semi", 16).groupBy("doc").agg(F.max("text").alias("text"))
         texts = join_small(ids.where("doc is not null"), twice, F.col("doc") == F.col("again"), "left_anti", 16).unionByName(again)
     join = Join(texts, percent)
-    part = cut_lineage(components(join.links()), "components").withColumnRenamed("doc", "member")
+    part = join.parts().withColumnRenamed("doc", "member")
     sized = join.sketches.groupBy("doc").agg(F.max("n").alias("n"))
     every = ids.select("doc").distinct()
     out = (every.join(sized.withColumnRenamed("doc", "sized"), F.col("doc") == F.col("sized"), "left")
