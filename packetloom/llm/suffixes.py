@@ -25,7 +25,8 @@ from packetloom.llm.decontaminate import merged
 from packetloom.session import cut_lineage
 
 SPAN, GRAM = 100, 24
-BLOCK_BYTES = 4 << 20     # text of one suffix array, whole anchors
+BLOCK_BYTES = 1 << 20     # text of one suffix array, whole anchors
+SLICE = 1 << 20           # text whose windows a task hashes at once
 HOT_CONTEXTS = 8192       # anchors with more distinct contexts have each window compared by itself
 _LOW = (1 << 31) - 1
 
@@ -222,9 +223,9 @@ def repeated_spans(texts: DataFrame, span: int = SPAN, hot: int = HOT_CONTEXTS)
     keyed by (``doc, nth``) in that order."""
     session = texts.sparkSession
     ship(session)
-    twice = (mapped(texts, lambda b: _anchors(b, True, span), "anchor bigint").groupBy("anchor").agg(F.count(F.lit(1)).alias("c"))
+    twice = (mapped(texts, lambda b: _anchors(b, True, span), "anchor bigint", limit=SLICE).groupBy("anchor").agg(F.count(F.lit(1)).alias("c"))
              .where("c > 1").select(F.col("anchor").alias("again")))
-    found = cut_lineage(mapped(texts, lambda b: _anchors(b, False, span), ANCHOR).join(twice, F.col("anchor") == F.col("again")).drop("again"), "anchors")
+    found = cut_lineage(mapped(texts, lambda b: _anchors(b, False, span), ANCHOR, limit=SLICE).join(twice, F.col("anchor") == F.col("again")).drop("again"), "anchors")
     first = found.groupBy("anchor", "whole").agg(F.min(F.struct("doc", "nth", "low")).alias("first"), F.first("n").alias("n"), F.count(F.lit(1)).alias("copies"))
     first = cut_lineage(first, "contexts")
     copied = first.where("copies > 1").select(F.col("anchor").alias("a"), F.col("whole").alias("w"), "first")
