@@ -20,7 +20,8 @@ from packetloom.llm.common import append, extended, flat, lists, mapped, mix, ra
 
 META = "▁"             # stands for a space
 UNKNOWN = -1                # a code point that is no piece
-CACHED = 200_000            # words whose pieces a task keeps
+CACHED = 500_000            # words whose pieces a task keeps
+SLICE = 8 << 20             # text whose distinct words advance together
 _STEP = np.uint64(0x9FB21C651E98DF25)
 
 
@@ -266,7 +267,7 @@ def encode_pieces(docs: DataFrame, model: str, kind: str = "bpe", text: str = "t
         own = codec(model, kind)
         ids, counts = own.encode(batch.column(text))
         return append(batch, piece_ids=lists(ids, counts, pa.int32()), decoded=pa.array(own.decode(ids, counts), pa.string()))
-    return mapped(docs, work, extended(docs, piece_ids="array<int>", decoded="string"), text)
+    return mapped(docs, work, extended(docs, piece_ids="array<int>", decoded="string"), text, SLICE)
 
 
 def digests(docs: DataFrame, model: str, kind: str = "bpe", text: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -278,7 +279,7 @@ def digests(docs: DataFrame, model: str, kind: str = "bpe", text: str = "text",
         sums = [zlib.crc32(ids[b - n: b].astype("<i4").tobytes()) for b, n in zip(cut, counts, strict=True)]
         return append(batch, n_pieces=pa.array(counts), ids_crc32=pa.array(sums, pa.int64()), decoded=pa.array(own.decode(ids, counts), pa.string()))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
-    done = mapped(rows, work, extended(rows, n_pieces="bigint", ids_crc32="bigint", decoded="string"))
+    done = mapped(rows, work, extended(rows, n_pieces="bigint", ids_crc32="bigint", decoded="string"), limit=SLICE)
     return done.select("doc_id", "n_pieces", "ids_crc32", F.sha2("decoded", 256).alias("decoded_sha256"),
                        (F.coalesce("text", F.lit("")) == F.col("decoded")).alias("round_trip"))
 

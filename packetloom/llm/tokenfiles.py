@@ -25,11 +25,11 @@ from packetloom.session import cut_lineage, scratch_path
 
 MAGIC = b"TOKSHRD1"
 HEAD = struct.Struct("<8sII16s")
-SHARD_BYTES = 4 << 20      # of text that one shard holds, or one longer document
+SHARD_BYTES = 8 << 20      # of text that one shard holds, or one longer document
 SAMPLE_ROWS, SAMPLE_BYTES = 500, 32 << 10   # rows that the dictionary is trained on, and their longest
 DICT_BYTES = 32 << 10
 LEVEL = 1
-CACHED = 200_000           # pieces whose ids a task keeps
+CACHED = 600_000           # pieces whose ids a task keeps
 NOT_SPACE = byte_set(SPACE)
 
 
