@@ -102,20 +102,31 @@ def csi_bench(df: DataFrame, shapes: DataFrame) -> DataFrame:
         "amplitude", A.as_floats("amplitude"))
 
 
+def _rejecting(rows: DataFrame, work) -> DataFrame:
+    """A recording with a bad row fails as a whole: it comes out as one row with its ``error``.
+
+    The other recordings go through ``work`` and have no error.
+    """
+    bad = rows.where(F.col("error").isNotNull()).groupBy(ID).agg(F.min("error").alias("error"))
+    good = rows.join(bad.select(F.col(ID).alias("_bad")), F.col(ID) == F.col("_bad"), "left_anti")
+    return work(good.drop("error")).unionByName(bad, allowMissingColumns=True)
+
+
 def csida(amplitude: DataFrame, phase: DataFrame | None = None, labels: DataFrame | None = None
           ) -> DataFrame:
     """``sample_index`` and ``amplitude`` (time x 3 x 114) with optional ``phase_rad`` and labels."""
-    rows, columns = amplitude, ["amplitude"]
-    if phase is not None:
-        both = J.pair_join(amplitude, phase, [ID, "sample_index"], ("amplitude", "phase_rad"))
-        rows = both.where(F.col("error").isNull()).drop("error")
-        columns = ["amplitude", "phase_rad"]
-    if labels is not None:
-        rows = rows.join(labels, [ID, "sample_index"], "left")
-    rows = _split(rows, columns, 3 * 114)
-    for c in columns:
-        rows = L.permute_axes(rows, c, ["rx", "sub"], ["sub", "rx"], {"rx": 3, "sub": 114})
-    return S.from_polar(rows) if phase is not None else rows
+    columns = ["amplitude"] if phase is None else ["amplitude", "phase_rad"]
+
+    def packets(rows: DataFrame) -> DataFrame:
+        if labels is not None:
+            rows = rows.join(labels, [ID, "sample_index"], "left")
+        rows = _split(rows, columns, 3 * 114)
+        for c in columns:
+            rows = L.permute_axes(rows, c, ["rx", "sub"], ["sub", "rx"], {"rx": 3, "sub": 114})
+        return S.from_polar(rows) if phase is not None else rows
+    if phase is None:
+        return packets(amplitude)
+    return _rejecting(J.pair_join(amplitude, phase, [ID, "sample_index"], ("amplitude", "phase_rad")), packets)
 
 
 def ehunam(df: DataFrame, path: str = "path") -> DataFrame:
@@ -167,9 +178,10 @@ def figshare_csi_har(spark: SparkSession, data: str | list[str], labels: str | l
 
 
 def _usrp(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    matrix = ST.read_numeric_csv(spark, path)
-    rows = L.orient_time_first(matrix.where(F.col("error").isNull()), "values", [51, 52])
-    return rows.withColumn("amplitude", A.as_floats("values")).drop("values")
+    def packets(matrix: DataFrame) -> DataFrame:
+        rows = L.orient_time_first(matrix, "values", [51, 52])
+        return rows.withColumn("amplitude", A.as_floats("values")).drop("values")
+    return _rejecting(ST.read_numeric_csv(spark, path), packets)
 
 
 def glasgow_activity_localization(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -309,13 +321,13 @@ def wiar(df: DataFrame, tx: int, rx: int, path: str = "path") -> DataFrame:
 
 
 def widar3(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    rows = ST.read_numeric_csv(spark, path)
-    rows = _expect(rows, "values", [400], "expected 400 velocity bins")
-    rows = rows.withColumn("bvp", A.as_floats("values")).drop("values", "error")
-    mean, std = V.WIDAR_NORMALIZATION
-    rows = S.affine_companion(rows, "bvp", mean, std, "official_normalized_bvp")
-    return P.extract_gesture(rows.withColumnRenamed("row_index", "packet_index"), ID).withColumn(
-        "source_label", F.col("gesture"))
+    def packets(rows: DataFrame) -> DataFrame:
+        rows = rows.withColumn("bvp", A.as_floats("values")).drop("values")
+        mean, std = V.WIDAR_NORMALIZATION
+        return S.affine_companion(rows, "bvp", mean, std, "official_normalized_bvp").withColumnRenamed("row_index", "packet_index")
+    cells = ST.read_numeric_csv(spark, path)
+    sized = cells.withColumn("error", F.coalesce("error", F.when(F.size("values") != 400, F.lit("expected 400 velocity bins"))))
+    return P.extract_gesture(_rejecting(sized, packets), ID).withColumn("source_label", F.col("gesture"))
 
 
 def wifi_80mhz(df: DataFrame, bins: int, path: str = "path") -> DataFrame:

@@ -82,21 +82,30 @@ def read_overrides(spark: SparkSession, csv_path: str | None = None, jsonl_path:
 
 
 def _ids(node: Column) -> Column:
-    """The ids in a JSON node: a scalar, a list of those, or an object holding a list."""
+    """The ids in a JSON node: a scalar, a list of those, or an object holding a list.
+
+    An object without an id field holds none; text that only looks like a list is an id.
+    """
     field = F.coalesce(*[F.get_json_object(node, f"$.{f}") for f in ID_FIELDS])
-    listed = F.when(F.startswith(F.ltrim(node), F.lit("{")), field).otherwise(node)
+    is_object = F.startswith(F.ltrim(node), F.lit("{"))
+    listed = F.when(is_object, field).otherwise(node)
     as_list = F.from_json(listed, ST.ArrayType(ST.StringType()))
-    return F.when(F.startswith(F.ltrim(listed), F.lit("[")), as_list).when(
-        listed.isNotNull(), F.array(listed))
+    return F.when(listed.isNull(), F.array().cast("array<string>")).when(
+        F.startswith(F.ltrim(listed), F.lit("[")), F.coalesce(as_list, F.array(listed))).otherwise(F.array(listed))
+
+
+def _is_list(text: Column) -> Column:
+    return F.ltrim(text).rlike(r"^[\[{]") & F.try_parse_json(text).isNotNull()
 
 
-def flatten_ids(node: Column, depth: int = 4) -> Column:
-    """All ids below a JSON node, in order, lists and objects opened down to ``depth`` levels."""
+def flatten_ids(node: Column, depth: int = 16) -> Column:
+    """All ids below a JSON node, in order.  An odd item costs itself only; lists nested deeper than
+    ``depth`` are an error and not silently an id."""
     out = _ids(node)
     for _ in range(depth - 1):
-        out = F.flatten(F.transform(out, lambda x: F.when(
-            F.ltrim(x).rlike(r"^[\[{]"), _ids(x)).otherwise(F.array(x))))
-    return F.filter(out, lambda x: x.isNotNull())
+        out = F.flatten(F.transform(out, lambda x: F.when(F.ltrim(x).rlike(r"^[\[{]"), _ids(x)).otherwise(F.array(x))))
+    out = F.filter(out, lambda x: x.isNotNull())
+    return F.when(F.exists(out, _is_list), F.raise_error(F.lit("a split list is nested too deeply"))).otherwise(out)
 
 
 def split_members(payloads: DataFrame, path: str = "path", text: str = "text") -> DataFrame:

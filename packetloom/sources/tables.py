@@ -80,10 +80,15 @@ def samples_to_packets(df: DataFrame, column: str, keys: Sequence[str] = ("recor
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ("dataset_id",),
                 fmt: str = "parquet", sort_by: Sequence[str] = (), mode: str = "errorifexists") -> None:
-    """Write a result; rows may be sorted inside each file so that row groups can be skipped."""
+    """Write a result; rows may be sorted inside each file so that row groups can be skipped.
+
+    Overwriting replaces the partitions that ``df`` has rows of and leaves the others alone.
+    """
     if fmt not in ("parquet", "json", "orc"):
         raise ValueError("fmt must be parquet, json or orc")
     out = df.sortWithinPartitions(*sort_by) if sort_by else df
     writer = out.write.mode(mode).format(fmt)
     keep = [c for c in partition_by if c in df.columns]
-    (writer.partitionBy(*keep) if keep else writer).save(path)
+    if keep:
+        writer = writer.partitionBy(*keep).option("partitionOverwriteMode", "dynamic")
+    writer.save(path)

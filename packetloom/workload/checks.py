@@ -205,7 +205,7 @@ UNION ALL SELECT CAST(p_partkey AS VARCHAR), 'invalid note' FROM part WHERE p_si
 
 def check_constraints(spark, sf):
     docs = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left").withColumn(
-        "words", F.slice(F.split("text", " "), 1, 6)).withColumn(
+        "words", F.split("text", " ")).withColumn(
         "day", F.when(F.col("n_chars") % 7 == 0, F.lit("2026-02-30")).otherwise(F.lit("2026-02-27")))
     return C.check_constraints(docs, "doc_id", {
         "lang": {"enum": ["en", "fr", "de"]}, "source": {"pattern": "^src1?[0-5]$", "min_length": 5},
@@ -215,7 +215,7 @@ def check_constraints(spark, sf):
 
 CONSTRAINT_SQL = r"""
 WITH d AS (
-  SELECT d.*, l.quality, string_split(text, ' ')[1:6] AS words FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id)
+  SELECT d.*, l.quality, string_split(text, ' ') AS words FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id)
 SELECT CAST(doc_id AS VARCHAR) AS id, 'lang: enum' AS violation FROM d WHERE lang NOT IN ('en', 'fr', 'de')
 UNION ALL SELECT CAST(doc_id AS VARCHAR), 'source: pattern' FROM d WHERE NOT regexp_matches(source, '^src1?[0-5]$')
 UNION ALL SELECT CAST(doc_id AS VARCHAR), 'source: min_length' FROM d WHERE length(source) < 5

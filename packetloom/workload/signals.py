@@ -219,10 +219,9 @@ SQL = {
     "from_polar": f"""WITH {IQ_SQL} SELECT vec_id, pos, {q6('CAST(re * cos(im) AS FLOAT)')} AS re,
         {q6('CAST(re * sin(im) AS FLOAT)')} AS im FROM iq""",
     "power_db_rel": POWER_SQL,
-    "deinterleave_iq": f"""WITH {FULL_SQL}
-        SELECT a.vec_id, CAST(a.pos // 2 AS INT) AS pos, {q6('b.x')} AS re, {q6('a.x')} AS im
-        FROM full_cells a JOIN full_cells b ON a.vec_id = b.vec_id AND b.pos = a.pos + 1
-        WHERE a.pos % 2 = 0""",
+    "deinterleave_iq": f"""WITH c AS (SELECT vec_id, CAST(i AS INT) AS pos, CAST(embedding[2 * i + 2] AS DOUBLE) AS a, CAST(embedding[2 * i + 1] AS DOUBLE) AS b
+            FROM embeddings, range(32) t(i))
+        SELECT vec_id, pos, {q6('a')} AS re, {q6('b')} AS im FROM c""",
     "select_subcarriers": f"""WITH {FULL_SQL}
         SELECT vec_id, CAST(row_number() OVER (PARTITION BY vec_id ORDER BY pos) - 1 AS INT) AS pos,
                CAST(pos AS INT) AS carrier, {q6('x')} AS x

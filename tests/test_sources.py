@@ -104,3 +104,22 @@ def test_audit(spark, folder):
     assert got == {"a.bin": None, "b.bin": "missing file"}
     wrong = want.withColumn("checksum", F.lit("md5:0"))
     assert DI.audit_sources(files, wrong).where("name = 'a.bin'").first()["error"] == "checksum mismatch"
+
+
+def test_overwriting_one_data_set_leaves_the_others(spark, folder):
+    from packetloom.sources.tables import write_table
+    path = str(folder / "sink")
+    for name in ("one", "two"):
+        write_table(spark.createDataFrame([(name, 1)], "dataset_id string, n int"), path, mode="overwrite")
+    write_table(spark.createDataFrame([("two", 2)], "dataset_id string, n int"), path, mode="overwrite")
+    assert sorted((r.dataset_id, r.n) for r in spark.read.parquet(path).collect()) == [("one", 1), ("two", 2)]
+
+
+def test_odd_items_of_a_split_list_cost_themselves_only(spark):
+    from packetloom.sources.discovery import split_members
+    texts = ['{"train":["a","b",{"note":"x"}]}', '{"train":["a","[run1]/b.mat","c"]}', '{"train":[[[[["deep5"]]]]]}']
+    rows = spark.createDataFrame([(f"s{i}.json", t) for i, t in enumerate(texts)], "path string, text string")
+    found = {}
+    for r in split_members(rows).orderBy("path", "position").collect():
+        found.setdefault(r.path, []).append(r.member)
+    assert found == {"s0.json": ["a", "b"], "s1.json": ["a", "[run1]/b.mat", "c"], "s2.json": ["deep5"]}
