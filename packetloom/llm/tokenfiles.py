@@ -37,7 +37,8 @@ class Encoder:
     """Ids of whole texts by a tokenizer that drops white space.
 
     Such a tokenizer treats the stretches between white space one by one, so each distinct stretch
-    of a slice is given to the library once.
+    of a slice is given to the library once.  A stretch is also cut between an ASCII letter and a
+    mark that the tokenizer keeps apart from letters, unless an added token holds such a pair.
     """
 
     def __init__(self, path: str):
@@ -45,6 +46,15 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.cache: dict[bytes, np.ndarray] = {}
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        joined = {b for t in added for a, b in zip(t, t[1:], strict=False) if a.isalpha()}
+
+        def ids(text: str) -> list[int]:
+            return self.tokenizer.encode(text, add_special_tokens=False).ids
+        self.cut_before = np.zeros(256, bool)
+        for mark in ".,;:!?|*#$%&)":
+            if mark not in joined and all(ids(x + mark + y) == ids(x) + ids(mark + y) for x in ("a", "Thing") for y in ("", "b", mark, "'s")):
+                self.cut_before[ord(mark)] = True
 
     def _new(self, pieces: list[bytes]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)
@@ -56,6 +66,11 @@ class Encoder:
         start, end, row = words(buf, offsets, NOT_SPACE)
         if not len(start):
             return np.zeros(0, np.uint32), np.zeros(len(offsets) - 1, np.int64)
+        letter = buf | 32
+        cut = np.flatnonzero(self.cut_before[buf[1:]] & (letter[:-1] >= 97) & (letter[:-1] <= 122) & (buf[:-1] < 128)) + 1
+        cut = cut[~np.isin(cut, offsets)]     # never between rows: there words end anyway
+        start, end = np.sort(np.concatenate([start, cut])), np.sort(np.concatenate([end, cut]))
+        row = np.searchsorted(offsets, start, "right") - 1
         size = end - start
         bounds = np.zeros(len(start) + 1, np.int64)
         np.cumsum(size, out=bounds[1:])
@@ -97,10 +112,12 @@ def with_end(ids: np.ndarray, counts: np.ndarray, end_id: int) -> list[bytes]:
 def train_dictionary(docs: DataFrame, text: str, path: str, end_id: int, seed_col: str) -> bytes:
     """A zstandard dictionary from the ids of at most ``SAMPLE_ROWS`` rows (smallest hashes of
     ``seed_col``); too few rows give a raw-content dictionary or, without rows, none."""
-    rows = (docs.where(F.octet_length(text) <= SAMPLE_BYTES).select(F.col(text).alias("text"), F.xxhash64(seed_col).alias("at"))
-            .orderBy("at", "text").limit(SAMPLE_ROWS).collect())
-    if not rows:
+    short = docs.where(F.octet_length(text) <= SAMPLE_BYTES).select(F.col(text).alias("text"), F.xxhash64(seed_col).alias("at"))
+    # the hashes alone meet on the driver first: tasks must not send it their texts
+    last = short.select("at").orderBy("at").limit(SAMPLE_ROWS).agg(F.max("at").alias("at")).first()["at"]
+    if last is None:
         return b""
+    rows = sorted(short.where(F.col("at") <= last).limit(2 * SAMPLE_ROWS).collect(), key=lambda r: (r["at"], r["text"]))[:SAMPLE_ROWS]
     samples = with_end(*encoder(path).encode(pa.array([r["text"] for r in rows], pa.large_string())), end_id)
     try:
         return zstandard.train_dictionary(DICT_BYTES, samples).as_bytes()
