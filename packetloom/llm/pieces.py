@@ -21,8 +21,11 @@ from packetloom.llm.common import append, extended, flat, lists, mapped, mix, ra
 META = "▁"             # stands for a space
 UNKNOWN = -1                # a code point that is no piece
 CACHED = 500_000            # words whose pieces a task keeps
+MET_BITS = 20               # piece pairs whose answer a task keeps, as a power of two
 SLICE = 8 << 20             # text whose distinct words advance together
 _STEP = np.uint64(0x9FB21C651E98DF25)
+_PAIR = np.uint64(0xD1342543DE82EF95)
+_HIGH = np.uint64(43)       # the top 21 bits of a key tell most misses without a search
 
 
 def _spelled(text: str) -> np.ndarray:
@@ -36,6 +39,13 @@ def _key(points: np.ndarray) -> np.uint64:
     return mix(h)[0]
 
 
+def _marked(keys: np.ndarray) -> np.ndarray:
+    """Which top bits some key has."""
+    out = np.zeros(1 << 21, bool)
+    out[keys >> _HIGH] = True
+    return out
+
+
 class Model:
     """The pieces of a model file as arrays: keys, scores, merges, and the last merge of each piece."""
 
@@ -79,6 +89,8 @@ class Model:
         sort = np.argsort(keys)
         self.keys, self.ids = keys[sort], np.array(list(usable.values()), np.int64)[sort]
         pairs = np.array(sorted(merges), np.int64)
+        self.seen, self.pair_seen = _marked(self.keys), _marked(pairs.astype(np.uint64) * _PAIR)
+        self.met = np.full(1 << MET_BITS, np.iinfo(np.int64).min, np.int64)
         self.pairs, self.pair_rank = pairs, np.array([merges[p] for p in pairs.tolist()], np.int64)
         self.n = n
         inside = {c for p in pieces if len(p) > 1 for c in p}
@@ -97,6 +109,17 @@ class Model:
         return None if None in found else (found[0], found[1])
 
     def apart(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """``_stay_apart``, with a table of pairs met before (each slot keeps its latest pair)."""
+        key = ((a + 1) * (self.n + 1) + b + 1) * 2
+        slot = ((key.astype(np.uint64) * _PAIR) >> np.uint64(64 - MET_BITS)).astype(np.int64)
+        held = self.met[slot]
+        new = np.flatnonzero(held & ~1 != key)
+        if len(new):
+            found = key[new] | self._stay_apart(a[new], b[new])
+            self.met[slot[new]] = held[new] = found
+        return (held & 1).astype(bool)
+
+    def _stay_apart(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether merging leaves these two pieces side by side.
 
         Takes the later of the two back to its own last merge, again and again: a merge across the
@@ -108,8 +131,10 @@ class Model:
         limit = np.full(len(live), np.iinfo(np.int64).max)
         while len(live):
             key = a * self.n + b
-            at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
-            joined = (self.pairs[at] == key) & (self.pair_rank[at] < limit)
+            maybe = np.flatnonzero(self.pair_seen[(key.astype(np.uint64) * _PAIR) >> _HIGH])
+            at = np.minimum(np.searchsorted(self.pairs, key[maybe]), len(self.pairs) - 1)
+            joined = np.zeros(len(key), bool)
+            joined[maybe] = (self.pairs[at] == key[maybe]) & (self.pair_rank[at] < limit[maybe])
             out[live[joined]] = False
             ra, rb = self.rank[a], self.rank[b]
             more = ~joined & ((ra >= 0) | (rb >= 0))
@@ -132,12 +157,14 @@ class Model:
             low = max(0, end - self.longest)
             c = points[:, end - 1].astype(np.uint64) + np.uint64(1)
             hashes[:, low: end] = hashes[:, low: end] * _STEP + c[:, None]
-            key = mix(hashes[:, low: end])
-            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            is_piece = self.keys[at] == key
-            found = np.where(is_piece, self.ids[at], UNKNOWN)
+            key = mix(hashes[:, low: end]).T.ravel()
+            maybe = np.flatnonzero(self.seen[key >> _HIGH])
+            at = np.minimum(np.searchsorted(self.keys, key[maybe]), len(self.keys) - 1)
+            found = np.full(len(key), UNKNOWN, np.int64)
+            found[maybe] = np.where(self.keys[at] == key[maybe], self.ids[at], UNKNOWN)
+            found = found.reshape(end - low, count)
             for start in range(low, end):       # the longest first
-                t = found[:, start - low]
+                t = found[start - low]
                 some = np.flatnonzero(t != UNKNOWN)
                 if start == end - 1:
                     some = np.flatnonzero((t != UNKNOWN) | np.isneginf(total[:, end]))
@@ -153,30 +180,49 @@ class Model:
                 total[some, end], begin[some, end], piece[some, end] = value, start, t[some]
         return begin, piece
 
-    def encode_words(self, wordlist: list[str]) -> list[np.ndarray]:
-        """The ids of each word (spaces already written as META)."""
-        out: list[np.ndarray | None] = [None] * len(wordlist)
-        sizes = np.array([len(w) for w in wordlist])
+    def spelled_out(self, begin: np.ndarray, piece: np.ndarray, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the words of ``segment``, followed back from their ends together, and how many each has."""
+        count, size = points.shape
+        row, at = np.arange(count), np.full(count, size)
+        steps = []
+        while len(row):
+            start = begin[row, at]
+            steps.append((row, piece[row, at], start))
+            row, at = row[start > 0], start[start > 0]
+        back = np.repeat(np.arange(len(steps)), [len(r) for r, _, _ in steps])
+        row, piece_of, start = (np.concatenate(x) for x in zip(*steps, strict=True))
+        lengths = np.bincount(row, minlength=count)
+        place = np.cumsum(lengths)[row] - 1 - back
+        ids = np.empty(len(row), np.int64)
+        ids[place] = piece_of
+        odd = np.flatnonzero(piece_of == UNKNOWN)
+        if len(odd):
+            raw = [self.bytes[list(chr(c).encode())] for c in points[row[odd], start[odd]]]
+            raw = [np.array([self.unk]) if (r == self.unk).any() else r for r in raw]
+            counts = np.ones(len(ids), np.int64)
+            counts[place[odd]] = [len(r) for r in raw]
+            first = (np.cumsum(counts) - counts)[place[odd]]
+            ids = np.repeat(ids, counts)
+            ids[ragged(first, np.array([len(r) for r in raw]))] = np.concatenate(raw)
+            lengths = np.bincount(row, counts[place], count).astype(np.int64)
+        return ids.astype(np.int32), lengths
+
+    def encode_words(self, wordlist: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of the words (spaces already written as META): all ids, each word's first place and number."""
+        sizes = np.array([len(w) for w in wordlist], np.int64)
+        begin_of, lengths = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
+        out, seen = [np.zeros(0, np.int32)], 0
         for size in np.unique(sizes):
             own = np.flatnonzero(sizes == size)
             step = max(1, 400_000 // int(size) // min(int(size), self.longest))
             for k in range(0, len(own), step):
                 some = own[k: k + step]
-                points = _spelled("".join(wordlist[i] for i in some)).reshape(len(some), size)
-                begin, piece = self.segment(points)
-                for r, i in enumerate(some):
-                    ids: list[int] = []
-                    at = int(size)
-                    while at:
-                        t, s = int(piece[r, at]), int(begin[r, at])
-                        if t == UNKNOWN:
-                            raw = self.bytes[list(wordlist[i][s].encode())]
-                            ids.extend([self.unk] if (raw == self.unk).any() else raw[::-1].tolist())
-                        else:
-                            ids.append(t)
-                        at = s
-                    out[i] = np.array(ids[::-1], np.int32)
-        return out
+                points = _spelled("".join([wordlist[i] for i in some])).reshape(len(some), size)
+                ids, number = self.spelled_out(*self.segment(points), points)
+                lengths[some], begin_of[some] = number, seen + np.cumsum(number) - number
+                seen += len(ids)
+                out.append(ids)
+        return np.concatenate(out), begin_of, lengths
 
 
 class Codec:
@@ -184,7 +230,8 @@ class Codec:
 
     def __init__(self, model: Model):
         self.model = model
-        self.cache: dict[bytes, np.ndarray] = {}
+        self.cache: dict[bytes, int] = {}      # place of a word in the three arrays below
+        self.ids, self.first, self.number = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
         sizes = np.array([len(t) for t in model.text], np.int64)
         self.size, self.start = sizes, np.cumsum(sizes) - sizes
         self.bytes = np.frombuffer(b"".join(model.text), np.uint8)
@@ -226,18 +273,19 @@ class Codec:
         index = index.copy()
         index[head] = len(distinct) + place
         distinct = distinct + [b" " + distinct[k] for k in heads]
-        ids = [self.cache.get(d) for d in distinct]
-        used = np.bincount(index, minlength=len(ids)) > 0
-        missing = [k for k, x in enumerate(ids) if x is None and used[k]]
-        for k, new in zip(missing, self.model.encode_words([distinct[k].decode().replace(" ", META) for k in missing]), strict=True):
-            ids[k] = new
-            if len(self.cache) < CACHED:
-                self.cache[distinct[k]] = new
-        none = np.zeros(0, np.int32)
-        ids = [none if x is None else x for x in ids]
-        lengths = np.array([len(x) for x in ids], np.int64)
-        counts = lengths[index]
-        return np.concatenate(ids)[ragged((np.cumsum(lengths) - lengths)[index], counts)], np.bincount(row, counts, rows).astype(np.int64)
+        get = self.cache.get
+        place = np.array([get(d, -1) for d in distinct], np.int64)
+        missing = np.flatnonzero((place < 0) & (np.bincount(index, minlength=len(distinct)) > 0))
+        fresh = [distinct[k] for k in missing]
+        new, at, number = self.model.encode_words([d.decode().replace(" ", META) for d in fresh])
+        place[missing] = len(self.first) + np.arange(len(missing))
+        ids, first, numbers = np.concatenate([self.ids, new]), np.concatenate([self.first, len(self.ids) + at]), np.concatenate([self.number, number])
+        if len(self.cache) + len(fresh) <= CACHED:
+            self.cache.update(zip(fresh, place[missing].tolist(), strict=True))
+            self.ids, self.first, self.number = ids, first, numbers
+        place = place[index]
+        counts = numbers[place]
+        return ids[ragged(first[place], counts)], np.bincount(row, counts, rows).astype(np.int64)
 
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[str]:
         """The texts of rows of ids: pieces joined, META as a space, without the first space."""
