@@ -10,22 +10,30 @@ from pyspark.sql import types as ST
 
 from packetloom.functions import text as T
 from packetloom.functions.paths import predefined_split
-from packetloom.operators.joins import first_per_group
 
 SPLIT_ALIASES = {  # fixed values: names of the partitions in official lists
     "train": ("train", "training"), "val": ("val", "valid", "validation"),
     "test": ("test", "testing")}
 ID_FIELDS = ("ids", "samples", "files", "data")  # fixed values: where an object keeps its ids
 SNIFF_LENGTH = 2048                              # fixed value: characters looked at
+LARGEST_CONTENT = (1 << 31) - (1 << 20)          # bytes that one binary value can hold, with room for its row
 
 
 def list_files(spark: SparkSession, root: str, content: bool = False) -> DataFrame:
-    """Files below a folder with path, relative path, size and time; content only on demand."""
+    """Files below a folder with path, relative path, size and time; content only on demand.
+
+    A file that one value cannot hold has NULL content.
+    """
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    columns = ["path", "length", "modificationTime"] + (["content"] if content else [])
+    columns = ["path", "length", "modificationTime"]
+    if content:   # the reader skips what the length filter excludes before it opens the file
+        large = raw.where(F.col("length") > LARGEST_CONTENT).select(*columns, F.lit(None).cast("binary").alias("content"))
+        found = raw.where(F.col("length") <= LARGEST_CONTENT).select(*columns, "content").unionByName(large)
+    else:
+        found = raw.select(*columns)
     plain = F.regexp_replace(F.col("path"), r"^file:/+", "/")
     base = root.rstrip("/") + "/"
-    return raw.select(*columns).withColumn("relative_path", F.when(
+    return found.withColumn("relative_path", F.when(
         F.startswith(plain, F.lit(base)), F.substr(plain, F.lit(len(base) + 1))).otherwise(plain))
 
 
@@ -76,9 +84,11 @@ def read_overrides(spark: SparkSession, csv_path: str | None = None, jsonl_path:
         rows = spark.read.option("primitivesAsString", "true").json(jsonl_path)
     else:
         return spark.createDataFrame([], "key string, metadata map<string,string>")
-    rows = rows.withColumn("row_index", F.monotonically_increasing_id())
+    rows = rows.withColumn("row_index", F.struct(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("id")))
     keyed = override_rows(rows).select("key", "metadata", "row_index")
-    return first_per_group(keyed, ["key"], -F.col("row_index")).select("key", "metadata")
+    return keyed.groupBy("key").agg(F.max_by("metadata", "row_index").alias("metadata"))
 
 
 def _ids(node: Column) -> Column:
@@ -144,8 +154,9 @@ def checksum(algorithm: Column, content: Column) -> Column:
 def audit_sources(files: DataFrame, expected: DataFrame, name: str = "name") -> DataFrame:
     """Files against a manifest ``(name, bytes, checksum 'algorithm:hex')``.
 
-    ``files``: ``name``, ``length``, ``content`` (NULL content, as for files over 2 GB, skips the
-    checksum).  Every expected file gets a row; ``error`` is NULL when it passed.
+    ``files``: ``name``, ``length``, ``content``.  Every expected file gets a row; ``error`` is NULL
+    when it passed.  A checksum of NULL content (a file too large for one value) is not verified,
+    and the error says so.
     """
     want = expected.select(name, F.col("bytes").alias("_bytes"), F.col("checksum").alias("_sum"))
     rows = want.join(files, name, "left")
@@ -157,4 +168,5 @@ def audit_sources(files: DataFrame, expected: DataFrame, name: str = "name") ->
         name, "length", F.sha2("content", 256).alias("sha256"),
         F.when(F.col("length").isNull(), F.lit("missing file")).when(
             F.col("_bytes").isNotNull() & (F.col("_bytes") != F.col("length")),
-            F.lit("size mismatch")).when(wrong, F.lit("checksum mismatch")).alias("error"))
+            F.lit("size mismatch")).when(wrong, F.lit("checksum mismatch")).when(
+            F.col("_sum").isNotNull() & F.col("content").isNull(), F.lit("checksum not verified")).alias("error"))

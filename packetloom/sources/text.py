@@ -19,6 +19,7 @@ from packetloom.operators.ordered import join_facts, with_position
 from packetloom.session import cut_lineage
 
 CHANNEL_COLUMN = r"^(real|imag|amplitude)_l(\d+)_s(\d+)$"  # fixed value: channel header
+CSV_CELL = r',("(?:[^"]|"")*"|[^,]*)'   # one cell and the comma before it
 
 
 def recording_of(path: Column | None = None) -> Column:
@@ -67,17 +68,125 @@ def wide_to_packets(df: DataFrame, keys: Sequence[str] = ("recording_id",)) -> D
         F.lit(links).alias("links"), F.lit(carriers).alias("subcarriers"))
 
 
-def read_wide_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Packets of wide CSV files; one file is one recording.
+def csv_cells(line: Column) -> Column:
+    """The cells of a CSV line; quoted cells may hold commas and doubled quotes, no line breaks."""
+    quoted = F.transform(
+        F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(CSV_CELL), F.lit(1)),
+        lambda c: F.when(F.startswith(c, F.lit('"')), F.replace(
+            F.regexp_replace(c, '^"|"$', ""), F.lit('""'), F.lit('"'))).otherwise(c))
+    return F.when(F.contains(line, F.lit('"')), quoted).otherwise(F.split(line, ","))
 
-    All files of one call share a header, as Spark's CSV reader requires.
+
+def csv_lines(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:
+    """Lines of CSV files, and the header of each file with its ``names``.
+
+    Files of one call may have different headers.  The header is a file's first line that is not
+    blank; headers are written once, so the text is read twice in all.
     """
-    raw = spark.read.csv(path, header=True)
-    rows = raw.withColumns({
-        "recording_id": recording_of(),
-        "_start": F.col("_metadata.file_block_start"),
-        "_id": F.monotonically_increasing_id()})
-    return wide_to_packets(rows.withColumn("source_order", F.struct("_start", "_id")))
+    lines = spark.read.text(path).select(
+        recording_of().alias("recording_id"), F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_id"), "value").where(F.trim("value") != "")
+    headers = lines.where("_start = 0").groupBy("recording_id").agg(
+        F.min_by("value", "_id").alias("_header"))
+    names = F.transform(csv_cells(F.col("_header")), lambda n: F.trim(n))
+    return lines, cut_lineage(headers.withColumn("names", names), "headers")
+
+
+def csv_rows(lines: DataFrame, facts: DataFrame) -> DataFrame:
+    """Data lines as ``cells`` with the facts of their file; lines that repeat the header go."""
+    rows = join_facts(lines.withColumn("cells", csv_cells(F.col("value"))), facts,
+                      ["recording_id"], F.col("_id"), how="inner")
+    return rows.where(F.col("value") != F.col("_header")).drop("value", "_header")
+
+
+def reject_bad(facts: DataFrame) -> None:
+    """Raise for a file whose header cannot be used."""
+    bad = facts.where(F.col("error").isNotNull()).select("recording_id", "error").first()
+    if bad:
+        raise ValueError(f"{bad['recording_id']}: {bad['error']}")
+
+
+def wide_layouts(headers: DataFrame) -> DataFrame:
+    """Where a file keeps its channels: positions of the real and imaginary parts, link by link."""
+    def group(i: int) -> Column:
+        return F.regexp_extract("_name", CHANNEL_COLUMN, i)
+
+    named = headers.select("recording_id", "_header", F.posexplode("names").alias("_at", "_name"))
+    cells = named.select(
+        "recording_id", "_header", "_at",
+        F.when(F.col("_name") == "timestamp_s", F.lit("time")).otherwise(group(1)).alias("_kind"),
+        group(2).try_cast("int").alias("_l"), group(3).try_cast("int").alias("_s"))
+    # a name that comes twice counts once, at its last place
+    cells = cells.groupBy("recording_id", "_header", "_kind", "_l", "_s").agg(F.max("_at").alias("_at"))
+    files = cells.groupBy("recording_id", "_header").agg(
+        F.max(F.when(F.col("_kind") == "time", F.col("_at"))).alias("_time"),
+        (F.max("_l") + 1).alias("links"), (F.max("_s") + 1).alias("subcarriers"),
+        *[F.collect_list(F.when(F.col("_kind") == k, F.struct("_l", "_s", "_at"))).alias(f"_{k}")
+          for k in ("real", "imag", "amplitude")])
+    is_complex = (F.size("_real") > 0) & (F.size("_imag") > 0)
+
+    def places(entries: Column) -> Column:
+        by_cell = F.map_from_entries(F.transform(entries, lambda e: F.struct(
+            e["_l"] * F.col("subcarriers") + e["_s"], e["_at"])))
+        every = F.sequence(F.lit(0), F.col("links") * F.col("subcarriers") - 1)
+        return A.bind(by_cell, lambda m: F.transform(every, lambda p: F.try_element_at(m, p)))
+
+    return files.select(
+        "recording_id", "_header", "_time", "links", "subcarriers",
+        places(F.when(is_complex, F.col("_real")).otherwise(F.col("_amplitude"))).alias("_first"),
+        places(F.filter("_imag", lambda e: is_complex)).alias("_second"),
+        F.when(is_complex, F.lit("complex_csi")).otherwise(F.lit("amplitude_only")).alias("source_representation"),
+        F.when(F.col("_time").isNull(), F.lit("CSV must contain a timestamp_s column")).when(
+            ~is_complex & (F.size("_amplitude") == 0),
+            F.lit("CSV needs real/imag pairs or amplitude columns")).alias("error"))
+
+
+def read_wide_csv(spark: SparkSession, path: str | list[str], strict: bool = True) -> DataFrame:
+    """Packets of wide CSV files; one file is one recording, read by its own header.
+
+    Missing cells are 0.  With ``strict`` an unusable header or cell is an error of the call;
+    without, ``packet_error`` names it and the packet's arrays are NULL.  Files without any data
+    line are what ``without_rows`` gives.
+    """
+    lines, headers = csv_lines(spark, path)
+    layouts = wide_layouts(headers)
+    if strict:
+        reject_bad(layouts)
+    rows = csv_rows(lines, layouts)
+
+    def filled(at: Column) -> Column:
+        return F.nullif(F.trim(F.get("cells", at)), F.lit(""))
+
+    def vector(places: str) -> Column:
+        return F.transform(places, lambda i: F.when(filled(i).isNull(), F.lit(0).cast("float")).otherwise(
+            filled(i).try_cast("float")))
+
+    rows = rows.withColumns({
+        "timestamp_s": filled(F.col("_time")).try_cast("double"),
+        "csi_real": vector("_first"), "csi_imag": vector("_second")})
+    odd = (F.col("timestamp_s").isNull() & filled(F.col("_time")).isNotNull()) | F.exists(
+        "csi_real", lambda x: x.isNull()) | F.exists("csi_imag", lambda x: x.isNull())
+    error = F.coalesce("error", F.when(odd, F.lit("a cell is not a number")))
+    rows = rows.withColumn("packet_error", error)
+    otherwise = F.raise_error(F.col("packet_error")) if strict else F.lit(None)
+    arrays = [F.when(F.col("packet_error").isNull(), F.col(c)).otherwise(otherwise).alias(c)
+              for c in ("csi_real", "csi_imag")]
+    return rows.select("recording_id", F.struct("_start", "_id").alias("source_order"), "timestamp_s", *arrays,
+                       "source_representation", "links", "subcarriers", *([] if strict else ["packet_error"]))
+
+
+def without_rows(spark: SparkSession, path: str | list[str], rows: DataFrame) -> DataFrame:
+    """``recording_id, error`` of the files below ``path`` that gave no row.
+
+    Readers skip files of no bytes, so the names come from the listing that the driver holds anyway.
+    """
+    def plain(c: Column) -> Column:
+        return F.regexp_replace(c, "^file:/+", "file:/")
+
+    listed = spark.createDataFrame([(p,) for p in spark.read.text(path).inputFiles()], "recording_id string")
+    seen = rows.select(plain(F.col("recording_id")).alias("recording_id")).distinct()
+    return listed.select(plain(F.col("recording_id")).alias("recording_id")).join(
+        seen, "recording_id", "left_anti").withColumn("error", F.lit("source has no rows"))
 
 
 PACKET_SCHEMA = ST.StructType([
@@ -170,17 +279,27 @@ def parse_array_cell(c: str) -> Column:
 
 def read_array_cell_csv(spark: SparkSession, path: str | list[str], data_col: str = "data",
                         label_col: str | None = "class") -> DataFrame:
-    """CSV whose data cells hold a written list; the label column is optional."""
-    raw = spark.read.csv(path, header=True, quote='"', escape='"')
-    if data_col not in raw.columns:
-        raise ValueError(f"CSV must contain a {data_col} column")
-    label = F.col(label_col) if label_col and label_col in raw.columns else F.lit(None)
-    rows = raw.withColumns({
-        "recording_id": recording_of(), "_start": F.col("_metadata.file_block_start"),
-        "_id": F.monotonically_increasing_id(),
-        "source_label": F.when(label != "", label).cast("string"),
-        "values": parse_array_cell(data_col)})
-    rows = cut_lineage(rows.select("recording_id", "_start", "_id", "source_label", "values"), "cells")
+    """CSV whose data cells hold a written list; the label column is optional.
+
+    Each file is read by its own header.  ``error`` marks a cell that is no list of numbers.
+    """
+    lines, headers = csv_lines(spark, path)
+
+    def place(name: str | None) -> Column:
+        return F.nullif(F.array_position("names", F.lit(name)), F.lit(0)).cast("int") - 1
+
+    layouts = headers.select(
+        "recording_id", "_header", place(data_col).alias("_data"),
+        place(label_col).alias("_label")).withColumn("error", F.when(
+            F.col("_data").isNull(), F.lit(f"CSV must contain a {data_col} column")))
+    reject_bad(layouts)
+    rows = csv_rows(lines, layouts).withColumns({
+        "source_label": F.nullif(F.get("cells", F.col("_label")), F.lit("")),
+        "_cell": F.get("cells", F.col("_data"))}).withColumn("values", parse_array_cell("_cell"))
+    bad = F.col("values").isNull() | F.exists("values", lambda x: x.isNull())
+    rows = rows.select("recording_id", "_start", "_id", "source_label", "values",
+                       F.when(bad, F.lit("not a list of numbers")).alias("error"))
+    rows = cut_lineage(rows, "cells")
     rows = rows.withColumn(
         "_bucket", F.struct("_start", F.shiftright("_id", 12).alias("part")))
     return with_position(rows, ["recording_id"], ["_start", "_id"], "_bucket", "packet_index"
@@ -197,5 +316,5 @@ def read_json_arrays(spark: SparkSession, path: str | list[str], schema: ST.Stru
 __all__ = [
     "PACKET_SCHEMA", "json_packets", "numeric_matrix", "parse_array_cell",
     "read_array_cell_csv", "read_json_arrays", "read_numeric_csv", "read_packet_jsonl",
-    "read_wide_csv", "wide_channels", "wide_to_packets",
+    "read_wide_csv", "wide_channels", "wide_to_packets", "without_rows",
 ]

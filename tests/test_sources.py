@@ -123,3 +123,43 @@ def test_odd_items_of_a_split_list_cost_themselves_only(spark):
     for r in split_members(rows).orderBy("path", "position").collect():
         found.setdefault(r.path, []).append(r.member)
     assert found == {"s0.json": ["a", "b"], "s1.json": ["a", "[run1]/b.mat", "c"], "s2.json": ["deep5"]}
+
+
+def test_every_csv_file_is_read_by_its_own_header(spark, folder):
+    write(folder / "a.csv", "timestamp_s,real_l0_s0,imag_l0_s0\n0.5,1,2\n")
+    write(folder / "b.csv", '\ufeffimag_l0_s0,note,real_l0_s0,timestamp_s\n4,"x, ""y""",3,1.5\n,z,7,2.5\n')
+    write(folder / "c.csv", "timestamp_s,amplitude_l1_s0\n3.5,9\n")
+    write(folder / "d.csv", "timestamp_s,real_l0_s0,imag_l0_s0\n")
+    write(folder / "e.csv", "")
+    rows = TX.read_wide_csv(spark, str(folder))
+    got = [(r.timestamp_s, r.csi_real, r.csi_imag, r.source_representation) for r in rows.orderBy("timestamp_s").collect()]
+    assert got == [(0.5, [1.0], [2.0], "complex_csi"), (1.5, [3.0], [4.0], "complex_csi"), (2.5, [7.0], [0.0], "complex_csi"),
+                   (3.5, [0.0, 9.0], [0.0, 0.0], "amplitude_only")]
+    lost = TX.without_rows(spark, str(folder), rows).collect()
+    assert sorted(r.recording_id[-5:] for r in lost) == ["d.csv", "e.csv"] and {r.error for r in lost} == {"source has no rows"}
+
+
+def test_bad_wide_cells_and_headers_are_named(spark, folder):
+    write(folder / "a.csv", "timestamp_s,real_l0_s0,imag_l0_s0\n0.5,1,2\n1.5,x,2\n")
+    write(folder / "b.csv", "t,real_l0_s0\n0,1\n")
+    rows = TX.read_wide_csv(spark, str(folder), strict=False).orderBy("recording_id", "timestamp_s").collect()
+    assert [r.packet_error for r in rows] == [None, "a cell is not a number", "CSV must contain a timestamp_s column"]
+    assert [r.csi_real for r in rows] == [[1.0], None, None]
+    with pytest.raises(Exception, match="not a number"):
+        TX.read_wide_csv(spark, str(folder / "a.csv")).collect()
+
+
+def test_cell_files_with_other_headers_and_bad_lists(spark, folder):
+    write(folder / "a.csv", 'data,class\n"[1, 2]",0\nnone,1\n')
+    write(folder / "b.csv", 'class,n,data\n5,x,"[3, 4]"\n')
+    rows = TX.read_array_cell_csv(spark, str(folder)).orderBy("recording_id", "packet_index").collect()
+    assert [(r["values"], r.source_label, r.error) for r in rows] == [
+        ([1.0, 2.0], "0", None), (None, "1", "not a list of numbers"), ([3.0, 4.0], "5", None)]
+
+
+def test_unverified_and_repeated_facts(spark, folder):
+    files = spark.createDataFrame([("a.bin", 5, None)], "name string, length long, content binary")
+    want = spark.createDataFrame([("a.bin", 5, "md5:0")], "name string, bytes long, checksum string")
+    assert DI.audit_sources(files, want).first()["error"] == "checksum not verified"
+    path = write(folder / "m.csv", "sample_id,day\ns,1\ns,2\n")
+    assert DI.read_overrides(spark, path).first()["metadata"]["day"] == "2"
