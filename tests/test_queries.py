@@ -4,6 +4,7 @@
 """
 
 import os
+import re
 
 import pytest
 
@@ -27,7 +28,9 @@ def con():
 
 def test_every_sql_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"greedy_cover"}
+    # the optional training-data queries have brute-force tests of their own where SQL cannot express them
+    own = {name for name in entry.queries() if name != "pipeline" and not re.match(r"op\d+_", name)}
+    assert own - set(entry.oracle_sql()) == {"greedy_cover"}
 
 
 def test_entry(spark):
