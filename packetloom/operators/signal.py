@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from packetloom.functions import arrays as A
 from packetloom.functions.vocabularies import HT_LTF_INDICES, L_LTF_INDICES
 from packetloom.operators.ordered import join_facts
-from packetloom.operators.quantiles import exact_median
+from packetloom.operators.quantiles import exact_cell_percentiles
 from packetloom.operators.timeline import RECORDING
 
 
@@ -34,8 +34,8 @@ def from_polar(df: DataFrame) -> DataFrame:
 def reference_power(df: DataFrame, keys: Sequence[str] = RECORDING) -> DataFrame:
     """Median power over the valid cells of a recording, at least the smallest float32."""
     valid = F.col("valid") if "valid" in df.columns else F.lit(True)
-    cells = df.where(valid).select(*keys, F.explode(A.as_doubles("amplitude")).alias("_a"))
-    power = exact_median(cells, keys, F.col("_a") * F.col("_a"), "reference_power")
+    power = exact_cell_percentiles(df.where(valid), keys, F.transform(A.as_doubles("amplitude"), lambda a: a * a),
+                                   {"reference_power": 0.5})
     return power.withColumn("reference_power", F.greatest("reference_power", F.lit(A.FLOAT32_TINY)))
 
 

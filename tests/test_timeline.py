@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from packetloom.operators import resample as R
 from packetloom.operators import timeline as TL
-from packetloom.operators.quantiles import exact_percentiles
+from packetloom.operators.quantiles import exact_cell_percentiles, exact_percentiles
 from packetloom.plans.jobs import standardize, standardize_packets
 
 SCHEMA = ("recording_id string, source_order long, timestamp_s double, csi_real array<float>, "
@@ -95,6 +95,29 @@ def test_percentiles_are_exact_beyond_the_sketch(spark):
             assert got[g][name] == pytest.approx(np.percentile(part, p * 100), abs=1e-12)
 
 
+def test_percentiles_of_rows_and_cells_at_every_size(spark):
+    rng = np.random.default_rng(1)
+    groups = {n: np.round(rng.normal(size=n), 1 + n % 3) for n in [*range(1, 30), 60, 150, 900, 4000]}
+    wanted = {"a": 0.0, "b": 0.02, "c": 0.25, "d": 0.5, "e": 0.98, "f": 1.0}
+    rows = spark.createDataFrame([(n, float(v)) for n, x in groups.items() for v in x] + [(3, None), (3, float("nan"))], "g int, x double")
+    packets = spark.createDataFrame(
+        [(n, [*map(float, x[i: i + 7]), None]) for n, x in groups.items() for i in range(0, n, 7)] + [(3, [float("nan")]), (4, None), (5, [])],
+        "g int, x array<double>")
+    for accuracy in (20, 200, 10_000):
+        one = exact_percentiles(rows, ["g"], F.col("x"), wanted, accuracy)
+        many = exact_cell_percentiles(packets, ["g"], F.col("x"), wanted, accuracy)
+        for got in (one.collect(), many.collect()):
+            assert {r["g"] for r in got} == set(groups)
+            for r in got:
+                assert [r[k] for k in wanted] == pytest.approx([np.percentile(groups[r["g"]], p * 100) for p in wanted.values()], abs=1e-12)
+
+
+def test_median_of_all_cells_of_one_recording(spark):
+    packets = spark.range(2000).select(F.lit("r").alias("g"), F.transform(
+        F.sequence(F.lit(0), F.lit(99)), lambda k: (F.col("id") * 100 + k).cast("double")).alias("x"))
+    assert exact_cell_percentiles(packets, ["g"], F.col("x"), {"m": 0.5}, accuracy=1000).first()["m"] == pytest.approx(99999.5)
+
+
 def test_rates_and_clock(spark):
     df = packets(spark, [0.0, 0.5, 0.5, 1.0, 2.0], [[1.0]] * 5).withColumn("packet_index", F.col("source_order"))
     assert TL.source_rate(df, order_by=["packet_index"]).first()["source_rate_hz"] == pytest.approx(2.0)
