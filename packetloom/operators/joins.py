@@ -63,7 +63,7 @@ def annotation_join(recordings: DataFrame, annotations: DataFrame, path: str = "
     folders = annotations.select("folder").distinct()
     above = recordings.select(path, F.explode(ancestors(F.col(path))).alias("_a")).select(
         path, F.col("_a.depth").alias("_depth"), F.col("_a.folder").alias("folder"))
-    nearest = (above.join(folders, "folder").groupBy(path)
+    nearest = (join_facts(above, folders, ["folder"], F.xxhash64(path), how="inner").groupBy(path)
                .agg(F.max_by("folder", "_depth").alias("folder")))
     first = annotations.groupBy("folder", "label").agg(
         F.min_by(F.struct(*extra), "row_index").alias("_row"))

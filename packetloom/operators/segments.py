@@ -180,9 +180,9 @@ def slice_segments(packets: DataFrame, segments: DataFrame, keys: Sequence[str]
         "segment_id", (rows["packet_index"] - pieces["start_index"]).alias("_at"),
         *[rows[c] for c in packets.columns if c != "packet_index"])
     whole = segments.where("end_index <= start_index").select(*keys, "segment_id")
-    kept = packets.join(whole, list(keys)).select(
+    kept = join_facts(packets, whole, keys, F.col("packet_index"), how="inner").select(
         "segment_id", F.col("packet_index").alias("_at"),
-        *[packets[c] for c in packets.columns if c != "packet_index"])
+        *[c for c in packets.columns if c != "packet_index"])
     return cut.unionByName(kept).withColumnRenamed("_at", "packet_index")
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from packetloom.functions.paths import extract_metadata, predefined_split as path_split
 from packetloom.functions.text import natural_key
 from packetloom.operators.joins import layer_metadata
-from packetloom.operators.ordered import explode_range
+from packetloom.operators.ordered import explode_range, join_facts
 
 PARTITIONS = ("train", "val", "test")
 DEFAULT_RATIOS = (0.7, 0.15, 0.15)  # fixed value: used where neither caller nor setting says
@@ -160,7 +160,8 @@ def group_holdout(inventory: DataFrame, group: Column, ratios: Sequence[float] |
             if wanted - known:
                 raise ValueError(f"unknown holdout {name} values {sorted(wanted - known)}")
     assigned = group_assignment(rows.where(F.col("group").isNotNull()), "group", ratios, seed, holdout)
-    return rows.join(assigned, "group", "left")
+    spread = [c for c in ("sample_id", "source_file") if c in rows.columns]
+    return join_facts(rows, assigned, ["group"], F.xxhash64(*spread))
 
 
 def trial_order_split(inventory: DataFrame, trial: Column, check: bool = True) -> DataFrame:

@@ -9,9 +9,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType
 
 from packetloom.functions import arrays as A
-from packetloom.operators.ordered import explode_range
+from packetloom.operators.ordered import explode_range, join_facts
 from packetloom.operators.resample import pad_value
 from packetloom.operators.timeline import RECORDING
 
@@ -83,7 +84,8 @@ def window_tensors(windows: DataFrame, signal: str, keys: Sequence[str] = CLIP)
 def repeat_for_windows(windows: DataFrame, attributes: DataFrame,
                        keys: Sequence[str] = CLIP) -> DataFrame:
     """Per-clip attributes repeated for every window of the clip."""
-    return windows.join(attributes, list(keys), "left")
+    flat = [f.name for f in windows.schema.fields if not isinstance(f.dataType, (MapType, ArrayType, StructType))]
+    return join_facts(windows, attributes, keys, F.xxhash64(*flat))
 
 
 def view_time(df: DataFrame, rate: Column, first: Column, last: Column, length: Column,

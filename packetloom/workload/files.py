@@ -9,7 +9,7 @@ from packetloom.session import scratch_path
 from packetloom.sources import discovery as DI
 from packetloom.sources import tables as TB
 from packetloom.sources import text as TX
-from packetloom.workload.tables import EVENTS_SQL, FULL_SQL, cells, event_packets, q6, r6, table
+from packetloom.workload.tables import EVENTS_SQL, FULL_SQL, cells, complex_cells, event_packets, q6, r6, table
 
 
 def read_wide_csv(spark, sf):
@@ -36,17 +36,16 @@ def read_packet_jsonl(spark, sf):
               F.col("vec_id").cast("double").alias("t"), csi.alias("csi")).write.partitionBy("state").option(
         "compression", "gzip").json(path)
     rows = TX.read_packet_jsonl(spark, path, partitions=8)
-    return rows.select(F.col("timestamp_s").cast("long").alias("vec_id"), "source_label", "packet_error", "links",
-                       "subcarriers", r6(F.get("csi_real", F.lit(9))).alias("re9"),
-                       r6(F.get("csi_imag", F.lit(30))).alias("im30"))
+    return complex_cells(rows, F.col("timestamp_s").cast("long").alias("vec_id"), "source_label", "packet_error", "links", "subcarriers")
 
 
 JSONL_SQL = f"""
 SELECT vec_id, 'State=busy ' || (label % 3) AS source_label,
        CASE WHEN vec_id % 50 = 7 THEN 'inconsistent packet shape' END AS packet_error, 4 AS links, 8 AS subcarriers,
-       CASE WHEN vec_id % 50 <> 7 THEN {q6('embedding[1 * 4 + 1 + 1]')} END AS re9,
-       CASE WHEN vec_id % 50 <> 7 THEN {q6('embedding[32 + 6 * 4 + 3 + 1]')} END AS im30
-FROM embeddings"""
+       CASE WHEN vec_id % 50 <> 7 THEN CAST(i AS INT) END AS pos,
+       CASE WHEN vec_id % 50 <> 7 THEN {q6('embedding[(i % 8) * 4 + i // 8 + 1]')} END AS re,
+       CASE WHEN vec_id % 50 <> 7 THEN {q6('embedding[32 + (i % 8) * 4 + i // 8 + 1]')} END AS im
+FROM embeddings, range(32) t(i) WHERE vec_id % 50 <> 7 OR i = 0"""
 
 
 def read_numeric_csv(spark, sf):
@@ -69,9 +68,8 @@ def read_array_cell_csv(spark, sf):
     em.select("vec_id", text.alias("data"), F.when(F.col("label") != 4, F.col("label").cast("string")).otherwise(F.lit("")
               ).alias("class")).write.csv(path, header=True, escape='"')
     rows = TX.read_array_cell_csv(spark, path)
-    return rows.select("source_label", F.size("values").alias("width"),
-                       r6(F.round(F.get("values", F.lit(7)).cast("double"), 4)).alias("x7"),
-                       r6(F.round(F.get("values", F.lit(63)).cast("double"), 4)).alias("x63"))
+    each = rows.select("source_label", F.size("values").alias("width"), F.posexplode("values").alias("pos", "x"))
+    return each.withColumn("x", r6(F.round(F.col("x").cast("double"), 4)))
 
 
 def read_json_arrays(spark, sf):
@@ -224,8 +222,7 @@ SQL = {
     "read_numeric_csv": """SELECT l_orderkey, l_quantity, CASE WHEN l_linenumber <> 7 THEN l_tax END AS l_tax, true AS in_order,
         CASE WHEN l_linenumber = 7 THEN 'not a rectangular numeric CSV' END AS error FROM lineitem""",
     "read_array_cell_csv": f"""SELECT CASE WHEN label <> 4 THEN CAST(label AS VARCHAR) END AS source_label, 64 AS width,
-        {q6(PRINTED.format(i=8))} AS x7,
-        {q6(PRINTED.format(i=64))} AS x63 FROM embeddings""",
+        CAST(i AS INT) AS pos, {q6(PRINTED.format(i="i + 1"))} AS x FROM embeddings, range(64) t(i)""",
     "read_json_arrays": f"""WITH {FULL_SQL} SELECT vec_id AS packet_index, CAST(label AS VARCHAR) AS source_label, 'u' || label AS subject,
         pos, {q6('x')} AS x FROM full_cells""",
     "resolve_widest": f"SELECT vec_id AS recording_id, label AS environment, {q6('embedding[64]')} AS last FROM embeddings",

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from packetloom.operators import layout as L
 from packetloom.operators import signal as S
-from packetloom.operators.ordered import index_bucket, with_position
+from packetloom.operators.ordered import with_position
 from packetloom.session import cut_lineage
 from packetloom.workload.tables import FULL_SQL, cells, q6, r6, table
 
@@ -235,24 +235,19 @@ SELECT vec_id, n AS links, s AS subcarriers, CAST(p - s AS INT) AS pos, {q6('a')
 
 
 def orient_time_first(spark, sf):
+    """Runs of 48 vectors hold a recording of 16 rows, which is turned, and one of 32, which is not."""
+    place = F.col("vec_id") % 48
     em = table(spark, sf, "embeddings").select(
-        F.col("label").cast("string").alias("recording_id"), "vec_id", "embedding")
-    em = with_position(em.withColumn("_b", index_bucket("vec_id")), ["recording_id"], ["vec_id"], "_b",
-                       "row_index").drop("_b", "vec_id")
-    counts = sorted({r["n"] for r in em.groupBy("recording_id").agg(F.count(F.lit(1)).alias("n")).collect()})
-    known = [n for n in counts if n < 64][::2]
-    out = L.orient_time_first(cut_lineage(em, "matrix"), "embedding", known or [1])
-    return cells(out, "embedding", "recording_id", "packet_index")
+        F.concat(F.expr("cast(vec_id div 48 as string)"), F.when(place < 16, "a").otherwise("b")).alias("recording_id"),
+        F.when(place < 16, place).otherwise(place - 16).alias("row_index"), "embedding")
+    return cells(L.orient_time_first(em, "embedding", [16]), "embedding", "recording_id", "packet_index")
 
 
 ORIENT_SQL = f"""WITH {FULL_SQL},
-r AS (SELECT vec_id, label, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS i,
-             count(*) OVER (PARTITION BY label) AS n FROM embeddings),
-sizes AS (SELECT DISTINCT n FROM r WHERE n < 64),
-known AS (SELECT n FROM (SELECT n, row_number() OVER (ORDER BY n) AS k FROM sizes) WHERE k % 2 = 1)
-SELECT CAST(r.label AS VARCHAR) AS recording_id,
-       CASE WHEN r.n IN (SELECT n FROM known) THEN CAST(pos AS BIGINT) ELSE i END AS packet_index,
-       CAST(CASE WHEN r.n IN (SELECT n FROM known) THEN i ELSE pos END AS INT) AS pos, {q6('x')} AS x
+e AS (SELECT vec_id, (vec_id // 48) || CASE WHEN vec_id % 48 < 16 THEN 'a' ELSE 'b' END AS rec FROM embeddings),
+r AS (SELECT vec_id, rec, row_number() OVER (PARTITION BY rec ORDER BY vec_id) - 1 AS i, count(*) OVER (PARTITION BY rec) AS n FROM e)
+SELECT rec AS recording_id, CASE WHEN n = 16 THEN CAST(pos AS BIGINT) ELSE i END AS packet_index,
+       CAST(CASE WHEN n = 16 THEN i ELSE pos END AS INT) AS pos, {q6('x')} AS x
 FROM r JOIN full_cells USING (vec_id)"""
 
 

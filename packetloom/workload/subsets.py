@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from packetloom.functions.text import natural_key
 from packetloom.operators import sampling as SA
 from packetloom.operators import splits as SP
+from packetloom.operators.ordered import with_neighbour
 from packetloom.workload.tables import table
 
 
@@ -131,9 +131,12 @@ def natural_order(spark, sf):
     docs = table(spark, sf, "documents").select("source").distinct().unionByName(
         table(spark, sf, "supplier").select(
             F.concat(F.lit("Nation"), F.col("s_nationkey").cast("string"), F.lit("_x")).alias("source")))
-    names = docs.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
-    after = Window.partitionBy(F.substring("source", 1, 3)).orderBy(natural_key("source"))
-    return names.withColumn("successor", F.lead("source").over(after))
+    number = F.regexp_extract("source", "([0-9]+)", 1).try_cast("long")
+    names = docs.groupBy("source").agg(F.count(F.lit(1)).alias("n")).select(
+        "source", "n", F.col("source").startswith("Nation").alias("kind"), natural_key("source").alias("key"),
+        F.floor(number / F.lit(64)).alias("bucket"))
+    rows = with_neighbour(names, ["kind"], ["key"], "bucket", ["source"], "next")
+    return rows.select("source", "n", F.col("next.source").alias("successor"))
 
 
 NATURAL_SQL = """

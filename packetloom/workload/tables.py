@@ -29,6 +29,12 @@ def cells(df: DataFrame, column: str, *keys: str, exact: bool = False) -> DataFr
     return rows.withColumn("x", F.col("x") if exact else r6("x"))
 
 
+def complex_cells(df: DataFrame, *keys) -> DataFrame:
+    """One row per complex cell: keys, ``pos``, ``re``, ``im``; a packet without cells gives one row of NULLs."""
+    rows = df.select(*keys, F.posexplode_outer(F.arrays_zip("csi_real", "csi_imag")).alias("pos", "_c"))
+    return rows.withColumn("re", r6("_c.csi_real")).withColumn("im", r6("_c.csi_imag")).drop("_c")
+
+
 def event_packets(spark: SparkSession, sf: str) -> DataFrame:
     """Events as packets: one recording per user, hours as its time unit, two channels."""
     ev = table(spark, sf, "events")
