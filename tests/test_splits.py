@@ -84,8 +84,10 @@ def test_overrides_win(spark):
 
 
 def test_registry():
-    assert len(SPLIT_SETTINGS) == 25
-    assert all(2 <= len(split_settings(d)) <= 8 for d in SPLIT_SETTINGS)
+    known = {row[0] for row in SPLIT_SETTINGS}
+    assert len(known) == 25 and len({row[:2] for row in SPLIT_SETTINGS}) == len(SPLIT_SETTINGS)
+    assert all(2 <= len(split_settings(d)) <= 8 for d in known)
+    assert all(sum(row[-1] for row in SPLIT_SETTINGS if row[0] == d) == 1 for d in known)
     assert split_setting("mm-fi")["ratios"] == [0.8, 0.1, 0.1]
     assert split_setting("wallhack18k", "cross_environment")["group_by"] == "scenario"
     with pytest.raises(ValueError, match="choose one of"):
