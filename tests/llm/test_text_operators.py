@@ -143,3 +143,37 @@ def test_toxicity_on_a_held_out_fold(spark):
     assert held and all(r.held_out for r in held) and all((r.predicted == 1) == (r.doc_id % 4 == 0) for r in held)
     assert len(got) == len(rows) and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in got)
     assert {r.predicted for r in toxicity.score_toxicity(docs, marks.limit(0)).collect()} == {0}
+
+
+def test_toxic_words_of_few_contexts_are_learned(spark):
+    """A fixed insult has one left neighbour however often it occurs, and so has each word of near
+    copies; a word of ten contexts is enough by itself in a small table."""
+    rnd = random.Random(11)
+    words = [a + b for a in ("al", "be", "ga", "de", "ep") for b in ("pha", "ta", "mma", "lta", "silon", "zeta")]
+    copied = [rnd.choice(words) for _ in range(60)]
+    for kind, n in (("fixed", 400), ("copies", 400), ("small", 90)):
+        rows = []
+        for i in range(n):
+            body = [rnd.choice(words) for _ in range(60)]
+            if kind == "copies" and i % 4 == 0:
+                body = copied[:30] + ["stinker"] + copied[30:]
+                body[rnd.randrange(40, 60)] = rnd.choice(words)
+            elif kind == "fixed" and i % 4 == 0:
+                for _ in range(3):
+                    body.insert(rnd.randrange(len(body)), "alpha stinker")
+            elif i % 4 == 0:
+                for _ in range(2):
+                    body.insert(rnd.randrange(60), "stinker")
+            rows.append((i, " ".join(body), int(i % 4 == 0)))
+        docs = spark.createDataFrame(rows, "doc_id int, text string, toxic int")
+        got = toxicity.score_toxicity(docs.drop("toxic"), docs.drop("text")).where("held_out").collect()
+        right = sum(r.predicted == int(r.doc_id % 4 == 0) for r in got)
+        assert right == len(got) and {r.predicted for r in got} == {0, 1}, kind
+
+
+def test_the_size_of_a_class_makes_no_word_toxic(spark):
+    """Contexts of common words run out sooner in the larger class; labels by chance show nothing."""
+    rnd = random.Random(3)
+    words = [f"w{int(200 * rnd.random() ** 3)}" for _ in range(120000)]
+    docs = spark.createDataFrame([(i, " ".join(words[60 * i: 60 * i + 60]), int(i % 8 == 0)) for i in range(2000)], "doc_id int, text string, toxic int")
+    assert toxicity.log_ratios(toxicity.count_bigrams(docs)).where("before is null and abs(ratio) > 0.05").count() == 0
