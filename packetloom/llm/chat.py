@@ -54,20 +54,22 @@ def expanded_tokens(part: Column) -> Column:
 
 def visit(parts: Column) -> tuple[Column, Column]:
     """``(text, attachments)`` of a message; a null array is an empty one, a null part is skipped,
-    an unknown kind counts as text.  Attachments are numbered within the message."""
+    an unknown kind counts as text, text parts side by side as one text.  Attachments are numbered within the message."""
     known = F.filter(F.coalesce(parts, F.array().cast(f"array<{PART}>")), lambda p: p.isNotNull())
     attached = F.filter(known, lambda p: p["kind"].isin(*KINDS))
     # ordinals by position among the attachments: text parts carry the number of none
     numbered = F.transform(attached, lambda p, i: F.struct(
         (i + 1).alias("ordinal"), p["kind"].alias("kind"), p["ref"].alias("ref"), expanded_tokens(p).alias("tokens")))
-    start = F.struct(F.lit("").alias("text"), F.lit(0).alias("seen"))
+    # a run of text parts is escaped as one text: a control string may lie across two of them
+    start = F.struct(F.lit("").alias("text"), F.lit("").alias("run"), F.lit(0).alias("seen"))
     flat = F.aggregate(known, start, lambda acc, p: F.when(
         p["kind"].isin(*KINDS),
-        F.struct(F.concat(acc["text"], F.lit("<"), p["kind"], F.lit(":"), (acc["seen"] + 1).cast("string"), F.lit(">")).alias("text"),
-                 (acc["seen"] + 1).alias("seen"))).otherwise(
-        F.struct(F.concat(acc["text"], escape(F.coalesce(p["text"], F.lit("")))).alias("text"), acc["seen"].alias("seen"))))
+        F.struct(F.concat(acc["text"], escape(acc["run"]), F.lit("<"), p["kind"], F.lit(":"), (acc["seen"] + 1).cast("string"), F.lit(">")).alias("text"),
+                 F.lit("").alias("run"), (acc["seen"] + 1).alias("seen"))).otherwise(
+        F.struct(acc["text"].alias("text"), F.concat(acc["run"], F.coalesce(p["text"], F.lit(""))).alias("run"), acc["seen"].alias("seen"))),
+        lambda acc: F.concat(acc["text"], escape(acc["run"])))
     single = (F.size(known) == 1) & ~F.get(known, F.lit(0))["kind"].isin(*KINDS)
-    return F.when(single, escape(F.coalesce(F.get(known, F.lit(0))["text"], F.lit("")))).otherwise(flat["text"]), numbered
+    return F.when(single, escape(F.coalesce(F.get(known, F.lit(0))["text"], F.lit("")))).otherwise(flat), numbered
 
 
 def format_conversations(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role",

@@ -42,6 +42,18 @@ def test_chat_parts_become_ordered_placeholders(spark):
     assert row.expanded_tokens == 4 + 38 + 1024
 
 
+def test_control_strings_over_two_text_parts_are_escaped(spark):
+    def said(*texts):
+        return [("image" if t == "IMG" else "text", None if t == "IMG" else t, None, 14, 14, None, None) for t in texts]
+    cases = [said("a <", "/s>", " b"), said("[", None, "/INST]"), said("<", "image:1>", "IMG", "<\\", "s>"), said("x<", "IMG", "/s>")]
+    df = spark.createDataFrame([(1, k, "user", parts, None) for k, parts in enumerate(cases)],
+                               f"conv_id int, turn int, role string, parts array<{chat.PART}>, text string")
+    row = chat.format_conversations(df, parts="parts").select("*", chat.read_turns(F.col("formatted")).alias("turns")).first()
+    assert [t.text for t in row.turns] == ["a </s> b", "[/INST]", "<image:1><image:1><\\s>", "x<<image:1>/s>"]
+    assert row.formatted.count("</s>") == row.formatted.count("[/INST]") == len(cases)
+    assert row.formatted.count("<image:1>") == 2 and row.expanded_tokens == 2
+
+
 def brute_lines(docs):
     def key(line):
         return line.strip(" \t\n\x0b\x0c\r").translate(LOW)
