@@ -213,3 +213,17 @@ def test_pipeline_stages_against_brute_force(spark, folder):
     last = corpus_pipeline.run(spark, path).collect()
     assert {r.doc_id for r in last} <= set(range(15)) and all(r.n_pieces == len(r.piece_ids) for r in last)
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality_rules", "line_dedup", "ngram_join", "decontaminate", "sentencepiece"]
+
+
+def test_near_duplicate_stage_keeps_one_of_repeated_rows_and_null_ids(spark, folder):
+    import corpus_pipeline
+    rnd = random.Random(5)
+    a, b, c, d = (prose(rnd, 120) for _ in range(4))
+    rows = ([(1, a, "x"), (1, a, "x"), (1, a, "w"), (2, a + " more", "x"), (3, b, "x"), (3, c, "x")]
+            + [(None, c, "y"), (None, d, "z"), (None, d, "y"), (None, d + " more", "y"), (None, "short", "y"), (None, "short", "y"), (None, " ", "y"), (None, None, "y")])
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = corpus_pipeline.ngram_join(spark, docs, str(folder)).collect()
+    low, high = [r for r in got if r.doc_id is not None], [r for r in got if r.doc_id is None]
+    assert sorted(map(tuple, low)) == sorted([(1, a, "w"), (3, b, "x"), (3, c, "x")])
+    assert sum((r.text or "").startswith(d) for r in high) == 1 and not any(r.text == c for r in high)
+    assert sorted((r.text or "") for r in high if not (r.text or "").startswith(d)) == ["", " ", "short"]
