@@ -14,8 +14,9 @@ Sketches are made per size band (powers of two); a document near the end of its
 sketched as a small member of the next.  Words that a sample of documents shares often come last in
 the order, which keeps widely shared passages out of the keys.  The order changes the work, not the result.
 
-A group of documents under one key is not expanded into pairs: its members meet one pivot per
-round, whatever is linked becomes one component, and only members of different components meet again.
+The members of a group of documents under one key meet one pivot per round, whatever is linked becomes
+one component, and only members of different components meet again.  After ``PIVOT_ROUNDS`` rounds what
+is left of a group is expanded into all pairs of different components, whatever its size.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ SHINGLE = 5
 SHARE = 64             # one of so many documents goes into the sample that orders the words
 HOT_COUNT = 3          # words in at least so many documents of the sample come last
 HOT_WORDS = 200_000    # most words that are put last; which ones changes the work only
-SMALL_GROUP = 32       # groups up to this size may meet pairwise, behind the bit sketch
+SMALL_GROUP = 32       # no further pivot round when all groups left are of this size; bounds no group
 PIVOT_ROUNDS = 2
 NOT_SPACE = byte_set(SPACE)
 _U = np.uint64
