@@ -6,6 +6,7 @@ longer document), so a task holds a slice and never its partition.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 import zipfile
@@ -47,6 +48,8 @@ def seeded(n: int, seed: int) -> np.ndarray:
 EXACT = seeded(256, 11)
 FOLDED = EXACT.copy()
 FOLDED[65:91] = EXACT[97:123]
+FOLD_BYTES = np.arange(256, dtype=np.uint8)
+FOLD_BYTES[65:91] += 32
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -59,17 +62,29 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _power, _unpower
 
 
+LONG_RANGE = 512   # a sum modulo 2^64 cancels for patterns of 1024 bytes and more, so such ranges are digested
+
+
 class Hasher:
-    """Hashes of byte ranges of one buffer, from one running sum; equal bytes, equal hash."""
+    """Hashes of byte ranges of one buffer, from one running sum; equal bytes, equal hash.
+
+    Ranges of over ``LONG_RANGE`` bytes get a digest of their own bytes instead of the sum.
+    """
 
     def __init__(self, buf: np.ndarray, codes: np.ndarray = EXACT):
+        self.buf, self.low = buf, FOLD_BYTES if codes is FOLDED else None
         self.power, unpower = _powers(len(buf))
         self.sums = np.zeros(len(buf) + 1, np.uint64)
         np.cumsum(codes[buf] * unpower[: len(buf)], out=self.sums[1:])
 
     def ranges(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         own = (self.sums[end] - self.sums[start]) * self.power[end]
-        return mix(own + (end - start).astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
+        out = mix(own + (end - start).astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
+        for i in np.flatnonzero(end - start > LONG_RANGE).tolist():
+            part = self.buf[start[i]: end[i]]
+            raw = (part if self.low is None else self.low[part]).tobytes()
+            out[i] = int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "little")
+        return out
 
 
 def flat(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -168,6 +183,16 @@ def extended(df: DataFrame, **columns: str) -> str:
     return ", ".join(f"`{n.replace('`', '``')}` {k}" for n, k in kinds.items())
 
 
+def spare(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many ``_`` in front as it takes to be no column of ``df``."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def fits(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> bool:
     """Whether a written table is small enough to broadcast: counted, not guessed."""
     return df.count() * row_bytes <= limit
