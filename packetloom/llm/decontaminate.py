@@ -52,55 +52,67 @@ class Index:
         items = [(place[str(i)], t) for i, t in items if i is not None]
         self.owner = np.array([i for i, _ in items], np.int64)
         self.words, self.row = word_hashes(pa.array([t for _, t in items], pa.large_string()))
-        at, fp = winnow(self.words, self.row)
-        order = np.argsort(fp, kind="stable")
-        self.fp, self.at = fp[order], at[order]
+        self.fp = np.unique(winnow(self.words, self.row)[1])
         counts = np.bincount(self.row, minlength=len(items))
         first = np.cumsum(counts) - counts
-        self.short: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        for n in range(1, SPAN):
-            own = np.flatnonzero(counts == n)
-            if len(own):
-                g = grams(self.words, n)[first[own]]
-                order = np.argsort(g, kind="stable")
-                self.short[n] = g[order], self.owner[own][order]
+        whole = np.flatnonzero(self.row[: len(self.row) - SPAN + 1] == self.row[SPAN - 1:]) if len(self.row) >= SPAN else np.zeros(0, np.int64)
+        self.windows = {SPAN: self._distinct(whole, SPAN)}     # of items with fewer words, the one window of n words
+        self.windows |= {n: self._distinct(first[counts == n], n) for n in range(1, SPAN) if (counts == n).any()}
+
+    def _distinct(self, at: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Sorted hash, item and one place of each distinct window of an item."""
+        g, item = grams(self.words, n)[at], self.owner[self.row[at]]
+        order = np.lexsort((item, g))
+        g, item, at = g[order], item[order], at[order]
+        new = np.ones(len(g), bool)
+        new[1:] = (g[1:] != g[:-1]) | (item[1:] != item[:-1])
+        return g[new], item[new], at[new]
+
+    def _found(self, hashes: np.ndarray, row: np.ndarray, at: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of the document windows of ``n`` words at ``at`` those that items have, once by place and once by distinct window and item."""
+        known, item, place = self.windows[n]
+        g = grams(hashes, n)[at]
+        p, q = probe(g, known, all_of=False)
+        same = np.ones(len(p), bool)
+        for i in range(n):
+            same &= hashes[at[p] + i] == self.words[place[q] + i]
+        p, q = p[same], q[same]
+        one = np.lexsort((g[p], row[at[p]]))
+        new = np.ones(len(one), bool)
+        new[1:] = (g[p[one[1:]]] != g[p[one[:-1]]]) | (row[at[p[one[1:]]]] != row[at[p[one[:-1]]]])
+        one = one[new]
+        once = at[p[one]]
+        x, y = probe(g[p[one]], known)
+        start = np.concatenate([at[p], once[x]])
+        return start, start + n, np.concatenate([item[q], item[y]])
 
     def hits(self, hashes: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """First word, end and item of each stretch of a document that whole windows cover."""
+        """First word, end and item of the document's windows that items have.
+
+        A fingerprint hit is extended to every window that can hold it; repeats on either side are
+        looked up, never paired with each other.
+        """
         found = [(np.zeros(0, np.int64),) * 3]
         at, fp = winnow(hashes, row)
-        p, q = probe(fp, self.fp)
-        p, q = at[p], self.at[q]
-        if len(p):
-            same = np.ones(len(p), bool)
-            for i in range(GRAM):
-                same &= hashes[p + i] == self.words[q + i]
-            p, q = p[same], q[same]
-            left, right = np.zeros(len(p), np.int64), np.zeros(len(p), np.int64)
-            for length, first, step in ((left, 0, -1), (right, GRAM - 1, 1)):
-                on = np.ones(len(p), bool)
-                for i in range(1, SPAN - GRAM + 1):
-                    x, y = p + first + step * i, q + first + step * i
-                    on &= (x >= 0) & (x < len(hashes)) & (y >= 0) & (y < len(self.words))
-                    x, y = np.where(on, x, 0), np.where(on, y, 0)
-                    on &= (row[x] == row[p]) & (self.row[y] == self.row[q]) & (hashes[x] == self.words[y])
-                    length += on
-            whole = left + right + GRAM >= SPAN
-            p, q, left, right = p[whole], q[whole], left[whole], right[whole]
-            found.append((p - left, p + GRAM + right, self.owner[self.row[q]]))
-        for n, (known, owner) in self.short.items():
-            if len(hashes) >= n:
-                g = grams(hashes, n)
-                inside = np.flatnonzero(row[: len(g)] == row[n - 1:])
-                a, b = probe(g[inside], known)
-                found.append((inside[a], inside[a] + n, owner[b]))
+        p, _ = probe(fp, self.fp, all_of=False)
+        near = np.unique((at[p][:, None] - np.arange(SPAN - GRAM + 1)).ravel())
+        near = near[(near >= 0) & (near <= len(hashes) - SPAN)]
+        near = near[row[near] == row[near + SPAN - 1]]
+        for n in self.windows:
+            if n == SPAN:
+                places = near
+            else:
+                last = len(hashes) - n + 1
+                places = np.flatnonzero(row[:last] == row[n - 1:]) if last > 0 else near[:0]
+            if len(places):
+                found.append(self._found(hashes, row, places, n))
         return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
-def probe(keys: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs of equal values; ``known`` is sorted."""
+def probe(keys: np.ndarray, known: np.ndarray, all_of: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of equal values (``all_of`` false: the first only); ``known`` is sorted."""
     low, high = np.searchsorted(known, keys, "left"), np.searchsorted(known, keys, "right")
-    count = high - low
+    count = high - low if all_of else np.minimum(high - low, 1)
     a = np.repeat(np.arange(len(keys)), count)
     b = np.arange(len(a)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(low, count)
     return a, b
@@ -118,7 +130,7 @@ def merged(start: np.ndarray, end: np.ndarray, n: int) -> tuple[np.ndarray, np.n
 RUNS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
 
-def mark(batch: pa.RecordBatch, text: str, index: Index) -> pa.RecordBatch:
+def mark(batch: pa.RecordBatch, text: str, index: Index, again: bool) -> pa.RecordBatch:
     hashes, row = word_hashes(batch.column(text))
     start, end, item = index.hits(hashes, row)
     counts = np.bincount(row, minlength=batch.num_rows)
@@ -131,16 +143,14 @@ def mark(batch: pa.RecordBatch, text: str, index: Index) -> pa.RecordBatch:
         a, b = merged(start[own] - first[r], end[own] - first[r], int(counts[r]))
         spans[r] = [{"start": int(x), "end": int(y)} for x, y in zip(a, b, strict=True)]
         items[r] = [index.ids[i] for i in np.unique(item[own])]
-    names = batch.schema.names
-    if "hit_spans" in names and "__pass" in names:   # a later block: add to what is there
+    if again:   # a later block: add to what is there
         for r, (s, i) in enumerate(zip(batch.column("hit_spans").to_pylist(), batch.column("hit_items").to_pylist(), strict=True)):
             if s:
                 both = s + spans[r]
                 a, b = merged(np.array([x["start"] for x in both]), np.array([x["end"] for x in both]), int(counts[r]))
                 spans[r] = [{"start": int(x), "end": int(y)} for x, y in zip(a, b, strict=True)]
                 items[r] = sorted({*i, *items[r]})
-    return append(batch, n_words=pa.array(counts, pa.int64()), hit_spans=pa.array(spans, RUNS), hit_items=pa.array(items, pa.list_(pa.string())),
-                  __pass=pa.array(np.ones(batch.num_rows, np.int32)))
+    return append(batch, n_words=pa.array(counts, pa.int64()), hit_spans=pa.array(spans, RUNS), hit_items=pa.array(items, pa.list_(pa.string())))
 
 
 def mark_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id",
@@ -150,6 +160,8 @@ def mark_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text"
     A window is ``SPAN`` words of an item; an item with fewer, but some, is one window.  Null and
     empty texts have no words; items without words or id match nothing; items that share an id
     count as one.  Repeated documents are marked alike, empty tables give no rows or no hits.
+    Other columns pass through whatever their names.  Work and memory follow the words, however
+    often a document and an item repeat one window.
 
     The benchmark goes to the tasks in blocks of at most ``block_bytes`` (and one item): a larger
     benchmark takes more passes over the documents, each written before the next.  No shuffle.
@@ -157,15 +169,15 @@ def mark_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text"
     size = benchmark.agg(F.sum(F.octet_length(item_text)).alias("n")).first()["n"] or 0
     blocks = max(1, -(-size * 2 // block_bytes)) if size > block_bytes else 1
     rows = benchmark.select(F.col(item).cast("string"), F.col(item_text))
-    out = docs.drop("__pass")
+    out = docs
     for k in range(blocks):
         part = rows if blocks == 1 else rows.where(F.pmod(F.xxhash64(item), F.lit(blocks)) == k)
         index = docs.sparkSession.sparkContext.broadcast(Index([tuple(r) for r in part.collect()]))
-        schema = extended(out, n_words="bigint", hit_spans="array<struct<start:int,end:int>>", hit_items="array<string>", __pass="int")
-        out = mapped(out, lambda b, index=index: mark(b, text, index.value), schema, text)
+        schema = extended(out, n_words="bigint", hit_spans="array<struct<start:int,end:int>>", hit_items="array<string>")
+        out = mapped(out, lambda b, index=index, again=k > 0: mark(b, text, index.value, again), schema, text)
         if k < blocks - 1:
             out = cut_lineage(out, "decontaminate")
-    return out.drop("__pass")
+    return out
 
 
 def hit_words(spans: Column) -> Column:

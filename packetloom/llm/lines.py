@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from packetloom.functions.arrays import bind
-from packetloom.llm.common import LOWER, SPACE, UPPER, folded, join_small
+from packetloom.llm.common import BROADCAST_BYTES, LOWER, SPACE, UPPER, folded, spare
 from packetloom.session import cut_lineage
 
 
@@ -30,7 +30,8 @@ def drop_shared_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     A key of at least ``min_chars`` code points in at least ``min_docs`` distinct ids loses its lines
     except in the largest id that holds it (all its lines there stay).  A null or empty text is one
     empty line and becomes ''.  Rows that repeat an id count once as a holder and are treated alike; a null id is a
-    holder of its own and never the one that keeps.  An empty table stays empty; other columns pass through.
+    holder of its own and never the one that keeps.  An empty table stays empty; other columns pass through
+    whatever their names.
 
     A line shared by a third of all documents meets a map-side count, then a join that AQE splits.
     Keys are MD5 sums.  What comes back to a document is its dropped positions.
@@ -44,17 +45,19 @@ def drop_shared_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
               .where(F.col("__docs") >= min_docs).drop("__docs"))
     gone = (keyed.join(shared, "__key").where(~F.col("__id").eqNullSafe(F.col("__keeper")))
             .groupBy("__id", "__own").agg(F.collect_set("__at").alias("__gone")))
-    gone = cut_lineage(gone.withColumnsRenamed({"__id": "__gone_id", "__own": "__gone_own"}), "dropped_lines")
-    on = F.col(id_col).eqNullSafe(F.col("__gone_id")) & (F.xxhash64(text_col) == F.col("__gone_own"))
-    joined = join_small(docs, gone, on, "left", 256)
+    of, of_own, places = spare(docs, "gone_id", "gone_own", "gone")
+    gone = cut_lineage(gone.withColumnsRenamed({"__id": of, "__own": of_own, "__gone": places}), "dropped_lines")
+    on = F.col(id_col).eqNullSafe(F.col(of)) & (F.xxhash64(text_col) == F.col(of_own))
+    size = gone.agg(F.sum(F.size(places) * 4 + 64).alias("n")).first()["n"] or 0      # measured: a long text may lose many lines
+    joined = docs.join(F.broadcast(gone) if size <= BROADCAST_BYTES else gone, on, "left")
     lines = _split(F.col(text_col))
-    left = bind(F.struct(lines.alias("l"), F.col("__gone").alias("g")), lambda x: F.array_join(F.transform(
+    left = bind(F.struct(lines.alias("l"), F.col(places).alias("g")), lambda x: F.array_join(F.transform(
         F.array_except(F.sequence(F.lit(0), F.size(x["l"]) - 1), x["g"]), lambda i: F.get(x["l"], i)), "\n"))
     count = F.size(lines).cast("bigint")
-    kept = F.when(F.col("__gone").isNull(), F.coalesce(F.col(text_col), F.lit(""))).otherwise(left)
+    kept = F.when(F.col(places).isNull(), F.coalesce(F.col(text_col), F.lit(""))).otherwise(left)
     return (joined.withColumn("n_lines", count)
-            .withColumn("n_dropped", F.coalesce(F.size("__gone"), F.lit(0)).cast("bigint"))
-            .withColumn(text_col, kept).drop("__gone_id", "__gone_own", "__gone"))
+            .withColumn("n_dropped", F.coalesce(F.size(places), F.lit(0)).cast("bigint"))
+            .withColumn(text_col, kept).drop(of, of_own, places))
 
 
 def op2_line_dedup(spark, sf_dir: str) -> DataFrame:

@@ -147,3 +147,50 @@ def test_patterned_words_in_the_operators(spark):
     assert {r.doc_id: len(r.hit_spans) for r in marked.collect()} == {1: 1, 2: 0, 3: 1, 4: 1}
     rules = quality.apply_rules(docs, spark.createDataFrame([], "doc_id bigint, quality int"))
     assert {r.doc_id: r.n_dup_lines for r in rules.collect()} == {1: 0, 2: 0, 3: 0, 4: 0}
+
+
+def test_one_word_repeated_on_both_sides_stays_linear():
+    """20,000 equal words meet 20,000 equal words: no pairs of places are made."""
+    import tracemalloc
+
+    import pyarrow as pa
+    batch = pa.record_batch({"text": ["same " * 20000, "other " * 9 + "same " * 12, "same " * 9]})
+    tracemalloc.start()
+    index = decontaminate.Index([("a", "same " * 20000), ("b", "x " + "same " * 11), ("c", "lone"), ("d", None)])
+    out = decontaminate.mark(batch, "text", index, False).to_pylist()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [(r["n_words"], [tuple(x.values()) for x in r["hit_spans"]], r["hit_items"]) for r in out] == [
+        (20000, [(0, 20000)], ["a", "b"]), (21, [(9, 21)], ["a", "b"]), (9, [], [])]
+    assert peak < 300 << 20
+
+
+@pytest.mark.parametrize("names", [["__gone", "__id", "__own", "__at", "__line", "__key", "__keeper", "__docs", "gone", "gone_id", "gone_own", "_gone"]])
+def test_line_dedup_keeps_columns_of_any_name(spark, names):
+    from packetloom.llm import lines
+    shared = "a line of more than twenty letters"
+    docs = spark.createDataFrame([(i, f"{shared}\nown {i}", *names) for i in range(4)], "doc_id bigint, text string, " + ", ".join(f"`{n}` string" for n in names))
+    got = lines.drop_shared_lines(docs).collect()
+    assert all([r[n] for n in names] == names for r in got)
+    assert {r.doc_id: r.text for r in got} == {0: "own 0", 1: "own 1", 2: "own 2", 3: f"{shared}\nown 3"}
+
+
+def test_decontamination_keeps_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(1, "one two", "p"), (2, "three", "q")], "doc_id bigint, text string, __pass string")
+    bench = spark.createDataFrame([("i", "two"), ("j", "three")], "item_id string, text string")
+    got = {r.doc_id: r for r in decontaminate.mark_contamination(docs, bench, block_bytes=4).collect()}
+    assert [(got[i]["__pass"], got[i].hit_items) for i in (1, 2)] == [("p", ["i"]), ("q", ["j"])]
+
+
+def test_pieces_are_forgotten_at_the_end_of_a_task():
+    import public_tokenizers
+
+    import pyarrow as pa
+    from packetloom.llm import pieces
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    own = pieces.codec(path)
+    first = own.encode(pa.array(["some words again and again"]))[0].tolist()
+    assert own.cache and own.held > 0
+    pieces.release(path, "bpe")
+    assert not own.cache and own.held == 0 and own.encode(pa.array(["some words again and again"]))[0].tolist() == first
+    pieces.release(path, "bpe")
