@@ -228,11 +228,15 @@ def ship(spark: SparkSession) -> None:
 
 
 def mapped(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, text: str = "text",
-           limit: int = SLICE_BYTES) -> DataFrame:
-    """Apply ``work`` to slices of whole rows."""
+           limit: int = SLICE_BYTES, after: Callable[[], None] | None = None) -> DataFrame:
+    """Apply ``work`` to slices of whole rows; ``after`` runs at the end of each task, also of one that fails."""
     ship(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, text, limit):
-            yield work(part)
+        try:
+            for part in slices(batches, text, limit):
+                yield work(part)
+        finally:
+            if after:
+                after()
     return df.mapInArrow(run, schema)

@@ -20,9 +20,10 @@ from packetloom.llm.common import append, extended, flat, lists, mapped, mix, ra
 
 META = "▁"             # stands for a space
 UNKNOWN = -1                # a code point that is no piece
-CACHED = 500_000            # words whose pieces a task keeps
+CACHE_BYTES = 32 << 20      # of words and their pieces that a task keeps; it drops them at its end
+ENTRY_BYTES = 150           # of a word in the cache besides its letters and ids
 MET_BITS = 20               # piece pairs whose answer a task keeps, as a power of two
-SLICE = 8 << 20             # text whose distinct words advance together
+SLICE = 4 << 20             # text whose distinct words advance together
 _STEP = np.uint64(0x9FB21C651E98DF25)
 _PAIR = np.uint64(0xD1342543DE82EF95)
 _HIGH = np.uint64(43)       # the top 21 bits of a key tell most misses without a search
@@ -230,12 +231,17 @@ class Codec:
 
     def __init__(self, model: Model):
         self.model = model
-        self.cache: dict[bytes, int] = {}      # place of a word in the three arrays below
-        self.ids, self.first, self.number = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.forget()
         sizes = np.array([len(t) for t in model.text], np.int64)
         self.size, self.start = sizes, np.cumsum(sizes) - sizes
         self.bytes = np.frombuffer(b"".join(model.text), np.uint8)
 
+    def forget(self) -> None:
+        """Drop the words kept so far; the model stays with the worker."""
+        self.cache: dict[bytes, int] = {}      # place of a word in the three arrays below
+        self.ids, self.first, self.number = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.held = 0
+
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and how many each row has."""
         buf, offsets = flat(column)
@@ -280,7 +286,9 @@ class Codec:
         new, at, number = self.model.encode_words([d.decode().replace(" ", META) for d in fresh])
         place[missing] = len(self.first) + np.arange(len(missing))
         ids, first, numbers = np.concatenate([self.ids, new]), np.concatenate([self.first, len(self.ids) + at]), np.concatenate([self.number, number])
-        if len(self.cache) + len(fresh) <= CACHED:
+        more = sum(map(len, fresh)) + 4 * len(new) + ENTRY_BYTES * len(fresh)
+        if self.held + more <= CACHE_BYTES:
+            self.held += more
             self.cache.update(zip(fresh, place[missing].tolist(), strict=True))
             self.ids, self.first, self.number = ids, first, numbers
         place = place[index]
@@ -304,18 +312,24 @@ def codec(path: str, kind: str = "bpe") -> Codec:
     return _codecs[path, kind]
 
 
+def release(path: str, kind: str) -> None:
+    """What a task does at its end: workers are used again, by other operators too."""
+    codec(path, kind).forget()
+    pa.default_memory_pool().release_unused()
+
+
 def encode_pieces(docs: DataFrame, model: str, kind: str = "bpe", text: str = "text") -> DataFrame:
     """``docs`` with ``piece_ids`` and ``decoded`` (what the ids spell) added or replaced.
 
     Null and empty texts have no ids and decode to ''.  A META sign in a text decodes to a space,
     as in the library; every other text comes back as it was.  ``model`` is a path that each
-    machine has; tasks keep the model and at most ``CACHED`` words.
+    machine has; a task keeps at most ``CACHE_BYTES`` of words, a worker the model.
     """
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         own = codec(model, kind)
         ids, counts = own.encode(batch.column(text))
         return append(batch, piece_ids=lists(ids, counts, pa.int32()), decoded=pa.array(own.decode(ids, counts), pa.string()))
-    return mapped(docs, work, extended(docs, piece_ids="array<int>", decoded="string"), text, SLICE)
+    return mapped(docs, work, extended(docs, piece_ids="array<int>", decoded="string"), text, SLICE, lambda: release(model, kind))
 
 
 def digests(docs: DataFrame, model: str, kind: str = "bpe", text: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -327,7 +341,7 @@ def digests(docs: DataFrame, model: str, kind: str = "bpe", text: str = "text",
         sums = [zlib.crc32(ids[b - n: b].astype("<i4").tobytes()) for b, n in zip(cut, counts, strict=True)]
         return append(batch, n_pieces=pa.array(counts), ids_crc32=pa.array(sums, pa.int64()), decoded=pa.array(own.decode(ids, counts), pa.string()))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
-    done = mapped(rows, work, extended(rows, n_pieces="bigint", ids_crc32="bigint", decoded="string"), limit=SLICE)
+    done = mapped(rows, work, extended(rows, n_pieces="bigint", ids_crc32="bigint", decoded="string"), limit=SLICE, after=lambda: release(model, kind))
     return done.select("doc_id", "n_pieces", "ids_crc32", F.sha2("decoded", 256).alias("decoded_sha256"),
                        (F.coalesce("text", F.lit("")) == F.col("decoded")).alias("round_trip"))
 
