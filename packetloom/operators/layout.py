@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from packetloom.functions import arrays as A
 from packetloom.functions import vocabularies as V
+from packetloom.operators.errors import ERROR, flagged, set_aside
 from packetloom.operators.ordered import index_bucket, join_facts, with_position
 from packetloom.operators.timeline import RECORDING
 
@@ -121,11 +122,11 @@ def permute_axes(df: DataFrame, column: str, source: Sequence[str], target: Sequ
     count = 1
     for a in source:
         count *= sizes[a]
-    checked = F.when(F.size(column) == count, F.col(column)).otherwise(F.raise_error(F.concat(
+    rows = flagged(df, column, F.size(column) == count, F.concat(
         F.lit(f"expected {'x'.join(str(sizes[a]) for a in source)} values, got "),
-        F.size(column).cast("string"))))
-    return df.withColumn(column, A.permute(checked, [sizes[a] for a in source],
-                                           [list(source).index(a) for a in target]))
+        F.size(column).cast("string")))
+    return rows.withColumn(column, A.permute(F.col(column), [sizes[a] for a in source],
+                                             [list(source).index(a) for a in target]))
 
 
 def columns_to_vector(df: DataFrame, pattern: str, count: int, out: str,
@@ -148,6 +149,8 @@ def group_rows(df: DataFrame, k: int, signals: Sequence[str], keys: Sequence[str
 
     Groups that are zero throughout go away afterwards, so no antenna ever shifts.
     """
+    if ERROR in df.columns:
+        return set_aside(df, lambda good: group_rows(good, k, signals, keys, index, drop_empty), keys)
     packet = F.call_function("div", F.col(index).cast("long"), F.lit(k).cast("long"))
     row = F.struct(F.pmod(F.col(index), F.lit(k)).alias("slot"), *signals)
     grouped = (df.groupBy(*keys, packet.alias("packet_index"))
@@ -167,6 +170,8 @@ def group_rows(df: DataFrame, k: int, signals: Sequence[str], keys: Sequence[str
 def deinterleave_streams(df: DataFrame, k: int, signals: Sequence[str],
                          keys: Sequence[str] = RECORDING, index: str = "row_index") -> DataFrame:
     """k interleaved streams, counted after empty rows are gone, cut to the shortest stream."""
+    if ERROR in df.columns:
+        return set_aside(df, lambda good: deinterleave_streams(good, k, signals, keys, index), keys)
     keep = F.lit(False)
     for s in signals:
         keep = keep | A.any_nonzero(s)
@@ -182,15 +187,16 @@ def unfold_frames(df: DataFrame, column: str, packets: int, frame: str = "frame_
     wrong = size % packets != 0
     if width is not None:
         wrong = size != width * packets
-    checked = F.when(~wrong, F.col(column)).otherwise(F.raise_error(F.concat(
-        F.lit("unexpected frame size "), size.cast("string"))))
+    df = flagged(df, column, ~wrong, F.concat(F.lit("unexpected frame size "), size.cast("string")))
     channels = F.call_function("div", size, F.lit(packets)).cast("int")
-    spread = A.permute(checked, (channels, F.lit(packets)), (1, 0))
+    spread = A.permute(F.col(column), (channels, F.lit(packets)), (1, 0))
     cut = A.bind(spread, lambda flat: F.transform(
         F.sequence(F.lit(0), F.lit(packets - 1)),
         lambda p: F.slice(flat, p * channels + 1, channels)))
     others = [c for c in df.columns if c not in (column, frame)]
-    return (df.select(*others, frame, F.posexplode(cut).alias("_pos", column))
+    # a frame with an error stays as one row
+    apart = F.posexplode_outer if ERROR in df.columns else F.posexplode
+    return (df.select(*others, frame, apart(cut).alias("_pos", column))
             .withColumn("packet_index", F.col(frame).cast("long") * packets + F.col("_pos"))
             .drop("_pos", frame))
 
@@ -230,19 +236,21 @@ def drop_zero_slots(df: DataFrame, links: int, carriers: int,
     used_carriers = active_slots(df, signals, keys, cell % carriers, "subcarrier_index")
     used_links = active_slots(df, signals, keys, F.floor(cell / carriers), "link_index")
     facts = used_carriers.join(used_links, list(keys))
+    wrong = F.lit(None).cast("string")
+    if active_carriers is not None:
+        wrong = F.when(F.size("subcarrier_index") != active_carriers, F.concat(
+            F.lit(f"expected {active_carriers} active carriers, found "), F.size("subcarrier_index").cast("string")))
     if patterns is not None:
         known = F.lit(False)
         for p in patterns:
             known = known | (F.col("link_index") == A.index_array(p))
-        facts = facts.withColumn("link_index", F.when(known, F.col("link_index")).otherwise(
-            F.raise_error(F.concat(F.lit("active link slots match no documented layout: "),
-                                   F.to_json("link_index")))))
-    if active_carriers is not None:
-        facts = facts.withColumn("subcarrier_index", F.when(
-            F.size("subcarrier_index") == active_carriers, F.col("subcarrier_index")).otherwise(
-            F.raise_error(F.concat(F.lit(f"expected {active_carriers} active carriers, found "),
-                                   F.size("subcarrier_index").cast("string")))))
-    rows = join_facts(df, facts, list(keys), F.xxhash64(*signals), how="inner")
+        wrong = F.coalesce(F.when(~known, F.concat(F.lit("active link slots match no documented layout: "),
+                                                   F.to_json("link_index"))), wrong)
+    facts = facts.withColumn("_wrong", wrong)
+    is_open = ERROR in df.columns
+    rows = join_facts(df, facts, list(keys), F.xxhash64(*signals), how="left" if is_open else "inner")
+    wrong = F.coalesce("_wrong", F.when(F.col("link_index").isNull(), F.lit("no active slots"))) if is_open else F.col("_wrong")
+    rows = flagged(rows, signals, wrong.isNull(), wrong).drop("_wrong")
     for s in signals:
         rows = rows.withColumn(s, F.filter(s, lambda x, i: F.array_contains(
             F.col("subcarrier_index"), (i % carriers).cast("int")) & F.array_contains(
@@ -259,9 +267,8 @@ def slice_blocks(df: DataFrame, column: str, carriers: Sequence[int] = (114, 56)
         for n in reversed(links):
             fits = F.when(width >= s * (1 + 2 * n),
                           F.struct(F.lit(s).alias("s"), F.lit(n).alias("n"))).otherwise(fits)
-    rows = df.withColumn("_fit", fits).withColumn("_fit", F.when(
-        F.col("_fit").isNotNull(), F.col("_fit")).otherwise(F.raise_error(
-            F.concat(F.lit("unsupported width "), width.cast("string")))))
+    rows = flagged(df.withColumn("_fit", fits), "_fit", F.col("_fit").isNotNull(),
+                   F.concat(F.lit("unsupported width "), width.cast("string")))
     s, n = F.col("_fit.s"), F.col("_fit.n")
     return (rows.withColumn("amplitude", A.as_floats(F.slice(column, s + 1, s * n)))
             .withColumn("phase_rad", A.as_floats(F.slice(column, s * (n + 1) + 1, s * n)))
@@ -275,6 +282,8 @@ def orient_time_first(df: DataFrame, column: str, known: Sequence[int],
     A recording is turned when its row count is a known carrier count and its rows are longer.
     Values travel one by one and a packet regroups at most ``max(known)`` of them.
     """
+    if ERROR in df.columns:
+        return set_aside(df, lambda good: orient_time_first(good, column, known, keys, index), keys)
     facts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"),
                                   F.max(F.size(column)).alias("_cols"))
     facts = facts.select(*keys, (F.col("_rows").isin(*known) & (

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from packetloom.functions import arrays as A
 from packetloom.functions.vocabularies import HT_LTF_INDICES, L_LTF_INDICES
+from packetloom.operators.errors import flagged
 from packetloom.operators.ordered import join_facts
 from packetloom.operators.quantiles import exact_cell_percentiles
 from packetloom.operators.timeline import RECORDING
@@ -24,10 +25,9 @@ def add_phase(df: DataFrame) -> DataFrame:
 
 def from_polar(df: DataFrame) -> DataFrame:
     """Real and imaginary parts from amplitude and phase; unequal widths are an error."""
-    same = F.size("amplitude") == F.size("phase_rad")
-    amp = F.when(same, F.col("amplitude")).otherwise(
-        F.raise_error(F.lit("amplitude and phase shapes differ")))
-    return (df.withColumn("csi_real", A.polar_real(amp, "phase_rad"))
+    amp = F.col("amplitude")
+    rows = flagged(df, "amplitude", F.size("amplitude") == F.size("phase_rad"), "amplitude and phase shapes differ")
+    return (rows.withColumn("csi_real", A.polar_real(amp, "phase_rad"))
             .withColumn("csi_imag", A.polar_imag(amp, "phase_rad")))
 
 
@@ -55,10 +55,9 @@ def power_db_rel(df: DataFrame, keys: Sequence[str] = RECORDING) -> DataFrame:
 
 def deinterleave_iq(df: DataFrame, column: str) -> DataFrame:
     """Split ``[I, R, I, R, ...]``; an odd number of values is an error."""
-    even = F.when(F.size(column) % 2 == 0, F.col(column)).otherwise(
-        F.raise_error(F.lit("an interleaved I/R vector needs an even number of values")))
-    return (df.withColumn("csi_imag", A.as_floats(A.interleaved_imag(even)))
-            .withColumn("csi_real", A.as_floats(A.interleaved_real(even))))
+    rows = flagged(df, column, F.size(column) % 2 == 0, "an interleaved I/R vector needs an even number of values")
+    return (rows.withColumn("csi_imag", A.as_floats(A.interleaved_imag(F.col(column))))
+            .withColumn("csi_real", A.as_floats(A.interleaved_real(F.col(column)))))
 
 
 def training_field_indices(include_ht: bool = False) -> list[int]:
@@ -79,9 +78,9 @@ def drop_null_carriers(df: DataFrame, rules: DataFrame, on: Sequence[str],
                        signals: Sequence[str] = ("csi_real", "csi_imag")) -> DataFrame:
     """Remove the carriers a rule table lists for ``on``; a row without a rule is an error."""
     joined = df.join(rules.select(*on, F.col("remove").alias("_remove")), list(on), "left")
-    remove = F.when(F.col("_remove").isNotNull(), F.col("_remove")).otherwise(F.raise_error(
-        F.concat_ws(" ", F.lit("no null-carrier rule for"), *[F.col(c).cast("string") for c in on])))
-    rows = joined.withColumn("_remove", remove).withColumn("subcarrier_index", F.filter(
+    joined = flagged(joined, "_remove", F.col("_remove").isNotNull(), F.concat_ws(
+        " ", F.lit("no null-carrier rule for"), *[F.col(c).cast("string") for c in on]))
+    rows = joined.withColumn("subcarrier_index", F.filter(
         F.sequence(F.lit(0), F.size(signals[0]) - 1),
         lambda i: ~F.array_contains(F.col("_remove"), i)))
     for s in signals:
@@ -179,6 +178,6 @@ def decode_labels(df: DataFrame, column: str, vocabulary: Mapping | DataFrame, o
     elif on_unknown == "null":
         value = F.col("_name")
     else:
-        value = F.when(F.col("_name").isNotNull() | code.isNull(), F.col("_name")).otherwise(
-            F.raise_error(F.concat(F.lit(f"unknown {column}: "), code)))
+        rows = flagged(rows, "_name", F.col("_name").isNotNull() | code.isNull(), F.concat(F.lit(f"unknown {column}: "), code))
+        value = F.col("_name")
     return rows.withColumn(out, value).drop("_name")

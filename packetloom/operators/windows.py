@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
 from packetloom.functions import arrays as A
+from packetloom.operators.errors import flagged
 from packetloom.operators.ordered import explode_range, join_facts
 from packetloom.operators.resample import pad_value
 from packetloom.operators.timeline import RECORDING
@@ -191,16 +192,17 @@ def target_lengths(recordings: DataFrame, target_rate_hz: float | None = None,
         window = F.lit(int(target_length)).cast("long")
     elif duration_s is not None:
         rate = F.coalesce(target, source)
-        window = F.when(rate.isNull(), F.raise_error(F.lit(
-            "a duration needs a target rate or a known source rate"))).otherwise(
-            F.greatest(F.lit(1), F.rint(F.lit(float(duration_s)) * rate)).cast("long"))
+        window = F.greatest(F.lit(1), F.rint(F.lit(float(duration_s)) * rate)).cast("long")
     elif target_rate_hz is not None:
         window = F.when(source.isNull(), n.cast("long")).otherwise(
             F.greatest(F.lit(1), F.rint(n * target / source)).cast("long"))
     else:
         window = n.cast("long")
-    return (recordings.withColumn("rate_length", rate_converted_length(n, source, target))
-            .withColumn("window_length", window))
+    rows = recordings.withColumn("rate_length", rate_converted_length(n, source, target)).withColumn("window_length", window)
+    if target_length is None and duration_s is not None:
+        rows = flagged(rows, "window_length", F.coalesce(target, source).isNotNull(),
+                       "a duration needs a target rate or a known source rate")
+    return rows
 
 
 def window_policy(recordings: DataFrame, profile_limit: int | None = None,

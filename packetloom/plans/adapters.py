@@ -22,6 +22,7 @@ from packetloom.operators import layout as L
 from packetloom.operators import segments as D
 from packetloom.operators import signal as S
 from packetloom.operators import timeline as TL
+from packetloom.operators.errors import ERROR, flagged, open_channel, set_aside, uniform
 from packetloom.operators.ordered import join_facts, with_position
 from packetloom.sources import text as ST
 from packetloom.sources.tables import resolve_aliases
@@ -42,16 +43,15 @@ def _split(df: DataFrame, columns: Sequence[str], width: int, out: str = "packet
             lambda i: F.slice(flat, i * width + 1, width)))
 
     others = [c for c in df.columns if c not in columns]
-    rows = df.select(*others, F.posexplode(F.arrays_zip(*[cut(c).alias(c) for c in columns])
-                                           ).alias(out, "_z"))
+    apart = F.posexplode_outer if ERROR in others else F.posexplode     # a row with an error stays as one
+    rows = df.select(*others, apart(F.arrays_zip(*[cut(c).alias(c) for c in columns])).alias(out, "_z"))
     return rows.select(*others, F.col(out).cast("long").alias(out),
                        *[F.col("_z")[c].alias(c) for c in columns])
 
 
 def _expect(df: DataFrame, column: str, sizes: Sequence[int], what: str) -> DataFrame:
-    ok = F.size(column).isin(*sizes)
-    return df.withColumn(column, F.when(ok, F.col(column)).otherwise(F.raise_error(F.concat(
-        F.lit(f"{what}, got "), F.size(column).cast("string"), F.lit(" values")))))
+    return flagged(df, column, F.size(column).isin(*sizes), F.concat(
+        F.lit(f"{what}, got "), F.size(column).cast("string"), F.lit(" values")))
 
 
 def _named(column: Column, names: Sequence[str]) -> Column:
@@ -70,10 +70,14 @@ def aril(df: DataFrame) -> DataFrame:
 
 def csi_bench(df: DataFrame, shapes: DataFrame) -> DataFrame:
     """``row_index``, ``data`` (what lies behind the first axis) and per recording its ``shape``."""
-    known = F.when(F.col("error").isNull(), F.col("source_axis_order")).otherwise(
-        F.raise_error(F.col("error")))
     rows = join_facts(df, L.infer_bench_axes(shapes).select(
-        ID, known.alias("_axes"), F.col("shape").alias("_shape")), [ID], F.col("row_index"), how="inner")
+        ID, F.col("source_axis_order").alias("_axes"), F.col("shape").alias("_shape"), F.col("error").alias("_wrong")),
+        [ID], F.col("row_index"), how="inner")
+    rows = flagged(rows, "_axes", F.col("_wrong").isNull(), F.col("_wrong")).drop("_wrong")
+    return set_aside(rows, _bench_packets)
+
+
+def _bench_packets(rows: DataFrame) -> DataFrame:
     first = F.get("_axes", F.lit(0))
     d = [F.get("_shape", F.lit(i)) for i in range(4)]
     whole = rows.where(first == "time").withColumn(
@@ -102,16 +106,6 @@ def csi_bench(df: DataFrame, shapes: DataFrame) -> DataFrame:
         "amplitude", A.as_floats("amplitude"))
 
 
-def _rejecting(rows: DataFrame, work) -> DataFrame:
-    """A recording with a bad row fails as a whole: it comes out as one row with its ``error``.
-
-    The other recordings go through ``work`` and have no error.
-    """
-    bad = rows.where(F.col("error").isNotNull()).groupBy(ID).agg(F.min("error").alias("error"))
-    good = rows.join(bad.select(F.col(ID).alias("_bad")), F.col(ID) == F.col("_bad"), "left_anti")
-    return work(good.drop("error")).unionByName(bad, allowMissingColumns=True)
-
-
 def csida(amplitude: DataFrame, phase: DataFrame | None = None, labels: DataFrame | None = None
           ) -> DataFrame:
     """``sample_index`` and ``amplitude`` (time x 3 x 114) with optional ``phase_rad`` and labels."""
@@ -126,7 +120,7 @@ def csida(amplitude: DataFrame, phase: DataFrame | None = None, labels: DataFram
         return S.from_polar(rows) if phase is not None else rows
     if phase is None:
         return packets(amplitude)
-    return _rejecting(J.pair_join(amplitude, phase, [ID, "sample_index"], ("amplitude", "phase_rad")), packets)
+    return set_aside(J.pair_join(amplitude, phase, [ID, "sample_index"], ("amplitude", "phase_rad")), packets)
 
 
 def ehunam(df: DataFrame, path: str = "path") -> DataFrame:
@@ -161,7 +155,7 @@ def exposing_csi(df: DataFrame, path: str = "path") -> DataFrame:
 def figshare_csi_har(spark: SparkSession, data: str | list[str], labels: str | list[str] | None = None
                      ) -> DataFrame:
     """``data.csv`` with amplitude and phase blocks and ``label.csv`` beside it."""
-    matrix = ST.read_numeric_csv(spark, data, strict=False)
+    matrix = open_channel(ST.read_numeric_csv(spark, data, strict=False, keep_empty=True))
     folder = F.regexp_replace(ID, "/[^/]*$", "")
     rows = L.slice_blocks(matrix, "values").withColumn("_folder", folder).drop("values")
     if labels is not None:
@@ -171,7 +165,11 @@ def figshare_csi_har(spark: SparkSession, data: str | list[str], labels: str | l
             F.monotonically_increasing_id().alias("_id"), F.trim("b").alias("source_label"))
         raw = with_position(raw.withColumn("_b", F.struct("_start", F.shiftright("_id", 12).alias("p"))),
                             ["_folder"], ["_start", "_id"], "_b", "row_index").drop("_b", "_start", "_id")
-        rows = J.positional_join(rows, raw, ["_folder"], truncate=True).drop("error")
+        labelled = raw.select("_folder").distinct().withColumn("_has", F.lit(True))
+        rows = join_facts(rows, labelled, ["_folder"], F.col("row_index"))
+        rows = J.positional_join(rows.withColumnRenamed(ERROR, "_own"), raw.withColumn("_found", F.lit(True)), ["_folder"], truncate=True)
+        short = F.when(F.col("_has") & F.col("_found").isNull(), F.lit("fewer labels than data rows"))
+        rows = rows.withColumn(ERROR, F.coalesce("_own", short)).drop("_own", "_found", "_has")
     for c in ("amplitude", "phase_rad"):
         rows = rows.withColumn(c, A.permute(c, (F.col("links"), F.col("subcarriers")), (1, 0)))
     return rows.withColumnRenamed("row_index", "packet_index").drop("_folder")
@@ -181,7 +179,12 @@ def _usrp(spark: SparkSession, path: str | list[str]) -> DataFrame:
     def packets(matrix: DataFrame) -> DataFrame:
         rows = L.orient_time_first(matrix, "values", [51, 52])
         return rows.withColumn("amplitude", A.as_floats("values")).drop("values")
-    return _rejecting(ST.read_numeric_csv(spark, path), packets)
+    return _with_empty(spark, path, set_aside(ST.read_numeric_csv(spark, path), packets))
+
+
+def _with_empty(spark: SparkSession, path: str | list[str], rows: DataFrame) -> DataFrame:
+    """Files that gave no row, as failed recordings."""
+    return rows.unionByName(ST.without_rows(spark, path, rows), allowMissingColumns=True)
 
 
 def glasgow_activity_localization(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -223,10 +226,17 @@ def mm_fi(df: DataFrame, path: str = "path", packets: int = 10) -> DataFrame:
 def nist_breathesmart(real: DataFrame, imag: DataFrame, links: int = 9, carriers: int = 114,
                       config: DataFrame | None = None) -> DataFrame:
     """``row_index`` and ``values`` of the real and the imaginary log of each recording."""
-    both = J.pair_join(real.withColumnRenamed("values", "csi_real"),
-                       imag.withColumnRenamed("values", "csi_imag"), [ID, "row_index"], IQ)
-    checked = F.when(F.col("error").isNull(), F.col("csi_real")).otherwise(F.raise_error(F.col("error")))
-    rows = both.withColumn("csi_real", checked).drop("error")
+    both = J.pair_join(real.withColumnsRenamed({"values": "csi_real", ERROR: "_real_error"}),
+                       imag.withColumnsRenamed({"values": "csi_imag", ERROR: "_imag_error"}), [ID, "row_index"], IQ)
+    own = [F.col(c) for c in ("_real_error", "_imag_error") if c in both.columns]
+    wrong = F.coalesce(*own, F.col("error"))
+    both = both.withColumn("_wrong", wrong).drop("error", "_real_error", "_imag_error")
+    rows = flagged(open_channel(both) if own else both, list(IQ), F.col("_wrong").isNull(), F.col("_wrong")).drop("_wrong")
+    return set_aside(rows, lambda good: _nist_packets(good, links, carriers, config, bool(own)))
+
+
+def _nist_packets(rows: DataFrame, links: int, carriers: int, config: DataFrame | None, is_open: bool) -> DataFrame:
+    rows = open_channel(rows) if is_open else rows
     patterns = [[0, 1, 3, 4, 6, 7]] if links == 9 else [list(range(6))]
     rows = L.drop_zero_slots(rows, links, carriers, IQ, patterns=patterns, active_carriers=56)
     for s in IQ:  # stored as receiver, then transmitter, then carrier
@@ -289,9 +299,10 @@ def signfi(df: DataFrame, samples: int) -> DataFrame:
 
 def ut_har(df: DataFrame, labels: DataFrame) -> DataFrame:
     """``row_index`` and ``data`` of 250 x 90 values per clip; one label per clip."""
-    joined = J.positional_join(_expect(df, "data", [250 * 90], "expected clips of 250 x 90"), labels)
-    rows = joined.withColumn("data", F.when(F.col("error").isNull(), F.col("data")).otherwise(
-        F.raise_error(F.col("error")))).drop("error").withColumnRenamed("row_index", "sample_index")
+    sized = _expect(df, "data", [250 * 90], "expected clips of 250 x 90").withColumnsRenamed({ERROR: "_own"})
+    joined = J.positional_join(sized, labels).withColumnRenamed(ERROR, "_wrong")
+    joined = joined.withColumnsRenamed({"_own": ERROR})
+    rows = flagged(joined, "data", F.col("_wrong").isNull(), F.col("_wrong")).drop("_wrong").withColumnRenamed("row_index", "sample_index")
     rows = _split(rows, ["data"], 90)
     rows = L.permute_axes(rows, "data", ["rx", "sub"], ["sub", "rx"], {"rx": 3, "sub": 30})
     return rows.withColumn("amplitude", A.as_floats("data")).drop("data").withColumn(
@@ -299,13 +310,15 @@ def ut_har(df: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def wallhack18k(spark: SparkSession, path: str | list[str], include_ht: bool = False) -> DataFrame:
-    rows = ST.read_array_cell_csv(spark, path)
-    rows = S.deinterleave_iq(rows, "values").drop("values")
-    rows = S.select_subcarriers(rows, S.training_field_indices(include_ht), IQ)
-    rows = S.add_amplitude(rows)
-    rows = S.decode_labels(rows, "source_label", V.WALLHACK_CLASSES, "source_label")
-    rows = TL.synth_time(S.power_db_rel(rows), F.lit(100.0))
-    return P.extract_antenna_setting(rows, ID)
+    """Literal cells; a bad cell, a vector of another length or a file without rows fails its recording."""
+    def packets(rows: DataFrame) -> DataFrame:
+        rows = S.select_subcarriers(rows.drop("values"), S.training_field_indices(include_ht), IQ)
+        rows = S.add_amplitude(rows)
+        rows = S.decode_labels(rows, "source_label", V.WALLHACK_CLASSES, "source_label")
+        return TL.synth_time(S.power_db_rel(rows), F.lit(100.0))
+    cells = ST.read_array_cell_csv(spark, path, strict=False)
+    cells = uniform(S.deinterleave_iq(cells, "values"), F.size("values"), "vector lengths", F.col("packet_index"))
+    return P.extract_antenna_setting(_with_empty(spark, path, set_aside(cells, packets)), ID)
 
 
 def wiar(df: DataFrame, tx: int, rx: int, path: str = "path") -> DataFrame:
@@ -327,7 +340,7 @@ def widar3(spark: SparkSession, path: str | list[str]) -> DataFrame:
         return S.affine_companion(rows, "bvp", mean, std, "official_normalized_bvp").withColumnRenamed("row_index", "packet_index")
     cells = ST.read_numeric_csv(spark, path)
     sized = cells.withColumn("error", F.coalesce("error", F.when(F.size("values") != 400, F.lit("expected 400 velocity bins"))))
-    return P.extract_gesture(_rejecting(sized, packets), ID).withColumn("source_label", F.col("gesture"))
+    return P.extract_gesture(_with_empty(spark, path, set_aside(sized, packets)), ID).withColumn("source_label", F.col("gesture"))
 
 
 def wifi_80mhz(df: DataFrame, bins: int, path: str = "path") -> DataFrame:
@@ -354,15 +367,16 @@ def wifi_80mhz(df: DataFrame, bins: int, path: str = "path") -> DataFrame:
 
 def wifi_presence_movement(spark: SparkSession, path: str | list[str], partitions: int | None = None
                            ) -> DataFrame:
-    """Link x subcarrier packets with time from the first one; ragged packets are an error."""
-    rows = ST.read_packet_jsonl(spark, path, partitions)
-    for s in IQ:
-        rows = rows.withColumn(s, F.when(F.col("packet_error").isNull(), F.col(s)).otherwise(
-            F.raise_error(F.col("packet_error"))))
-    first = rows.groupBy(ID).agg(F.min("timestamp_s").alias("_t0"))
-    rows = join_facts(rows, first, [ID], F.hash("timestamp_s"))
-    rows = rows.withColumn("timestamp_s", F.col("timestamp_s") - F.col("_t0"))
-    return S.add_amplitude(rows.drop("_t0", "packet_error"))
+    """Link x subcarrier packets with time from the first one.  A ragged packet, packets of different shape
+    or an empty file fail their recording."""
+    rows = ST.read_packet_jsonl(spark, path, partitions).withColumnRenamed("packet_error", ERROR)
+    rows = uniform(rows, F.struct("links", "subcarriers"), "packet shapes", F.hash("timestamp_s"))
+
+    def packets(good: DataFrame) -> DataFrame:
+        first = good.groupBy(ID).agg(F.min("timestamp_s").alias("_t0"))
+        good = join_facts(good, first, [ID], F.hash("timestamp_s"))
+        return S.add_amplitude(good.withColumn("timestamp_s", F.col("timestamp_s") - F.col("_t0")).drop("_t0"))
+    return _with_empty(spark, path, set_aside(rows, packets))
 
 
 def wifi_tad(df: DataFrame, annotations: DataFrame | None = None, info: DataFrame | None = None
@@ -414,9 +428,13 @@ def xrf_v2(df: DataFrame, intervals: DataFrame, receivers: Sequence[int] = (0, 1
     lengths = df.groupBy(ID).agg(F.count(F.lit(1)).alias("source_length"))
     named = S.decode_labels(intervals, "label_id", V.XRF_V2_ACTIONS, "label", "null")
     checked = D.checked_intervals(named, lengths)
-    checked = checked.withColumn("start_index", F.when(F.col("error").isNull(), F.col("start_index"))
-                                 .otherwise(F.raise_error(F.col("error")))).drop("error")
-    return P.extract_sequence(D.paint_labels(rows, checked), path)
+    if ERROR not in rows.columns:
+        checked = flagged(checked.withColumnRenamed(ERROR, "_wrong"), "start_index", F.col("_wrong").isNull(), F.col("_wrong")).drop("_wrong")
+        return P.extract_sequence(D.paint_labels(rows, checked), path)
+    wrong = checked.groupBy(ID).agg(F.min(ERROR).alias("_wrong")).where("_wrong is not null")
+    rows = join_facts(rows, wrong, [ID], F.col("packet_index"))
+    rows = rows.withColumn(ERROR, F.coalesce(ERROR, "_wrong")).drop("_wrong")
+    return P.extract_sequence(set_aside(rows, lambda good: D.paint_labels(good, checked.where(F.col(ERROR).isNull()).drop(ERROR))), path)
 
 
 def xrf55(df: DataFrame, path: str = "path") -> DataFrame:

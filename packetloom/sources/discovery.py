@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as ST
 
 from packetloom.functions import text as T
 from packetloom.functions.paths import predefined_split
+from packetloom.operators.joins import ancestors
+from packetloom.session import cut_lineage
 
 SPLIT_ALIASES = {  # fixed values: names of the partitions in official lists
     "train": ("train", "training"), "val": ("val", "valid", "validation"),
@@ -46,6 +48,35 @@ def matching_patterns(files: DataFrame, patterns: Sequence[str], path: str = "re
     return files.where(hit)
 
 
+def folder_sources(files: DataFrame, patterns: Sequence[str], path: str = "relative_path") -> DataFrame:
+    """Folders that match a glob, as sources: made from the listing by grouping the files below them.
+
+    ``length`` is the sum, ``modificationTime`` the latest and ``files`` the number of the files; a folder
+    inside a matching folder is no source of its own.
+    """
+    above = files.select("length", "modificationTime", F.col(path).alias("_file"), F.explode(ancestors(F.col(path))).alias("_a"))
+    found = matching_patterns(above.select("length", "modificationTime", "_file", F.col("_a.depth").alias("_depth"),
+                                           F.col("_a.folder").alias(path)), patterns, path)
+    first = found.groupBy("_file").agg(F.min_by(path, "_depth").alias(path), F.first("length").alias("length"),
+                                       F.first("modificationTime").alias("modificationTime"))
+    return first.groupBy(path).agg(F.sum("length").alias("length"), F.max("modificationTime").alias("modificationTime"),
+                                   F.count(F.lit(1)).alias("files"))
+
+
+def first_characters(spark: SparkSession, path: str | list[str], length: int = SNIFF_LENGTH) -> DataFrame:
+    """``path``, ``head``: the first characters of each text file, without its whole content in one value.
+
+    Of each file at most ``length`` lines of at most ``length`` characters leave the task that reads them.
+    """
+    lines = spark.read.option("recursiveFileLookup", "true").text(path).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_id"), F.substring("value", 1, length).alias("_line")).where("_start = 0")
+    place = F.row_number().over(Window.partitionBy("path").orderBy("_id"))
+    few = lines.withColumn("_n", place).where(F.col("_n") <= length)
+    heads = few.groupBy("path").agg(F.array_sort(F.collect_list(F.struct("_n", "_line"))).alias("_all"))
+    return heads.select("path", F.substring(F.array_join(F.transform("_all", lambda x: x["_line"]), "\n"), 1, length).alias("head"))
+
+
 def discover_sources(files: DataFrame, patterns: Sequence[str], limit: int | None = None,
                      sniff: str | None = None, path: str = "relative_path") -> DataFrame:
     """Distinct matching files in path order; ``limit`` takes the first ones of that order.
@@ -104,18 +135,38 @@ def _ids(node: Column) -> Column:
         F.startswith(F.ltrim(listed), F.lit("[")), F.coalesce(as_list, F.array(listed))).otherwise(F.array(listed))
 
 
-def _is_list(text: Column) -> Column:
-    return F.ltrim(text).rlike(r"^[\[{]") & F.try_parse_json(text).isNotNull()
-
-
 def flatten_ids(node: Column, depth: int = 16) -> Column:
-    """All ids below a JSON node, in order.  An odd item costs itself only; lists nested deeper than
-    ``depth`` are an error and not silently an id."""
+    """All ids at most ``depth`` levels below a JSON node, in order; deeper lists stay as text.
+
+    An odd item costs itself only.
+    """
     out = _ids(node)
     for _ in range(depth - 1):
         out = F.flatten(F.transform(out, lambda x: F.when(F.ltrim(x).rlike(r"^[\[{]"), _ids(x)).otherwise(F.array(x))))
-    out = F.filter(out, lambda x: x.isNotNull())
-    return F.when(F.exists(out, _is_list), F.raise_error(F.lit("a split list is nested too deeply"))).otherwise(out)
+    return F.filter(out, lambda x: x.isNotNull())
+
+
+def unnested(rows: DataFrame, keys: Sequence[str], depth: int = 16) -> DataFrame:
+    """``rows`` (``keys``, ``position``, ``member``) without nested lists, whatever their depth.
+
+    Each round opens ``depth`` more levels of the members that are still lists, until none is.  Their
+    items take the place of the list; text that only looks like a list is an id.
+    """
+    def is_list() -> Column:
+        return F.ltrim("member").rlike(r"^[\[{]") & F.try_parse_json("member").isNotNull()
+
+    rows = cut_lineage(rows.withColumn("_at", F.array("position")), "split_members")
+    if rows.where(is_list()).isEmpty():
+        return rows.drop("_at")
+    while True:
+        opened = rows.withColumn("_in", F.when(is_list(), flatten_ids(F.col("member"), depth)).otherwise(F.array("member")))
+        opened = opened.select(*keys, "_at", F.col("member").alias("_was"), F.posexplode("_in").alias("_i", "member"))
+        rows = cut_lineage(opened.select(*keys, F.concat("_at", F.array("_i")).alias("_at"), "member",
+                                         (is_list() & (F.col("member") != F.col("_was"))).alias("_more")), "split_members")
+        if rows.where("_more").isEmpty():
+            break
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy("_at")) - 1     # one list, which was one value before
+    return rows.select(*keys, place.alias("position"), "member")
 
 
 def split_members(payloads: DataFrame, path: str = "path", text: str = "text") -> DataFrame:
@@ -134,8 +185,9 @@ def split_members(payloads: DataFrame, path: str = "path", text: str = "text") -
     chosen = F.when(F.size(named) > 0, named).otherwise(
         F.filter(whole, lambda n: n["partition"].isNotNull()))
     rows = payloads.select(path, F.explode(chosen).alias("_n"))
-    return rows.select(path, F.col("_n.partition").alias("partition"),
-                       F.posexplode(flatten_ids(F.col("_n.node"))).alias("position", "member"))
+    found = rows.select(path, F.col("_n.partition").alias("partition"),
+                        F.posexplode(flatten_ids(F.col("_n.node"))).alias("position", "member"))
+    return unnested(found, [path, "partition"])
 
 
 def read_external_split(spark: SparkSession, paths: str | list[str]) -> DataFrame:

@@ -234,17 +234,22 @@ def read_packet_jsonl(spark: SparkSession, path: str | list[str], partitions: in
         folder != "original", F.initcap(F.translate(folder, "_", " "))))
 
 
-def read_numeric_csv(spark: SparkSession, path: str | list[str], strict: bool = True) -> DataFrame:
+def read_numeric_csv(spark: SparkSession, path: str | list[str], strict: bool = True, keep_empty: bool = False) -> DataFrame:
     """CSV matrices of any width: one row per line with ``row_index`` and ``values``.
 
     Header lines (nothing numeric) and columns without any number go away per recording; with
     ``strict`` a cell that is missing or still not a number gives the row an ``error``.
+    ``keep_empty`` keeps both in their places instead, with NaN for what is no number; only blank lines go.
     """
     raw = spark.read.text(path)
     rows = raw.withColumns({
         "recording_id": recording_of(), "_start": F.col("_metadata.file_block_start"),
         "_id": F.monotonically_increasing_id()})
     values = F.transform(F.split("value", ","), lambda x: x.try_cast("double"))
+    if keep_empty:
+        kept = rows.where(F.trim("value") != "").select("recording_id", "_start", "_id", F.transform(
+            values, lambda x: F.coalesce(x, F.lit(float("nan")))).alias("values"))
+        return _numbered(cut_lineage(kept, "matrix"), ("recording_id",), ("_start", "_id"))
     parsed = rows.select("recording_id", "_start", "_id", values.alias("values"))
     # text is parsed once: finding the used columns and numbering the rows read the parsed table
     return numeric_matrix(cut_lineage(parsed, "matrix"), strict)
@@ -262,26 +267,31 @@ def numeric_matrix(rows: DataFrame, strict: bool = True,
             .distinct().groupBy(*keys).agg(F.sort_array(F.collect_set("_c")).alias("_keep")))
     placed = join_facts(filled, used, list(keys), F.col(order[-1]), how="inner").withColumn(
         "values", F.transform("_keep", lambda i: F.get(F.col("values"), i))).drop("_keep")
-    # one bucket per 4096 lines of a split: an order that grows with the file
-    placed = placed.withColumn("_bucket", F.struct(
-        *[F.col(c) for c in order[:-1]], F.shiftright(order[-1], 12).alias("part")))
-    out = with_position(placed, keys, list(order), "_bucket", "row_index").drop("_bucket", *order)
+    out = _numbered(placed, keys, order)
     if strict:
         out = out.withColumn("error", F.when(F.exists("values", lambda x: x.isNull()), F.lit(
             "not a rectangular numeric CSV")))
     return out
 
 
+def _numbered(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``row_index`` in file order; one bucket per 4096 lines of a split, so that they grow with the file."""
+    rows = rows.withColumn("_bucket", F.struct(
+        *[F.col(c) for c in order[:-1]], F.shiftright(order[-1], 12).alias("part")))
+    return with_position(rows, keys, list(order), "_bucket", "row_index").drop("_bucket", *order)
+
+
 def parse_array_cell(c: str) -> Column:
     """``[1, 2, ...]`` as an array; NULL where the text is no such list."""
     return F.from_json(F.col(c), ST.ArrayType(ST.FloatType()), {"mode": "PERMISSIVE"})
 
 
 def read_array_cell_csv(spark: SparkSession, path: str | list[str], data_col: str = "data",
-                        label_col: str | None = "class") -> DataFrame:
+                        label_col: str | None = "class", strict: bool = True) -> DataFrame:
     """CSV whose data cells hold a written list; the label column is optional.
 
-    Each file is read by its own header.  ``error`` marks a cell that is no list of numbers.
+    Each file is read by its own header.  ``error`` marks a cell that is no list of numbers and, unless
+    ``strict`` makes that an error of the call, the rows of a file without the column.
     """
     lines, headers = csv_lines(spark, path)
 
@@ -292,13 +302,14 @@ def read_array_cell_csv(spark: SparkSession, path: str | list[str], data_col: st
         "recording_id", "_header", place(data_col).alias("_data"),
         place(label_col).alias("_label")).withColumn("error", F.when(
             F.col("_data").isNull(), F.lit(f"CSV must contain a {data_col} column")))
-    reject_bad(layouts)
+    if strict:
+        reject_bad(layouts)
     rows = csv_rows(lines, layouts).withColumns({
         "source_label": F.nullif(F.get("cells", F.col("_label")), F.lit("")),
         "_cell": F.get("cells", F.col("_data"))}).withColumn("values", parse_array_cell("_cell"))
     bad = F.col("values").isNull() | F.exists("values", lambda x: x.isNull())
     rows = rows.select("recording_id", "_start", "_id", "source_label", "values",
-                       F.when(bad, F.lit("not a list of numbers")).alias("error"))
+                       F.coalesce("error", F.when(bad, F.lit("not a list of numbers"))).alias("error"))
     rows = cut_lineage(rows, "cells")
     rows = rows.withColumn(
         "_bucket", F.struct("_start", F.shiftright("_id", 12).alias("part")))
