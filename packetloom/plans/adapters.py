@@ -159,10 +159,9 @@ def figshare_csi_har(spark: SparkSession, data: str | list[str], labels: str | l
     folder = F.regexp_replace(ID, "/[^/]*$", "")
     rows = L.slice_blocks(matrix, "values").withColumn("_folder", folder).drop("values")
     if labels is not None:
-        raw = spark.read.schema("a string, b string").csv(labels).select(
-            F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "").alias("_folder"),
-            F.col("_metadata.file_block_start").alias("_start"),
-            F.monotonically_increasing_id().alias("_id"), F.trim("b").alias("source_label"))
+        raw = ST.lines_of(spark, labels).where(F.trim("value") != "").select(
+            F.regexp_replace(ID, "/[^/]*$", "").alias("_folder"), "_start", "_id",
+            F.trim(F.get(ST.csv_cells(F.col("value")), F.lit(1))).alias("source_label"))
         raw = with_position(raw.withColumn("_b", F.struct("_start", F.shiftright("_id", 12).alias("p"))),
                             ["_folder"], ["_start", "_id"], "_b", "row_index").drop("_b", "_start", "_id")
         labelled = raw.select("_folder").distinct().withColumn("_has", F.lit(True))

@@ -166,15 +166,17 @@ class Prepared:
     policy: DataFrame
 
 
-def view_policy(packets: DataFrame, recordings: DataFrame, dataset_id: str,
-                options: ViewOptions | None) -> tuple[ViewOptions, DataFrame, DataFrame]:
+def view_policy(packets: DataFrame | None, recordings: DataFrame, dataset_id: str, options: ViewOptions | None,
+                clips: DataFrame | None = None) -> tuple[ViewOptions, DataFrame, DataFrame]:
     """Options in force, window length per recording, and the policy rows.
 
+    ``clips`` (what ``_described`` gives) saves another pass over the packets.
+
     Explicit lengths are used as they are; otherwise every recording gets the shortest resampled
     length, at most the profile's, per task for the multi-task benchmark.
     """
     base = resolve_profile(DATASET_PROFILES.get(dataset_id), options)
-    clips = _described(packets, recordings)
+    clips = _described(packets, recordings) if clips is None else clips
     explicit = options is not None and (options.target_length is not None
                                         or options.duration_s is not None)
     if explicit:

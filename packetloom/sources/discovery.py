@@ -21,10 +21,11 @@ SNIFF_LENGTH = 2048                              # fixed value: characters looke
 LARGEST_CONTENT = (1 << 31) - (1 << 20)          # bytes that one binary value can hold, with room for its row
 
 
-def list_files(spark: SparkSession, root: str, content: bool = False) -> DataFrame:
+def list_files(spark: SparkSession, root: str, content: bool = False, empty: bool = False) -> DataFrame:
     """Files below a folder with path, relative path, size and time; content only on demand.
 
-    A file that one value cannot hold has NULL content.
+    A file that one value cannot hold has NULL content.  Readers skip files of no bytes; ``empty`` adds
+    them, without time, from the listing that the driver holds anyway.
     """
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     columns = ["path", "length", "modificationTime"]
@@ -33,6 +34,12 @@ def list_files(spark: SparkSession, root: str, content: bool = False) -> DataFra
         found = raw.where(F.col("length") <= LARGEST_CONTENT).select(*columns, "content").unionByName(large)
     else:
         found = raw.select(*columns)
+    if empty:
+        names = spark.createDataFrame([(p,) for p in raw.inputFiles()], "path string")
+        names = names.select(F.regexp_replace(F.url_decode(F.replace(F.col("path"), F.lit("+"), F.lit("%2B"))), "^file:/+", "file:/").alias("path"))
+        seen = raw.select(F.regexp_replace("path", "^file:/+", "file:/").alias("path"))
+        gone = names.join(seen, "path", "left_anti").withColumn("length", F.lit(0).cast("bigint"))
+        found = found.unionByName(gone, allowMissingColumns=True)
     plain = F.regexp_replace(F.col("path"), r"^file:/+", "/")
     base = root.rstrip("/") + "/"
     return found.withColumn("relative_path", F.when(

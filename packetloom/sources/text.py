@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,39 @@ def recording_of(path: Column | None = None) -> Column:
     return F.col("_metadata.file_path") if path is None else path
 
 
+@dataclass(frozen=True)
+class Chosen:
+    """Files below ``root`` that a sources table (``path``) names; no reader needs them as a list."""
+
+    root: str
+    sources: DataFrame
+
+
+def full_path(path: Column) -> Column:
+    """One form for the paths of listings."""
+    return F.regexp_replace(path, "^file:/+", "file:/")
+
+
+def of_chosen(rows: DataFrame, path: str | list[str] | Chosen, spread: Column) -> DataFrame:
+    """Rows of the chosen files; their ``recording_id``, percent-encoded by readers, becomes the listed path."""
+    if not isinstance(path, Chosen):
+        return rows
+    plain = F.url_decode(F.replace(F.col("recording_id"), F.lit("+"), F.lit("%2B")))
+    rows = rows.withColumn("recording_id", full_path(plain))
+    names = path.sources.select(full_path(F.col("path")).alias("recording_id")).distinct()
+    return join_facts(rows, names, ["recording_id"], spread, how="inner")
+
+
+def lines_of(spark: SparkSession, path: str | list[str] | Chosen) -> DataFrame:
+    """``recording_id, _start, _id, value`` of every line; ``_id`` ascends inside a split."""
+    chosen = isinstance(path, Chosen)
+    reader = spark.read.option("recursiveFileLookup", "true") if chosen else spark.read
+    rows = reader.text(path.root if chosen else path).select(
+        recording_of().alias("recording_id"), F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_id"), "value")
+    return of_chosen(rows, path, F.col("_id"))
+
+
 def wide_channels(names: Sequence[str]) -> tuple[int, int, dict[tuple[str, int, int], str]]:
     """Links, subcarriers and the column of every (component, link, subcarrier)."""
     cells = {}
@@ -77,15 +111,13 @@ def csv_cells(line: Column) -> Column:
     return F.when(F.contains(line, F.lit('"')), quoted).otherwise(F.split(line, ","))
 
 
-def csv_lines(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:
+def csv_lines(spark: SparkSession, path: str | list[str] | Chosen) -> tuple[DataFrame, DataFrame]:
     """Lines of CSV files, and the header of each file with its ``names``.
 
     Files of one call may have different headers.  The header is a file's first line that is not
     blank; headers are written once, so the text is read twice in all.
     """
-    lines = spark.read.text(path).select(
-        recording_of().alias("recording_id"), F.col("_metadata.file_block_start").alias("_start"),
-        F.monotonically_increasing_id().alias("_id"), "value").where(F.trim("value") != "")
+    lines = lines_of(spark, path).where(F.trim("value") != "")
     headers = lines.where("_start = 0").groupBy("recording_id").agg(
         F.min_by("value", "_id").alias("_header"))
     names = F.transform(csv_cells(F.col("_header")), lambda n: F.trim(n))
@@ -141,7 +173,7 @@ def wide_layouts(headers: DataFrame) -> DataFrame:
             F.lit("CSV needs real/imag pairs or amplitude columns")).alias("error"))
 
 
-def read_wide_csv(spark: SparkSession, path: str | list[str], strict: bool = True) -> DataFrame:
+def read_wide_csv(spark: SparkSession, path: str | list[str] | Chosen, strict: bool = True) -> DataFrame:
     """Packets of wide CSV files; one file is one recording, read by its own header.
 
     Missing cells are 0.  With ``strict`` an unusable header or cell is an error of the call;
@@ -175,7 +207,7 @@ def read_wide_csv(spark: SparkSession, path: str | list[str], strict: bool = Tru
                        "source_representation", "links", "subcarriers", *([] if strict else ["packet_error"]))
 
 
-def without_rows(spark: SparkSession, path: str | list[str], rows: DataFrame) -> DataFrame:
+def without_rows(spark: SparkSession, path: str | list[str] | Chosen, rows: DataFrame) -> DataFrame:
     """``recording_id, error`` of the files below ``path`` that gave no row.
 
     Readers skip files of no bytes, so the names come from the listing that the driver holds anyway.
@@ -183,6 +215,10 @@ def without_rows(spark: SparkSession, path: str | list[str], rows: DataFrame) ->
     def plain(c: Column) -> Column:
         return F.regexp_replace(c, "^file:/+", "file:/")
 
+    if isinstance(path, Chosen):
+        listed = path.sources.select(full_path(F.col("path")).alias("recording_id")).distinct()
+        seen = rows.select("recording_id").distinct()
+        return listed.join(seen, "recording_id", "left_anti").withColumn("error", F.lit("source has no rows"))
     listed = spark.createDataFrame([(p,) for p in spark.read.text(path).inputFiles()], "recording_id string")
     seen = rows.select(plain(F.col("recording_id")).alias("recording_id")).distinct()
     return listed.select(plain(F.col("recording_id")).alias("recording_id")).join(
@@ -220,13 +256,16 @@ def json_packets(df: DataFrame, keys: Sequence[str] = ("recording_id",)) -> Data
                     "packet_error"))
 
 
-def read_packet_jsonl(spark: SparkSession, path: str | list[str], partitions: int | None = None
+def read_packet_jsonl(spark: SparkSession, path: str | list[str] | Chosen, partitions: int | None = None
                       ) -> DataFrame:
     """Packets of (gzip) JSON Lines files, labelled by their folder unless it is ``original``.
 
     A gzip file is read by one task; the rows are then spread evenly, not by recording.
     """
-    raw = spark.read.schema(PACKET_SCHEMA).json(path).withColumn("recording_id", recording_of())
+    chosen = isinstance(path, Chosen)
+    reader = spark.read.option("recursiveFileLookup", "true") if chosen else spark.read
+    raw = reader.schema(PACKET_SCHEMA).json(path.root if chosen else path).select("*", recording_of().alias("recording_id"))
+    raw = of_chosen(raw, path, F.xxhash64("t"))
     if partitions:
         raw = raw.repartition(partitions)
     folder = T.parent_name("recording_id")
@@ -234,17 +273,14 @@ def read_packet_jsonl(spark: SparkSession, path: str | list[str], partitions: in
         folder != "original", F.initcap(F.translate(folder, "_", " "))))
 
 
-def read_numeric_csv(spark: SparkSession, path: str | list[str], strict: bool = True, keep_empty: bool = False) -> DataFrame:
+def read_numeric_csv(spark: SparkSession, path: str | list[str] | Chosen, strict: bool = True, keep_empty: bool = False) -> DataFrame:
     """CSV matrices of any width: one row per line with ``row_index`` and ``values``.
 
     Header lines (nothing numeric) and columns without any number go away per recording; with
     ``strict`` a cell that is missing or still not a number gives the row an ``error``.
     ``keep_empty`` keeps both in their places instead, with NaN for what is no number; only blank lines go.
     """
-    raw = spark.read.text(path)
-    rows = raw.withColumns({
-        "recording_id": recording_of(), "_start": F.col("_metadata.file_block_start"),
-        "_id": F.monotonically_increasing_id()})
+    rows = lines_of(spark, path)
     values = F.transform(F.split("value", ","), lambda x: x.try_cast("double"))
     if keep_empty:
         kept = rows.where(F.trim("value") != "").select("recording_id", "_start", "_id", F.transform(
@@ -286,7 +322,7 @@ def parse_array_cell(c: str) -> Column:
     return F.from_json(F.col(c), ST.ArrayType(ST.FloatType()), {"mode": "PERMISSIVE"})
 
 
-def read_array_cell_csv(spark: SparkSession, path: str | list[str], data_col: str = "data",
+def read_array_cell_csv(spark: SparkSession, path: str | list[str] | Chosen, data_col: str = "data",
                         label_col: str | None = "class", strict: bool = True) -> DataFrame:
     """CSV whose data cells hold a written list; the label column is optional.
 
@@ -317,7 +353,7 @@ def read_array_cell_csv(spark: SparkSession, path: str | list[str], data_col: st
                          ).drop("_bucket", "_start", "_id")
 
 
-def read_json_arrays(spark: SparkSession, path: str | list[str], schema: ST.StructType,
+def read_json_arrays(spark: SparkSession, path: str | list[str] | Chosen, schema: ST.StructType,
                      multi_line: bool = False) -> DataFrame:
     """JSON objects or records with a declared schema, one row each, ready for ``resolve_aliases``."""
     reader = spark.read.schema(schema)

@@ -9,6 +9,7 @@ from packetloom.plans import adapters as AD
 from packetloom.plans import jobs as E
 from packetloom.plans import profiles as PR
 from packetloom.plans import registry as RG
+from packetloom.plans.prepare import prepare_dataset
 from packetloom.plans.profiles import ViewOptions
 from packetloom.session import cut_lineage, scratch_path
 from packetloom.workload.subsets import _sizes
@@ -184,12 +185,73 @@ SELECT CAST(label AS INT) AS label, CASE label % 4 WHEN 0 THEN 'no_presence' WHE
        count(DISTINCT vec_id) AS packets, 26 AS carriers, {q6('round(sum(CAST(CAST(amp AS FLOAT) AS DOUBLE)), 3)')} AS total
 FROM iq WHERE s BETWEEN 6 AND 31 GROUP BY 1, 2"""
 
+def _by_label(spark, sf, dataset_id, write, **more):
+    """Embeddings as the sources of a data set, one file per label, prepared by its id; then label 0 comes once
+    more as label 99 and the job runs again."""
+    root, out = scratch_path(spark, "sources"), scratch_path(spark, "prepared")
+    em = table(spark, sf, "embeddings")
+    number = F.regexp_extract("source", "set=([0-9]+)", 1).cast("int").alias("label")
+    write(em.repartition("label"), root)
+    first = prepare_dataset(spark, dataset_id, root, out, check=False, **more).state.select(number, F.col("status").alias("first"))
+    write(em.where("label = 0").withColumn("label", F.lit(99)).repartition(1), root)
+    run = prepare_dataset(spark, dataset_id, root, out, check=False, **more)
+    packets = run.table("packets").groupBy(F.col(ID).alias("source")).agg(F.count(F.lit(1)).alias("packets"), F.max(F.size("amplitude")).alias("channels"))
+    windows = run.table("windows").groupBy(F.col(ID).alias("source")).agg(
+        F.count_if(F.col("packet_index") >= 0).alias("resampled"), F.max("window_length").alias("window_length"))
+    rows = run.state.join(packets, "source", "left").join(windows, "source", "left")
+    return rows.select(number, F.col("status").alias("second"), F.substring("error", 1, 20).alias("error"), "packets", "channels", "resampled",
+                       "window_length").join(first, "label", "left")
+
+
+def prepare_literal_cells(spark, sf):
+    """wallhack18k by its id: one source has a cell that is no list; the second run converts the new one only."""
+    def write(em, root):
+        text = F.concat(F.lit("["), F.array_join(F.transform("embedding", lambda x: x.cast("string")), ", "), F.when(F.col("label") == 3, "; ").otherwise("]"))
+        em.select(F.col("label").alias("set"), text.alias("data"), (F.col("label") % 4).alias("class")).write.mode("append").partitionBy("set").csv(root, header=True, escape='"')
+    return _by_label(spark, sf, "wallhack18k", write, setting="random")
+
+
+def prepare_packet_lines(spark, sf):
+    """wifi-presence-movement by its id, gzip JSON Lines; the packets of one source are ragged."""
+    def write(em, root):
+        def cell(k, link):
+            i = k * 2 + link
+            return F.struct(F.get("embedding", i).cast("double").alias("r"), F.get("embedding", i + 32).cast("double").alias("i"))
+        csi = F.transform(F.sequence(F.lit(0), F.lit(15)), lambda k: F.when((k == 0) & (F.col("label") == 4), F.array(cell(k, 0))).otherwise(
+            F.array(cell(k, 0), cell(k, 1))))
+        em.select(F.col("label").alias("set"), (F.col("vec_id") / 100).alias("t"), csi.alias("csi")).write.mode("append").partitionBy("set").json(root, compression="gzip")
+    return _by_label(spark, sf, "wifi-presence-movement", write, setting="random")
+
+
+def prepare_matrix(spark, sf):
+    """glasgow-multiuser by its id: CSV matrices of 52 columns; cells that are no numbers spoil one source."""
+    def write(em, root):
+        last = F.when((F.col("label") == 5) & (F.col("vec_id") % 3 == 0), "x").otherwise(F.get("embedding", F.lit(51)).cast("string"))
+        em.select(F.col("label").alias("set"), *[F.get("embedding", F.lit(i)).cast("string").alias(f"c{i}") for i in range(51)], last.alias("c51")
+                  ).write.mode("append").partitionBy("set").csv(root)
+    return _by_label(spark, sf, "glasgow-multiuser", write, setting="random")
+
+
+def _by_id_sql(bad: int, error: str, channels: int, limit: int) -> str:
+    return f"""WITH c AS (SELECT label, count(*) AS n FROM embeddings GROUP BY 1),
+a AS (SELECT CAST(label AS INT) AS label, n FROM c UNION ALL SELECT 99, n FROM c WHERE label = 0),
+w AS (SELECT least(min(n), {limit}) AS w FROM a WHERE label <> {bad}), ok AS (SELECT *, label <> {bad} AS good FROM a)
+SELECT label, CASE WHEN label = 99 THEN NULL WHEN good THEN 'converted' ELSE 'failed' END AS first,
+       CASE WHEN label = 99 THEN 'converted' WHEN good THEN 'skipped' ELSE 'failed' END AS second, CASE WHEN NOT good THEN substring('{error}', 1, 20) END AS error,
+       CASE WHEN good THEN n END AS packets, CASE WHEN good THEN {channels} END AS channels, CASE WHEN good THEN n END AS resampled,
+       CASE WHEN good THEN CAST(w AS BIGINT) END AS window_length FROM ok, w"""
+
+
 QUERIES = {
+    "prepare_literal_cells": prepare_literal_cells, "prepare_packet_lines": prepare_packet_lines, "prepare_matrix": prepare_matrix,
     "resolve_profiles": resolve_profiles, "task_view": task_view, "split_registry": split_registry,
     "standardize": standardize, "create_view": create_view, "prepare": prepare,
     "generic_adapter": generic_adapter, "wallhack_adapter": wallhack_adapter,
 }
 SQL = {
+    "prepare_literal_cells": _by_id_sql(3, "not a list of numbers", 26, 300),
+    "prepare_packet_lines": _by_id_sql(4, "inconsistent packet shape", 32, 300),
+    "prepare_matrix": _by_id_sql(5, "not a rectangular numeric CSV", 52, 300),
     "split_registry": """WITH s(group_by, settings) AS (VALUES ('subject', 14), ('environment', 15), ('device', 6)),
         h AS (SELECT CASE lang WHEN 'en' THEN 'subject' WHEN 'fr' THEN 'environment' ELSE 'device' END AS group_by,
                      count(*) AS samples FROM documents GROUP BY 1)
