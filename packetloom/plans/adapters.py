@@ -24,6 +24,7 @@ from packetloom.operators import signal as S
 from packetloom.operators import timeline as TL
 from packetloom.operators.errors import ERROR, flagged, open_channel, set_aside, uniform
 from packetloom.operators.ordered import join_facts, with_position
+from packetloom.session import cut_lineage
 from packetloom.sources import text as ST
 from packetloom.sources.tables import resolve_aliases
 
@@ -316,7 +317,8 @@ def wallhack18k(spark: SparkSession, path: str | list[str], include_ht: bool = F
         rows = S.decode_labels(rows, "source_label", V.WALLHACK_CLASSES, "source_label")
         return TL.synth_time(S.power_db_rel(rows), F.lit(100.0))
     cells = ST.read_array_cell_csv(spark, path, strict=False)
-    cells = uniform(S.deinterleave_iq(cells, "values"), F.size("values"), "vector lengths", F.col("packet_index"))
+    # several passes follow: which recordings fail, the median power, the packets
+    cells = cut_lineage(uniform(S.deinterleave_iq(cells, "values"), F.size("values"), "vector lengths", F.col("packet_index")), "checked_cells")
     return P.extract_antenna_setting(_with_empty(spark, path, set_aside(cells, packets)), ID)
 
 
@@ -369,7 +371,7 @@ def wifi_presence_movement(spark: SparkSession, path: str | list[str], partition
     """Link x subcarrier packets with time from the first one.  A ragged packet, packets of different shape
     or an empty file fail their recording."""
     rows = ST.read_packet_jsonl(spark, path, partitions).withColumnRenamed("packet_error", ERROR)
-    rows = uniform(rows, F.struct("links", "subcarriers"), "packet shapes", F.hash("timestamp_s"))
+    rows = cut_lineage(uniform(rows, F.struct("links", "subcarriers"), "packet shapes", F.hash("timestamp_s")), "checked_packets")
 
     def packets(good: DataFrame) -> DataFrame:
         first = good.groupBy(ID).agg(F.min("timestamp_s").alias("_t0"))
