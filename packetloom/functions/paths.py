@@ -141,6 +141,11 @@ def extract_task_folders(df: DataFrame, path: str) -> DataFrame:
         "_class", "class").drop("_parts", "_activity", "_source", "_text")
 
 
+def _first_error(df: DataFrame, error: Column) -> Column:
+    """An error that a row has already stays."""
+    return F.coalesce(F.col("error"), error) if "error" in df.columns else error
+
+
 def extract_action_trial(df: DataFrame, path: str) -> DataFrame:
     """``csi_a<activity>_<trial>.dat``: ids, name, and an error text when the contract is broken."""
     name, pattern = T.file_name(path), r"(?i)^csi_a(\d+)_(\d+)\.dat$"
@@ -151,7 +156,7 @@ def extract_action_trial(df: DataFrame, path: str) -> DataFrame:
     return (df.withColumn("activity_id", activity)
             .withColumn("trial_id", F.regexp_extract(name, pattern, 2).try_cast("int"))
             .withColumn("activity_label", F.try_element_at(names, activity))
-            .withColumn("error", error))
+            .withColumn("error", _first_error(df, error)))
 
 
 def extract_clip_id(df: DataFrame, path: str) -> DataFrame:
@@ -167,7 +172,7 @@ def extract_clip_id(df: DataFrame, path: str) -> DataFrame:
             .withColumn("repetition_id", F.regexp_extract(name, pattern, 3).try_cast("int"))
             .withColumn("scene_id", F.regexp_extract(scene, r"(\d+)$", 1).try_cast("int"))
             .withColumn("activity_label", F.try_element_at(names, action))
-            .withColumn("error", error))
+            .withColumn("error", _first_error(df, error)))
 
 
 def extract_sequence(df: DataFrame, path: str) -> DataFrame:
@@ -306,8 +311,8 @@ def extract_risk_folder(df: DataFrame, path: str) -> DataFrame:
             .withColumn("release_split", F.when(F.endswith(folder, F.lit("_unseen")),
                                                 F.lit("unseen test")).when(
                 folder.isNotNull(), F.lit("training")))
-            .withColumn("error", F.when(folder.isNull(), F.lit(
-                "the label is the official folder: low, med or high, with or without _unseen"))))
+            .withColumn("error", _first_error(df, F.when(folder.isNull(), F.lit(
+                "the label is the official folder: low, med or high, with or without _unseen")))))
 
 
 def extract_room_activity(df: DataFrame, path: str) -> DataFrame:

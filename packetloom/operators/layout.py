@@ -194,6 +194,7 @@ def unfold_frames(df: DataFrame, column: str, packets: int, frame: str = "frame_
         F.sequence(F.lit(0), F.lit(packets - 1)),
         lambda p: F.slice(flat, p * channels + 1, channels)))
     others = [c for c in df.columns if c not in (column, frame)]
+    cut = F.when(F.col(column).isNotNull(), cut)
     # a frame with an error stays as one row
     apart = F.posexplode_outer if ERROR in df.columns else F.posexplode
     return (df.select(*others, frame, apart(cut).alias("_pos", column))

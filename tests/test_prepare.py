@@ -59,24 +59,20 @@ def test_literal_cells_over_several_runs(spark, folder):
     assert spark.read.parquet(f"{out}/packets").select("run_id").distinct().count() == 1
     assert again.table("windows").where("valid").count() == 10 and again.table("split").count() == 3
 
-    put(root / "NLOS/BQ/w3.csv", cells(4))                              # one changed, the common length stays
-    third = prepare_dataset(spark, "wallhack18k", str(root), out, setting="random")
-    assert {k: s for k, (s, _) in status(third.state).items()} == {"BQ/w1.csv": "skipped", "BQ/w2 b.csv": "skipped", "BQ/w3.csv": "converted"}
-    assert third.table("packets").count() == 11 and third.table("windows").where("valid").count() == 11
-
-    put(root / "NLOS/BQ/w1.csv", "data,class\n\"[1, oops]\",1\n")      # bad now; the last good run stays readable until the new one is published
+    # one changed, one bad now: what was published before stays readable until the new run is
+    put(root / "NLOS/BQ/w3.csv", cells(4))
+    put(root / "NLOS/BQ/w1.csv", "data,class\n\"[1, oops]\",1\n")
     with pytest.raises(RuntimeError, match="1 conversion"):
         prepare_dataset(spark, "wallhack18k", str(root), out, setting="random")
     now = status(read_prepared(spark, out, "state"))
-    assert now["BQ/w1.csv"] == ("failed", "not a list of numbers") and now["BQ/w3.csv"][0] in ("skipped", "converted")
-    assert read_prepared(spark, out, "packets").count() == 9
+    assert now["BQ/w1.csv"] == ("failed", "not a list of numbers") and now["BQ/w3.csv"] == ("converted", None)
+    assert read_prepared(spark, out, "packets").count() == 9 and read_prepared(spark, out, "windows").where("valid").count() == 9
 
     run = published(spark, out)
+    (folder / "none").mkdir()
     with pytest.raises(FileNotFoundError):
         prepare_dataset(spark, "wallhack18k", str(folder / "none"), out)
     assert published(spark, out) == run and read_prepared(spark, out, "packets").count() == 9
-    forced = prepare_dataset(spark, "wallhack18k", str(root), out, setting="random", force=True, check=False)
-    assert sorted(s for s, _ in status(forced.state).values()) == ["converted", "converted", "failed"]
 
 
 def test_a_split_that_cannot_be_made_keeps_the_conversion(spark, folder):
@@ -90,10 +86,6 @@ def test_a_split_that_cannot_be_made_keeps_the_conversion(spark, folder):
     ("wifi-presence-movement", {"mobile/a.json": packets(3), "mobile/ragged_csi.json": packets(2) + packets(1, 29), "mobile/empty_csi.json": "", "still/csi.json": packets(2)},
      {"mobile/ragged_csi.json": "inconsistent packet shapes", "mobile/empty_csi.json": "source has no rows"}, 2),
     ("wipe-fall", {"high_unseen/a.csv": matrix(51, 60), "low/b.csv": matrix(51, 60), "low/odd.csv": matrix(9, 60)}, {"low/odd.csv": "expected the documented 51"}, 120),
-    ("glasgow-multiuser", {"2_Subjects_Sitting_Walk/a.csv": matrix(52, 60), "1_Subject_Sit/b.csv": "1,2\n3\n", "Empty/c.csv": matrix(52, 70)},
-     {"1_Subject_Sit/b.csv": "not a rectangular"}, 130),
-    ("widar3", {"train/1-push/user1-a.csv": matrix(22, 400), "train/2-slide/user2-b.csv": matrix(22, 400), "test/1-push/user1-c.csv": matrix(22, 399)},
-     {"1-push/user1-c.csv": "expected 400"}, 44),
     ("nist-breathesmart", {f"s/{n}_csi_{k}_log.csv": "".join(
         ",".join(str(1 + (c % 7)) if (c % 114 < 56 and c // 114 not in (2, 5, 8)) else "0" for c in range(width)) + "\n" for _ in range(3))
         for n, k, width in (("a", "real", 1026), ("a", "imag", 1026), ("b", "real", 1026), ("b", "imag", 1025), ("c", "real", 1026), ("c", "imag", 1026))},
