@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from packetloom.llm.common import Hasher, as_signed, extended, flat, mapped, mix, ragged, ship
+from packetloom.llm.common import Hasher, as_signed, extended, flat, mapped, mix, ragged, ship, spare
 from packetloom.llm.decontaminate import merged
 from packetloom.session import cut_lineage
 
@@ -264,11 +264,11 @@ def repeated_spans(texts: DataFrame, span: int = SPAN, hot: int = HOT_CONTEXTS)
     return spans
 
 
-def _remove(batch: pa.RecordBatch) -> pa.RecordBatch:
-    buf, offsets = flat(batch.column("__text"))
+def _remove(batch: pa.RecordBatch, text: str, spans: str, columns: list[str]) -> pa.RecordBatch:
+    buf, offsets = flat(batch.column(text))
     raw = buf.tobytes()
     size, removed, n_spans, kept = np.diff(offsets), [], [], []
-    column = batch.column("__spans")
+    column = batch.column(spans)
     for r in range(batch.num_rows):
         own = raw[offsets[r]: offsets[r + 1]]
         if not column[r].is_valid:
@@ -278,7 +278,7 @@ def _remove(batch: pa.RecordBatch) -> pa.RecordBatch:
         a, b = merged(values.field("start").to_numpy(), values.field("end").to_numpy(), int(size[r]))
         removed.append(int((b - a).sum())), n_spans.append(len(a))
         kept.append(b"".join(own[x: y] for x, y in zip([0, *b.tolist()], [*a.tolist(), len(own)], strict=True)))
-    out = {n: batch.column(i) for i, n in enumerate(batch.schema.names) if not n.startswith("__")}
+    out = {n: batch.column(n) for n in columns}
     out |= {"n_bytes": pa.array(size, pa.int64()), "n_removed": pa.array(removed, pa.int64()), "n_spans": pa.array(n_spans, pa.int64()), "kept_bytes": pa.array(kept, pa.binary())}
     return pa.RecordBatch.from_arrays(list(out.values()), names=list(out))
 
@@ -289,20 +289,22 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text", sp
     A byte goes if a ``span``-byte string over it also starts in a document of smaller id, or
     earlier in the same one.  Null texts are empty, a null id is smaller than any.  Rows that repeat
     an id are ordered by their text; of equal rows either may be the later.  Ids must be integers.
-    An empty table stays empty.
+    An empty table stays empty; other columns pass through whatever their names.
     """
     docs = docs.drop(*[c for c in ("n_bytes", "n_removed", "n_spans", "kept_bytes") if c in docs.columns])
-    keyed = docs.withColumn("__doc", F.coalesce(F.col(id_col).cast("bigint"), F.lit(-(1 << 63)))).withColumn("__text", F.coalesce(F.col(text), F.lit("")))
-    if keyed.groupBy("__doc").count().where("count > 1").isEmpty():
-        keyed = keyed.withColumn("__nth", F.lit(0))
+    doc, nth, body, runs, of, of_nth = spare(docs, "__doc", "__nth", "__text", "__spans", "__of", "__of_nth")
+    keyed = docs.withColumn(doc, F.coalesce(F.col(id_col).cast("bigint"), F.lit(-(1 << 63)))).withColumn(body, F.coalesce(F.col(text), F.lit("")))
+    if keyed.groupBy(doc).agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        keyed = keyed.withColumn(nth, F.lit(0))
     else:
-        keyed = cut_lineage(keyed.withColumn("__nth", F.row_number().over(Window.partitionBy("__doc").orderBy("__text"))), "numbered")
-    texts = keyed.select(F.col("__doc").alias("doc"), F.col("__nth").alias("nth"), F.col("__text").alias("text"))
-    spans = repeated_spans(texts, span).groupBy("doc", "nth").agg(F.collect_list(F.struct("start", "end")).alias("__spans"))
-    spans = cut_lineage(spans.select(F.col("doc").alias("__of"), F.col("nth").alias("__of_nth"), "__spans"), "spans")
-    joined = keyed.join(spans, (F.col("__doc") == F.col("__of")) & (F.col("__nth") == F.col("__of_nth")), "left").drop("__of", "__of_nth", "__doc", "__nth")
+        keyed = cut_lineage(keyed.withColumn(nth, F.row_number().over(Window.partitionBy(doc).orderBy(body))), "numbered")
+    texts = keyed.select(F.col(doc).alias("doc"), F.col(nth).alias("nth"), F.col(body).alias("text"))
+    spans = repeated_spans(texts, span).groupBy("doc", "nth").agg(F.collect_list(F.struct("start", "end")).alias(runs))
+    spans = cut_lineage(spans.select(F.col("doc").alias(of), F.col("nth").alias(of_nth), runs), "spans")
+    joined = keyed.join(spans, (F.col(doc) == F.col(of)) & (F.col(nth) == F.col(of_nth)), "left").select(*docs.columns, body, runs)
     schema = extended(docs, n_bytes="bigint", n_removed="bigint", n_spans="bigint", kept_bytes="binary")
-    return mapped(joined, _remove, schema, "__text")
+    columns = docs.columns
+    return mapped(joined, lambda b: _remove(b, body, runs, columns), schema, body)
 
 
 def op4_suffix_dedup(spark, sf_dir: str) -> DataFrame:

@@ -194,3 +194,13 @@ def test_pieces_are_forgotten_at_the_end_of_a_task():
     pieces.release(path, "bpe")
     assert not own.cache and own.held == 0 and own.encode(pa.array(["some words again and again"]))[0].tolist() == first
     pieces.release(path, "bpe")
+
+
+def test_suffix_dedup_keeps_columns_of_any_name(spark):
+    from packetloom.llm import suffixes
+    names = ["__x", "__doc", "__nth", "__text", "__spans", "__of", "__of_nth", "doc", "nth"]
+    text = "".join(f"part {i} of a long passage; " for i in range(10))
+    docs = spark.createDataFrame([(i, text, *names) for i in range(3)], "doc_id bigint, text string, " + ", ".join(f"`{n}` string" for n in names))
+    got = suffixes.drop_repeats(docs).collect()
+    assert all([r[n] for n in names] == names for r in got)
+    assert {r.doc_id: r.n_removed for r in got} == {0: 0, 1: len(text), 2: len(text)}
