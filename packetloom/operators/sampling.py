@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from packetloom.operators.ordered import index_bucket, with_position
 from packetloom.operators.segments import tag_intervals
-from packetloom.session import cut_lineage
+from packetloom.session import cut_lineage, scratch_path
 
 
 def head_per_group(df: DataFrame, keys: Sequence[str], n: int,
@@ -83,31 +83,64 @@ def stratified_pick(items: DataFrame, stratum: str, target: Column, value: str,
     return pick_per_class(items, stratum, preferred)
 
 
-def greedy_cover(items: DataFrame, features: str, order: Column, max_steps: int | None = None
-                 ) -> list:
-    """Ids of few items that together carry every feature.
+def _first_of_equal(table: DataFrame) -> DataFrame:
+    """Of the items with one set of features ``f`` the first: the others gain nothing after it."""
+    return (table.groupBy(F.array_sort("f").alias("f")).agg(F.min(F.struct("o", "id")).alias("_first"))
+            .select("_first.id", "_first.o", "f"))
+
+
+def cover_steps(items: DataFrame, features: str, order: Column, required: DataFrame | None = None
+                ) -> DataFrame:
+    """``step, id, gain``: few items that together carry every feature, in the order a greedy picks them.
+
+    A greedy takes the item with the most uncovered features, the smallest ``order`` and ``id`` on
+    ties.  An item that comes first, by that rule, for each of its uncovered features is picked
+    before anything that shares a feature with it, so all such items are taken in one round; sorted
+    by the rule, the picks of all rounds are those of the greedy, one by one.  Items and uncovered
+    features stay tables, and the driver learns only whether a round had any.
 
-    Each step takes the item with the most uncovered features, the smallest ``order`` on ties.
-    Items with equal feature sets are reduced to their first before the loop; the loop runs on
-    that table, one aggregate per step and at most one step per feature.  ``items``: ``id`` and
-    the array column ``features``.
+    ``items``: ``id`` and the array column ``features`` (null arrays and null elements carry
+    nothing, rows that repeat an id and its order are one item).  ``required``: one column, the
+    features to cover instead of all; it is an error when no item carries one of them.
     """
-    reduced = (items.withColumn("_f", F.array_sort(F.array_distinct(features)))
-               .groupBy("_f").agg(F.min(F.struct(order.alias("o"), F.col("id").alias("id"))
-                                        ).alias("_first")))
-    table = cut_lineage(reduced.select("_f", "_first.o", "_first.id"), "cover")
-    left = {r[0] for r in table.select(F.explode("_f")).distinct().toLocalIterator()}
-    chosen: list = []
-    while left and (max_steps is None or len(chosen) < max_steps):
-        open_now = F.array(*[F.lit(v) for v in sorted(left, key=str)])
-        score = F.size(F.array_intersect("_f", open_now))
-        best = table.select("id", "_f", "o", score.alias("_score")).where("_score > 0").agg(
-            F.min(F.struct(-F.col("_score"), "o", "id", "_f")).alias("b")).first()["b"]
-        if best is None:
-            raise ValueError(f"coverage selection stalled with {sorted(left, key=str)}")
-        chosen.append(best["id"])
-        left -= set(best["_f"])
-    return chosen
+    spark = items.sparkSession
+    table = items.select("id", order.alias("o"), F.array_compact(F.array_distinct(features)).alias("f"))
+    links = table.select("id", "o", F.explode("f").alias("feature"))
+    if required is not None:
+        wanted = required.select(F.col(required.columns[0]).alias("feature")).where("feature is not null").distinct()
+        stalled = wanted.join(links, "feature", "left_anti").limit(5).collect()
+        if stalled:
+            raise ValueError(f"coverage selection stalled: no item carries {[r[0] for r in stalled]}")
+        links = links.join(wanted, "feature", "left_semi")
+    picks = scratch_path(spark, "cover_picks")
+    table = cut_lineage(_first_of_equal(links.groupBy("id", "o").agg(F.collect_set("feature").alias("f"))), "cover")
+    schema = table.select(F.struct((-F.size("f")).alias("score"), "o", "id").alias("key")).schema
+    rounds = 0
+    while not table.isEmpty():
+        key = F.struct((-F.size("f")).alias("score"), "o", "id")
+        best = cut_lineage(table.select(F.explode("f").alias("feature"), key.alias("key"))
+                           .groupBy("feature").agg(F.min("key").alias("key")), "cover_best")
+        best.groupBy("key").agg(F.count(F.lit(1)).alias("wins")).where("wins = -key.score").select("key").write.parquet(
+            f"{picks}/round={rounds}")
+        taken = spark.read.schema(schema).parquet(f"{picks}/round={rounds}")
+        covered = best.join(taken, "key", "left_semi").select("feature")
+        left = table.select("id", "o", F.explode("f").alias("feature")).join(covered, "feature", "left_anti")
+        table = cut_lineage(_first_of_equal(left.groupBy("id", "o").agg(F.collect_list("feature").alias("f"))), "cover")
+        rounds += 1
+    found = spark.read.schema(schema).parquet(picks) if rounds else table.select(
+        F.struct(F.lit(0).alias("score"), "o", "id").alias("key"))
+    rows = found.select(F.lit(0).alias("_all"), "key.score", "key.o", "key.id")
+    return with_position(rows, ["_all"], ["score", "o", "id"], "score", "step").select(
+        (F.col("step") + 1).alias("step"), "id", (-F.col("score")).cast("long").alias("gain"))
+
+
+def greedy_cover(items: DataFrame, features: str, order: Column, max_steps: int | None = None
+                 ) -> list:
+    """The ids of ``cover_steps`` as a list, for covers known to be short."""
+    steps = cover_steps(items, features, order)
+    if max_steps is not None:
+        steps = steps.where(F.col("step") <= max_steps)
+    return [r["id"] for r in steps.orderBy("step").collect()]
 
 
 def order_by_vocabulary(df: DataFrame, label: str, order: DataFrame, out: str = "label_order"
@@ -120,7 +153,7 @@ def order_by_vocabulary(df: DataFrame, label: str, order: DataFrame, out: str =
 
 
 __all__ = [
-    "capture_intervals", "class_coverage", "clip_per_action", "coverage_plan",
+    "capture_intervals", "class_coverage", "clip_per_action", "cover_steps", "coverage_plan",
     "greedy_cover", "head_per_group", "missing_labels", "order_by_vocabulary", "pick_per_class",
     "stratified_pick",
 ]

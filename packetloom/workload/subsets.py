@@ -186,11 +186,23 @@ def class_coverage(spark, sf):
 
 
 def greedy_cover(spark, sf):
-    part = table(spark, sf, "part").select(
-        F.col("p_partkey").alias("id"), F.concat(F.split("p_name", " "), F.array("p_brand", "p_type")).alias("features"))
-    chosen = SA.greedy_cover(part, "features", F.col("id"))
-    picked = table(spark, sf, "part").where(F.col("p_partkey").isin(*chosen))
-    return picked.select("p_partkey", "p_name", "p_brand", "p_type")
+    part = table(spark, sf, "part")
+    items = part.select(F.col("p_partkey").alias("id"),
+                        F.concat(F.split("p_name", " "), F.array("p_brand", "p_type")).alias("features"))
+    return SA.cover_steps(items, "features", F.col("id")).join(part, F.col("id") == F.col("p_partkey")).select(
+        "step", "gain", "p_partkey", "p_name", "p_brand", "p_type")
+
+
+COVER_SQL = """
+WITH RECURSIVE item AS (
+  SELECT p_partkey AS id, list_distinct(string_split(p_name, ' ') || [p_brand, p_type]) AS f FROM part),
+pick AS (
+  SELECT CAST(0 AS BIGINT) AS step, CAST(0 AS BIGINT) AS id, CAST(0 AS BIGINT) AS gain, CAST([] AS VARCHAR[]) AS covered
+  UNION ALL
+  SELECT * FROM (
+    SELECT step + 1, i.id, CAST(len(list_filter(i.f, lambda x: NOT list_contains(covered, x))) AS BIGINT) AS won, covered || i.f
+    FROM pick, item i ORDER BY won DESC, i.id LIMIT 1) WHERE won > 0)
+SELECT step, gain, p_partkey, p_name, p_brand, p_type FROM pick JOIN part ON p_partkey = id WHERE step > 0"""
 
 
 QUERIES = {
@@ -226,4 +238,5 @@ SQL = {
     "class_coverage": """SELECT a.lang || '/' || b.source AS class FROM (SELECT DISTINCT lang FROM documents) a,
         (SELECT 'src' || i AS source FROM range(20) t(i)) b
         WHERE a.lang || '/' || b.source NOT IN (SELECT lang || '/' || source FROM documents d JOIN labels l ON l.doc_id = d.doc_id)""",
+    "greedy_cover": COVER_SQL,
 }

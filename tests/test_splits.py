@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -115,6 +117,32 @@ def test_greedy_cover_equals_brute_force(spark):
     items = [(i, [f"a{i % 6}", f"b{i % 2}", f"c{(i * 7) % 3}", f"d{(i // 3) % 5}"]) for i in range(60)]
     df = spark.createDataFrame(items, "id long, features array<string>")
     assert SA.greedy_cover(df, "features", F.col("id")) == greedy(items)
+    assert SA.greedy_cover(df, "features", F.col("id"), 2) == greedy(items)[:2]
+
+
+def test_cover_steps_random_sets_and_ties(spark):
+    draw = random.Random(3)
+    for size in (3, 40):
+        items = [(i, [f"f{draw.randrange(size)}" for _ in range(draw.randrange(5))]) for i in range(80)]
+        items = [(i, fs, draw.randrange(4)) for i, fs in items]       # many equal sizes
+        df = spark.createDataFrame(items, "id long, features array<string>, bytes long")
+        left, want = {f for _, fs, _ in items for f in fs}, []
+        while left:
+            best = min(items, key=lambda it: (-len(set(it[1]) & left), it[2], it[0]))
+            want.append((len(want) + 1, best[0], len(set(best[1]) & left)))
+            left -= set(best[1])
+        got = [tuple(r) for r in SA.cover_steps(df, "features", F.col("bytes")).orderBy("step").collect()]
+        assert got == want
+
+
+def test_cover_steps_required_nulls_and_empty(spark):
+    schema = "id long, features array<string>"
+    df = spark.createDataFrame([(1, ["a", None, "a"]), (2, None), (3, []), (4, ["a", "b", "x"])], schema)
+    wanted = spark.createDataFrame([("a",), ("b",), (None,)], "name string")
+    assert [tuple(r) for r in SA.cover_steps(df, "features", F.col("id"), wanted).collect()] == [(1, 4, 2)]
+    assert SA.cover_steps(df.limit(0), "features", F.col("id")).collect() == []
+    with pytest.raises(ValueError, match="stalled.*'q'"):
+        SA.cover_steps(df, "features", F.col("id"), spark.createDataFrame([("q",)], "name string"))
 
 
 def test_capture_has_a_cap(spark):
