@@ -61,34 +61,41 @@ def tag_stream(stream: DataFrame, intervals: DataFrame, keys: Sequence[str], tim
                                         *[f"_i_{k}" for k in keys])
 
 
+def capture_batch(batch: DataFrame, batch_id: int, cap: int, out: str, keys: Sequence[str] = ("recording_id",),
+                  time: str = "timestamp_s", row_id: str = "packet_index") -> None:
+    """Write what micro-batch ``batch_id`` of tagged packets adds to ``out/batch_id=<n>``.
+
+    ``<out>_counts/batch_id=<n>`` holds how many packets each label has after the batch: one row per
+    label, made from the counts after the batch before and the batch's own rows, so the work does
+    not grow with the number of batches.  A batch that runs again replaces its two folders and,
+    as it starts from the same counts, writes the same rows.
+    """
+    spark, counts = batch.sparkSession, f"{out.rstrip('/')}_counts"
+    first = batch.groupBy(*keys, row_id).agg(
+        F.min_by(F.struct(*[c for c in batch.columns if c not in (*keys, row_id)]),
+                 "interval_order").alias("_row")).select(*keys, row_id, "_row.*")
+    ranked = head_per_group(first, ["label"], cap, [time, *keys, row_id])
+    before = None
+    if batch_id > 0:
+        before = spark.read.schema("label string, taken long").parquet(f"{counts}/batch_id={batch_id - 1}")
+        known = before.select(F.col("label").alias("_label"), F.col("taken").alias("_taken"))
+        # at most cap rows per label are left here, so this rank is small
+        w = Window.partitionBy("label").orderBy(time, *keys, row_id)
+        ranked = (ranked.join(known, F.col("label").eqNullSafe(F.col("_label")), "left").withColumn("_rn", F.row_number().over(w))
+                  .where(F.col("_rn") + F.coalesce("_taken", F.lit(0)) <= cap)
+                  .drop("_rn", "_label", "_taken"))
+    ranked.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+    own = spark.read.schema("label string").parquet(f"{out}/batch_id={batch_id}").select("label", F.lit(1).cast("long").alias("taken"))
+    both = own.unionByName(before) if before is not None else own
+    both.groupBy("label").agg(F.sum("taken").alias("taken")).write.mode("overwrite").parquet(
+        f"{counts}/batch_id={batch_id}")
+
+
 def stream_capture_intervals(stream: DataFrame, intervals: DataFrame, cap: int, out: str,
                              checkpoint: str, keys: Sequence[str] = ("recording_id",),
                              time: str = "timestamp_s", row_id: str = "packet_index",
                              width: float = 60.0):
-    """Start a query that keeps at most ``cap`` packets per label.
-
-    Each micro-batch writes the folder ``batch_id=<n>`` below ``out``: running a batch again
-    replaces its own folder, and what earlier batches took is counted from theirs.
-    """
+    """Start a query that keeps at most ``cap`` packets per label, one ``capture_batch`` each."""
     tagged = tag_stream(stream, intervals, keys, time, width)
-
-    def take(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        first = batch.groupBy(*keys, row_id).agg(
-            F.min_by(F.struct(*[c for c in batch.columns if c not in (*keys, row_id)]),
-                     "interval_order").alias("_row")).select(*keys, row_id, "_row.*")
-        ranked = head_per_group(first, ["label"], cap, [time, *keys, row_id])
-        if batch_id > 0:
-            before = spark.read.schema(
-                "label string, batch_id long").parquet(out).where(F.col("batch_id") < batch_id)
-            taken = before.groupBy("label").agg(F.count(F.lit(1)).alias("_taken"))
-            counted = ranked.join(taken, "label", "left")
-            # at most cap rows per label are left here, so this rank is small
-            w = Window.partitionBy("label").orderBy(time, *keys, row_id)
-            ranked = (counted.withColumn("_rn", F.row_number().over(w))
-                      .where(F.col("_rn") + F.coalesce("_taken", F.lit(0)) <= cap)
-                      .drop("_rn", "_taken"))
-        ranked.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
-
-    return (tagged.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
+    return (tagged.writeStream.foreachBatch(lambda batch, n: capture_batch(batch, n, cap, out, keys, time, row_id))
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

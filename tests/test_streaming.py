@@ -24,6 +24,22 @@ def test_capture_counts_over_batches(spark, folder):
     assert rows.select("batch_id").distinct().count() >= 3
 
 
+def test_capture_batch_runs_again_from_the_counts_before(spark, folder):
+    out = folder / "out"
+    schema = SCHEMA + ", interval_order long, label string"
+    for n in range(4):
+        rows = [("r", n * 10 + i, float(n * 10 + i), 0, "a" if i % 2 else None) for i in range(10)]
+        K.capture_batch(spark.createDataFrame(rows, schema), n, 12, str(out))
+    first = [sorted(map(tuple, spark.read.parquet(str(out / f"batch_id={n}")).collect()), key=str) for n in range(4)]
+    assert [len(rows) for rows in first] == [10, 10, 4, 0]
+    (out / "batch_id=0").rename(folder / "away")          # a batch needs no folder of earlier ones
+    again = [("r", 20 + i, float(20 + i), 0, "a" if i % 2 else None) for i in range(10)]
+    K.capture_batch(spark.createDataFrame(again, schema), 2, 12, str(out))
+    assert sorted(map(tuple, spark.read.parquet(str(out / "batch_id=2")).collect()), key=str) == first[2]
+    counts = spark.read.parquet(str(folder / "out_counts" / "batch_id=3")).collect()
+    assert {r["label"]: r["taken"] for r in counts} == {"a": 12, None: 12}
+
+
 def test_ingest_reads_new_files_only(spark, folder):
     source, out = folder / "in", folder / "out"
     source.mkdir()
