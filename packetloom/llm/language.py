@@ -15,35 +15,39 @@ from pyspark.sql import functions as F
 from packetloom.llm.common import append, extended, mapped
 
 DICT_BYTES = 64 << 10     # of each language's dictionary
-SAMPLE_ROWS = 200         # about so many training rows are taken of each language
-SAMPLE_CHARS = 8192       # of each sampled row that may enter a dictionary
+DRAWS = 400               # about so many training texts are drawn of each language
+SPAN_CHARS = 192          # of each drawn text, from a hashed place in it
 CHUNK = 16384             # a text is packed in pieces, so that the dictionary stays in reach
 LEVELS = (6, 12)          # the second, finer level decides when the first leaves a margin below UNSURE
 UNSURE = 0.04
 NARROW = 0.02             # margin below which a prediction is marked as rejected
 
 
-def train(docs: DataFrame, text: str, lang: str, seed_col: str) -> dict[str, bytes]:
-    """A dictionary for each value of ``lang``, from a sample of about ``SAMPLE_ROWS`` rows each.
+def train(docs: DataFrame, text: str, lang: str) -> dict[str, bytes]:
+    """A dictionary for each value of ``lang``, of spans of ``SPAN_CHARS`` from all over its texts.
 
-    Rows are chosen by the hash of ``seed_col``, as many as the language's count asks for.
+    A language with n rows draws about ``DRAWS`` of them by the hash of the text, so ids play no part
+    and copies of a text count once.  Each drawn text gives one span that begins at a hashed place
+    anywhere in it (a shorter text all of it); equal spans enter once.  The spans with the smallest
+    hashes fill the dictionary.
     """
     known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
     counts = known.groupBy(lang).count().collect()     # one row per language
     if not counts:
         return {}
-    rate = F.coalesce(*[F.when(F.col(lang) == F.lit(r[0]), F.lit(min(1.0, 2 * SAMPLE_ROWS / r[1]))) for r in counts])
-    drawn = F.pmod(F.xxhash64(F.col(seed_col), F.lit(7)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    rows = (known.where(drawn <= rate).select(F.col(lang).alias("lang"), F.substring(F.col(text), 1, SAMPLE_CHARS).alias("text"), drawn.alias("at"))
-            .orderBy("at", "text").collect())
+    rate = F.coalesce(*[F.when(F.col(lang) == F.lit(r[0]), F.lit(min(1.0, DRAWS / r[1]))) for r in counts])
+    drawn = F.pmod(F.xxhash64(F.col(text), F.lit(7)), F.lit(1 << 30))
+    places = F.greatest(F.char_length(F.col(text)) - SPAN_CHARS, F.lit(0)) + 1
+    start = F.pmod(F.xxhash64(F.col(text), F.lit(11)), places) + 1
+    span = F.substring(F.col(text), start.cast("int"), F.lit(SPAN_CHARS))
+    rows = (known.where(drawn / F.lit(float(1 << 30)) <= rate).groupBy(F.col(lang).alias("lang"), span.alias("text")).agg(F.min(drawn).alias("at"))
+            .orderBy("at", "text").collect())          # some DRAWS short spans of each language
     pieces: dict[str, list[bytes]] = {}
     for r in rows:
         pieces.setdefault(str(r["lang"]), []).append(r["text"].lower().encode())
     out = {}
     for name, have in sorted(pieces.items()):
-        have = have[: 2 * SAMPLE_ROWS]
-        each = max(256, DICT_BYTES // len(have))
-        content = b"\n".join(x[:each] for x in have)[-DICT_BYTES:]
+        content = b"\n".join(have)[:DICT_BYTES]
         out[name] = content if len(content) >= 8 else content.ljust(8, b" ")
     return out
 
@@ -90,14 +94,14 @@ def _task_packer(contents: dict[str, bytes]) -> Packer:
     return _packer[1]
 
 
-def predict_language(docs: DataFrame, training: DataFrame, text: str = "text", lang: str = "lang", seed_col: str = "doc_id") -> DataFrame:
+def predict_language(docs: DataFrame, training: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """``docs`` with ``lang_pred``, ``score`` (margin, 0 to 1) and ``lang_rejected`` added or replaced.
 
-    ``und`` with score 0 for null texts, texts without a letter, and when nothing was learned; such
+    Repeated rows get equal results.  ``und`` with score 0 for null texts, texts without a letter, and when nothing was learned; such
     rows are rejected.  Ties go to the first name.  Whole texts are packed, in pieces.  The
     dictionaries are bounded by ``DICT_BYTES`` for each language label and are broadcast.
     """
-    contents = docs.sparkSession.sparkContext.broadcast(train(training, text, lang, seed_col))
+    contents = docs.sparkSession.sparkContext.broadcast(train(training, text, lang))
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         packer = _task_packer(contents.value)
@@ -110,7 +114,7 @@ def predict_language(docs: DataFrame, training: DataFrame, text: str = "text", l
 def op3_language_id(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3))
-    training = docs.where(fold != 1).select("doc_id", "text", "lang")
+    training = docs.where(fold != 1).select("text", "lang")
     done = predict_language(docs.select("doc_id", "text"), training)
     return done.select("doc_id", (fold == 1).alias("held_out"), "lang_pred", "score", "lang_rejected")
 

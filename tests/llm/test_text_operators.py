@@ -6,6 +6,7 @@ import re
 import zlib
 
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from packetloom.llm import chat, decontaminate, language, lines, toxicity
@@ -123,6 +124,43 @@ def speech(lang, n, seed):
     return " ".join("".join(rnd.choice(bits) for _ in range(rnd.randint(1, 3))) for _ in range(n))
 
 
+def test_language_equals_a_plain_loop(spark):
+    words = {"a": ["lorem", "dolor", "amet", "sit"], "b": ["welt", "haus", "und", "baum"], "c": ["casa", "perro", "gato", "sol"]}
+    rows = []
+    for i in range(240):
+        name = "abc"[i % 3]
+        own = " ".join(words[name][(i * 7 + k * k) % 4] + str((i * k) % 17) for k in range(8 + i % 90))
+        rows.append((None if i % 10 == 0 else i // 2, "one shared header line " * 12 + own if i % 2 else own, name))
+    rows += rows[:20] + [(7, None, "a"), (8, "", "a"), (9, "123", None), (None, "Ärger " * 9000, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    contents = language.train(df, "text", "lang")
+    assert sorted(contents) == ["a", "b", "c"] and all(len(c) <= language.DICT_BYTES for c in contents.values())
+    assert sum(c.count(b"haus") for c in contents.values()) > contents["b"].count(b"one shared header line")
+
+    def plain(text):
+        if not text or not any(ch.isalpha() for ch in text):
+            return "und", 0.0
+        data = text.lower().encode()
+        for level in language.LEVELS:
+            sizes = []
+            for name, content in sorted(contents.items()):
+                packer = zstandard.ZstdCompressor(level=level, write_content_size=False, write_dict_id=False,
+                                                  dict_data=zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT))
+                sizes.append((sum(len(packer.compress(data[k:k + language.CHUNK])) for k in range(0, len(data), language.CHUNK)), name))
+            (least, name), (second, _) = sorted(sizes)[:2]
+            margin = 1 - least / second
+            if margin >= language.UNSURE:
+                break
+        return name, margin
+
+    got = language.predict_language(df, df).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        name, margin = plain(r.text)
+        assert (r.lang_pred, r.score) == (name, pytest.approx(margin)), r.text
+        assert r.lang_rejected == (name == "und" or margin < language.NARROW)
+
+
 def test_language_of_held_out_texts(spark):
     training = [(i, speech(("en", "de")[i % 2], 60, i), ("en", "de")[i % 2]) for i in range(60)] + [(900, None, "en"), (901, "text", None)]
     texts = [(1000 + i, speech(("en", "de")[i % 2], 40, 500 + i)) for i in range(40)] + [(2000, None), (2001, ""), (2002, "12 ?!"), (2003, speech("de", 30000, 9))]
