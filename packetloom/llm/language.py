@@ -16,7 +16,6 @@ from packetloom.llm.common import append, extended, mapped
 
 DICT_BYTES = 64 << 10     # of each language's dictionary
 DRAWS = 400               # about so many training texts are drawn of each language
-SPAN_CHARS = 192          # of each drawn text, from a hashed place in it
 CHUNK = 16384             # a text is packed in pieces, so that the dictionary stays in reach
 LEVELS = (6, 12)          # the second, finer level decides when the first leaves a margin below UNSURE
 UNSURE = 0.04
@@ -24,11 +23,12 @@ NARROW = 0.02             # margin below which a prediction is marked as rejecte
 
 
 def train(docs: DataFrame, text: str, lang: str) -> dict[str, bytes]:
-    """A dictionary for each value of ``lang``, of spans of ``SPAN_CHARS`` from all over its texts.
+    """A dictionary for each value of ``lang``, of spans from all over its texts.
 
     A language with n rows draws about ``DRAWS`` of them by the hash of the text, so ids play no part
     and copies of a text count once.  Each drawn text gives one span that begins at a hashed place
-    anywhere in it (a shorter text all of it); equal spans enter once.  The spans with the smallest
+    anywhere in it (a shorter text all of it), as many characters as the dictionary has bytes for
+    each of the rows to be drawn; equal spans enter once.  The spans with the smallest
     hashes fill the dictionary.
     """
     known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
@@ -37,11 +37,12 @@ def train(docs: DataFrame, text: str, lang: str) -> dict[str, bytes]:
         return {}
     rate = F.coalesce(*[F.when(F.col(lang) == F.lit(r[0]), F.lit(min(1.0, DRAWS / r[1]))) for r in counts])
     drawn = F.pmod(F.xxhash64(F.col(text), F.lit(7)), F.lit(1 << 30))
-    places = F.greatest(F.char_length(F.col(text)) - SPAN_CHARS, F.lit(0)) + 1
+    width = F.coalesce(*[F.when(F.col(lang) == F.lit(r[0]), F.lit(DICT_BYTES // min(DRAWS, r[1]))) for r in counts])
+    places = F.greatest(F.char_length(F.col(text)) - width, F.lit(0)) + 1
     start = F.pmod(F.xxhash64(F.col(text), F.lit(11)), places) + 1
-    span = F.substring(F.col(text), start.cast("int"), F.lit(SPAN_CHARS))
+    span = F.substring(F.col(text), start.cast("int"), width.cast("int"))
     rows = (known.where(drawn / F.lit(float(1 << 30)) <= rate).groupBy(F.col(lang).alias("lang"), span.alias("text")).agg(F.min(drawn).alias("at"))
-            .orderBy("at", "text").collect())          # some DRAWS short spans of each language
+            .orderBy("at", "text").collect())          # about DICT_BYTES characters of each language
     pieces: dict[str, list[bytes]] = {}
     for r in rows:
         pieces.setdefault(str(r["lang"]), []).append(r["text"].lower().encode())
