@@ -20,10 +20,10 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from packetloom.llm.common import append, as_signed, extended, fits, join_small, mapped, mix
+from packetloom.llm.common import append, as_signed, extended, join_small, mapped, mix
 from packetloom.llm.decontaminate import word_hashes
 from packetloom.session import cut_lineage
 
@@ -31,7 +31,7 @@ DISCOUNT = 0.75
 SIGMAS = 4.0
 PRIOR_WORDS = 20      # added to the length that normalises a score
 FIT_ROWS = 20_000     # labelled rows that the last two parameters are fitted on
-SALTS = 32            # tasks that share what follows one word, when the totals are too many to broadcast
+SALTS = 16            # keys that share what follows one word
 BLOCK_WORDS = 2_000_000   # words and bigrams of the model that one pass over the texts carries
 
 
@@ -73,16 +73,14 @@ def count_bigrams(labelled: DataFrame) -> DataFrame:
     of a word that came with it in ``d0`` and ``d1`` documents (``before`` null, ratio 0).  Grows with
     the input and is never collected."""
     found = mapped(labelled.select("text", F.col("toxic").cast("int").alias("toxic")), _bigrams, "word bigint, before int, d0 int, d1 int")
-    pairs = cut_lineage(found.groupBy("before", "word").agg(F.sum("d0").alias("d0"), F.sum("d1").alias("d1")), "bigrams")
-    # a third of all bigrams may follow one word: its totals are partial sums, and they come back salted
-    after = cut_lineage(pairs.groupBy("before").agg(
-        *[F.sum(f"d{c}").alias(f"t{c}") for c in (0, 1)],
-        *[F.sum((F.col(f"d{c}") > 0).cast("int")).alias(f"k{c}") for c in (0, 1)]), "left_words")
-    if fits(after, 40):
-        known = pairs.join(F.broadcast(after), "before")
-    else:   # the hint, as the copies are larger than their table's size on disk lets Spark think
-        copies = after.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).hint("merge")
-        known = pairs.withColumn("salt", F.pmod("word", F.lit(SALTS)).cast("int")).join(copies, ["before", "salt"])
+    # a third of all bigrams may follow one word: it is dealt over SALTS keys.  One exchange by key
+    # serves the counts and the totals; a word's totals are added from at most SALTS partial sums
+    dealt = found.withColumn("salt", F.pmod("word", F.lit(SALTS)).cast("int")).repartition("before", "salt")
+    pairs = dealt.groupBy("before", "salt", "word").agg(F.sum("d0").alias("d0"), F.sum("d1").alias("d1"))
+    parts = pairs.groupBy("before", "salt").agg(
+        *[F.sum(f"d{c}").alias(f"t{c}") for c in (0, 1)], *[F.sum((F.col(f"d{c}") > 0).cast("int")).alias(f"k{c}") for c in (0, 1)])
+    after = parts.select("before", "salt", *[F.sum(t).over(Window.partitionBy("before")).alias(t) for t in ("t0", "t1", "k0", "k1")])
+    known = pairs.join(after, ["before", "salt"])
     both, seen = F.col("d0") + F.col("d1"), F.col("t0") + F.col("t1")
     backoff = DISCOUNT * F.least(F.col("k0") / F.col("t0"), F.col("k1") / F.col("t1"))
     like = [F.greatest(F.col(f"d{c}") - DISCOUNT, F.lit(0.0)) / F.col(f"t{c}") * (1 - backoff) + both / seen * backoff for c in (0, 1)]
