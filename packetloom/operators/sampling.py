@@ -41,6 +41,18 @@ def missing_labels(captured: DataFrame, intervals: DataFrame) -> DataFrame:
         captured.select("label").distinct(), "label", "left_anti")
 
 
+def completeness(found: DataFrame, declared: DataFrame, key: str, message: str) -> DataFrame:
+    """Every declared value of ``key`` with its number of rows in ``found``, and ``error`` where it has none.
+
+    For labels that must get a packet, and for locations and gestures that must be among the picks.
+    Null counts as a value; values of ``found`` that nothing declares are left out.
+    """
+    counts = found.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
+    rows = declared.select(key).distinct().join(counts, F.col(key).eqNullSafe(F.col("_key")), "left")
+    return rows.select(key, F.coalesce("_n", F.lit(0)).cast("long").alias("rows"), F.when(
+        F.col("_n").isNull(), F.concat_ws(": ", F.lit(message), F.col(key).cast("string"))).alias("error"))
+
+
 def coverage_plan(plan: DataFrame, metadata_name: str = "metadata/label_mapping.json") -> DataFrame:
     """Per task its mapping file and then its files, each once in first-seen order.
 
@@ -153,7 +165,7 @@ def order_by_vocabulary(df: DataFrame, label: str, order: DataFrame, out: str =
 
 
 __all__ = [
-    "capture_intervals", "class_coverage", "clip_per_action", "cover_steps", "coverage_plan",
+    "capture_intervals", "class_coverage", "clip_per_action", "completeness", "cover_steps", "coverage_plan",
     "greedy_cover", "head_per_group", "missing_labels", "order_by_vocabulary", "pick_per_class",
     "stratified_pick",
 ]

@@ -157,6 +157,16 @@ def capture_intervals(spark, sf):
     return out.select(ID, "source_order", "label")
 
 
+def capture_completeness(spark, sf):
+    """The labels of the capture, and those of the most urgent orders once more at a time without packets."""
+    intervals = _time_intervals(spark, sf)
+    late = intervals.where("label = '1-URGENT'").withColumn("label", F.lit("late")).withColumn(
+        "start_seconds", F.col("start_seconds") + 1e6).withColumn("end_seconds", F.col("end_seconds") + 1e6)
+    declared = intervals.unionByName(late)
+    captured = SA.capture_intervals(event_packets(spark, sf), declared, 40, row_id="source_order", width=24.0)
+    return SA.completeness(captured, declared, "label", "no packet for label")
+
+
 def rescale_annotations(spark, sf):
     docs = table(spark, sf, "documents")
     annotations = docs.select(
@@ -328,6 +338,7 @@ QUERIES = {
     "label_runs": label_runs, "turn_runs": turn_runs, "longest_run": longest_run,
     "checked_intervals": checked_intervals, "paint_labels": paint_labels,
     "tag_intervals": tag_intervals, "capture_intervals": capture_intervals,
+    "capture_completeness": capture_completeness,
     "rescale_annotations": rescale_annotations, "segment_to_index": segment_to_index,
     "slice_segments": slice_segments, "clip_or_segments": clip_or_segments,
     "label_catalog": label_catalog, "choose_representative": choose_representative,
@@ -345,6 +356,10 @@ SQL = {
     "tag_intervals": f"WITH {TIME_SQL} SELECT recording_id, source_order, label FROM tag",
     "capture_intervals": f"""WITH {TIME_SQL} SELECT recording_id, source_order, label FROM tag
         QUALIFY row_number() OVER (PARTITION BY label ORDER BY timestamp_s, recording_id, source_order) <= 40""",
+    "capture_completeness": f"""WITH {TIME_SQL} SELECT label, least(count(*), 40) AS rows, CAST(NULL AS VARCHAR) AS error FROM tag GROUP BY 1
+        UNION ALL SELECT DISTINCT o_orderpriority, 0, 'no packet for label: ' || o_orderpriority FROM orders
+        WHERE o_orderpriority NOT IN (SELECT label FROM tag)
+        UNION ALL SELECT DISTINCT 'late', 0, 'no packet for label: late' FROM orders WHERE o_orderpriority = '1-URGENT'""",
     "rescale_annotations": RESCALE_SQL,
     "segment_to_index": f"""WITH {EVENTS_SQL}, {SEGMENT_INDEX}
         SELECT recording_id, segment_id, start_index, end_index FROM si""",

@@ -169,6 +169,12 @@ def stratified_pick(spark, sf):
     return SA.stratified_pick(em, "location", F.col("location") % 6, "gesture")
 
 
+def stratified_completeness(spark, sf):
+    """Which of the seventeen declared locations the picks of sixteen reach."""
+    declared = table(spark, sf, "embeddings").select((F.col("vec_id") % 17).alias("location"))
+    return SA.completeness(stratified_pick(spark, sf), declared, "location", "no sample of location")
+
+
 def pick_per_class(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "source", "n_chars", F.when(
         F.col("lang") == "de", F.lit("global")).otherwise(F.concat_ws("/", "lang", "source")).alias("class"))
@@ -210,7 +216,8 @@ QUERIES = {
     "group_holdout": group_holdout, "group_holdout_named": group_holdout_named,
     "leaked_groups": leaked_groups, "trial_order_split": trial_order_split, "source_groups": source_groups,
     "build_inventory": build_inventory, "natural_order": natural_order, "coverage_plan": coverage_plan,
-    "clip_per_action": clip_per_action, "stratified_pick": stratified_pick, "pick_per_class": pick_per_class,
+    "clip_per_action": clip_per_action, "stratified_pick": stratified_pick,
+    "stratified_completeness": stratified_completeness, "pick_per_class": pick_per_class,
     "class_coverage": class_coverage, "greedy_cover": greedy_cover,
 }
 SQL = {
@@ -233,6 +240,8 @@ SQL = {
     "clip_per_action": """SELECT DISTINCT p_size AS action_id, '01_' || lpad(CAST(p_size AS VARCHAR), 2, '0') || '_02.npy' AS file FROM part""",
     "stratified_pick": """SELECT vec_id % 16 AS location, vec_id AS index, label AS gesture FROM embeddings
         QUALIFY row_number() OVER (PARTITION BY vec_id % 16 ORDER BY CASE WHEN label = vec_id % 16 % 6 THEN 0 ELSE 1 END, vec_id) = 1""",
+    "stratified_completeness": """SELECT DISTINCT vec_id % 17 AS location, CASE WHEN vec_id % 17 < 16 THEN 1 ELSE 0 END AS rows,
+        CASE WHEN vec_id % 17 = 16 THEN 'no sample of location: 16' END AS error FROM embeddings""",
     "pick_per_class": """WITH d AS (SELECT *, CASE WHEN lang = 'de' THEN 'global' ELSE lang || '/' || source END AS class FROM documents)
         SELECT class, doc_id, n_chars FROM d QUALIFY row_number() OVER (PARTITION BY class ORDER BY n_chars, doc_id) = 1""",
     "class_coverage": """SELECT a.lang || '/' || b.source AS class FROM (SELECT DISTINCT lang FROM documents) a,

@@ -154,3 +154,5 @@ def test_capture_has_a_cap(spark):
     assert {r["label"]: r["count"] for r in out.groupBy("label").count().collect()} == {"a": 15, "b": 15}
     assert out.where("label = 'b'").agg(F.min("packet_index")).first()[0] == 31
     assert [r["label"] for r in SA.missing_labels(out, iv).collect()] == ["c"]
+    told = SA.completeness(out, iv, "label", "no packet for label").collect()
+    assert {tuple(r) for r in told} == {("a", 15, None), ("b", 15, None), ("c", 0, "no packet for label: c")}
