@@ -15,19 +15,16 @@ from packetloom.operators import splits as SP
 from packetloom.operators import timeline as TL
 from packetloom.operators import windows as W
 from packetloom.operators.layout import canonicalize_links
-from packetloom.operators.ordered import join_facts
 from packetloom.operators.quality import quality_report
 from packetloom.operators.signal import power_db_rel
 from packetloom.plans.profiles import ViewOptions, resolve_profile, task_view
 from packetloom.plans.registry import DATASET_PROFILES, SOURCE_PATTERNS, split_setting
+from packetloom.plans.views import SIGNALS, build_view, describe_clips
 from packetloom.session import cut_lineage
 from packetloom.sources.discovery import discover_sources, list_files, read_external_split
 from packetloom.sources.tables import write_table
 from packetloom.sources.text import read_wide_csv
 
-CLIP = ["recording_id", "sample_index"]
-SIGNALS = ("amplitude", "csi_real", "csi_imag", "phase_rad", "power_db_rel",
-           "official_normalized_amplitude", "official_normalized_bvp", "bvp")
 
 
 # --- standardize ---------------------------------------------------------------------------
@@ -83,70 +80,12 @@ def standardize(spark: SparkSession, path: str | list[str], dataset_id: str, rat
 
 # --- views ---------------------------------------------------------------------------------
 
-def _described(packets: DataFrame, recordings: DataFrame) -> DataFrame:
-    """Clip lengths and the source rate of every recording."""
-    lengths = packets.groupBy(*CLIP).agg(F.count(F.lit(1)).alias("source_length"))
-    rated = recordings.select("recording_id", F.when(
-        F.col("sample_rate_hz") > 0, F.col("sample_rate_hz")).alias("source_rate_hz"))
-    return lengths.join(rated, "recording_id", "left")
-
-
 def create_view(packets: DataFrame, recordings: DataFrame, options: ViewOptions,
-                channels: tuple | None = None, window_length: DataFrame | None = None
-                ) -> tuple[DataFrame, DataFrame]:
-    """Window rows of a view and its metadata.
-
-    The whole recording is resampled first and then cut; nothing is dropped and only the last
-    window of a clip is padded.  ``channels`` is the common ``(S, Tx, Rx)`` when channel counts
-    are asked for; ``window_length`` overrides the options per recording (see ``prepare``).
-    """
-    if not options.requested:
-        raise ValueError("no view options were requested")
-    if "sample_index" not in packets.columns:
-        packets = packets.withColumn("sample_index", F.lit(0))
-    signals = [s for s in SIGNALS if s in packets.columns]
-    others = [c for c in ("source_label", "valid") if c in packets.columns]
-    info = W.target_lengths(_described(packets, recordings), options.target_rate_hz,
-                            options.duration_s, options.target_length)
-    rows = packets.select(*CLIP, "packet_index", *signals, *others)
-    if options.target_rate_hz is not None:
-        lengths = info.withColumn("target_length", F.col("rate_length"))
-        rows = R.resample_index(rows, lengths, options.interpolation, signals, others, CLIP)
-        rows = R.recompute_phase(rows)
-        rows = cut_lineage(rows, "resampled")
-    if window_length is not None:
-        info = info.drop("window_length").join(window_length, "recording_id")
-    per_clip = info.select(*CLIP, "window_length")
-    rows = join_facts(rows, per_clip, CLIP, F.col("packet_index"), how="inner")
-    windows = W.segment_windows(rows, "window_length", CLIP)
-    wanted = (options.subcarriers, options.tx_links, options.rx_links)
-    if any(v is not None for v in wanted):
-        if channels is None:
-            raise ValueError("changing channel counts needs the common (S, Tx, Rx)")
-        windows, channels = W.fit_channels(windows, channels, signals, *wanted)
-    elif options.links is not None and channels is not None:
-        windows = W.fit_links(windows, channels, signals, options.links)
-    rate = F.lit(options.target_rate_hz).cast("double")
-    index = F.col("packet_index")
-    windows = windows.withColumn("timestamp_s", F.when(
-        index >= 0, index.cast("double") / rate)) if options.target_rate_hz else windows
-    windows = windows.withColumnRenamed("sample_index", "source_sample_index").withColumn(
-        "window_start_index", F.col("window_index") * F.col("window_length"))
-    described = recordings.drop("sample_count").join(
-        info.groupBy("recording_id").agg(
-            F.count(F.lit(1)).alias("sample_count"), F.max("source_length").alias("source_length"),
-            F.max("rate_length").alias("rate_length"), F.max("window_length").alias("window_length"),
-            F.max("source_rate_hz").alias("source_rate_hz")), "recording_id")
-    for name, default in (("tensor_exception", F.lit(False)),
-                          ("transformations", F.array().cast("array<string>"))):
-        if name not in described.columns:
-            described = described.withColumn(name, default)
-    meta = W.view_metadata(described, {
-        "target_rate_hz": options.target_rate_hz, "profile": options.profile,
-        "interpolation": options.interpolation, "layout": options.layout})
-    if "shape" in meta.columns:
-        meta = W.flatten_layout(meta, options.layout)
-    return windows, meta
+                channels: tuple | None = None, window_length: DataFrame | None = None,
+                clips: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Window rows of a view and its metadata; ``views.build_view`` gives the segments too."""
+    view = build_view(packets, recordings, options, channels, window_length, clips)
+    return view.windows, view.recordings
 
 
 # --- prepare -------------------------------------------------------------------------------
@@ -164,19 +103,20 @@ class Prepared:
     split: DataFrame
     manifest: DataFrame
     policy: DataFrame
+    segments: DataFrame
 
 
 def view_policy(packets: DataFrame | None, recordings: DataFrame, dataset_id: str, options: ViewOptions | None,
                 clips: DataFrame | None = None) -> tuple[ViewOptions, DataFrame, DataFrame]:
     """Options in force, window length per recording, and the policy rows.
 
-    ``clips`` (what ``_described`` gives) saves another pass over the packets.
+    ``clips`` (what ``describe_clips`` gives) saves another pass over the packets.
 
     Explicit lengths are used as they are; otherwise every recording gets the shortest resampled
     length, at most the profile's, per task for the multi-task benchmark.
     """
     base = resolve_profile(DATASET_PROFILES.get(dataset_id), options)
-    clips = _described(packets, recordings) if clips is None else clips
+    clips = describe_clips(packets, recordings) if clips is None else clips
     explicit = options is not None and (options.target_length is not None
                                         or options.duration_s is not None)
     if explicit:
@@ -252,8 +192,9 @@ def prepare_packets(packets: DataFrame, recordings: DataFrame, dataset_id: str,
         packets, good = canonicalize_links(packets, good, signals=signals)
     packets = cut_lineage(packets, "packets")
     quality = quality_report(packets, signals)
-    view, length, policy = view_policy(packets, good, dataset_id, options)
-    windows, meta = create_view(packets, good, view, window_length=length)
+    clips = cut_lineage(describe_clips(packets, good), "clips")
+    options, length, policy = view_policy(packets, good, dataset_id, options, clips)
+    view = build_view(packets, good, options, window_length=length, clips=clips)
     counts = packets.groupBy("recording_id").agg(
         (F.max("sample_index") + 1).alias("sample_count"))
     records = C.conversion_records(recordings.select("recording_id", "error"))
@@ -264,8 +205,8 @@ def prepare_packets(packets: DataFrame, recordings: DataFrame, dataset_id: str,
         F.col("recording_id").alias("source_file"), "sample_count")
     split = make_split(SP.build_inventory(records, overrides), dataset_id, setting, seed, ratios,
                        holdout, external, check)
-    return Prepared(packets, good, quality, windows, meta,
-                    quality_report(windows, signals, valid="valid"), split, records, policy)
+    return Prepared(packets, good, quality, view.windows, view.recordings,
+                    quality_report(view.windows, signals, valid="valid"), split, records, policy, view.segments)
 
 
 def prepare(spark: SparkSession, dataset_id: str, root: str, out: str,
@@ -293,7 +234,7 @@ def prepare(spark: SparkSession, dataset_id: str, root: str, out: str,
                            external=external)
     tag = F.lit(dataset_id)
     for name in ("packets", "recordings", "quality", "windows", "view_recordings", "view_quality",
-                 "split", "manifest", "policy"):
+                 "split", "manifest", "policy", "segments"):
         table = getattr(done, name).withColumn("dataset_id", tag)
         write_table(table, f"{out}/{name}", mode="overwrite")
     C.require_success(done.manifest)

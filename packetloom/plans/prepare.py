@@ -26,12 +26,13 @@ from packetloom.plans import jobs
 from packetloom.plans.profiles import ViewOptions
 from packetloom.plans.registry import SOURCE_PATTERNS, split_setting
 from packetloom.plans.releases import ID, RELEASES, Release, decoded, describe
+from packetloom.plans.views import SEGMENTS, SIGNALS, build_view, describe_clips
 from packetloom.session import cut_lineage
 from packetloom.sources.discovery import discover_sources, first_characters, folder_sources, list_files, read_external_split
 from packetloom.sources.tables import write_table
 from packetloom.sources.text import Chosen, full_path, of_chosen
 
-NATIVE, VIEW = ("packets", "recordings", "quality", "clips"), ("windows", "view_recordings", "view_quality")
+NATIVE, VIEW = ("packets", "recordings", "quality", "clips"), ("windows", "view_recordings", "view_quality", "segments")
 STATE = ("source string, length bigint, modified timestamp, native_run string, native_at timestamp, view_run string, "
          "view_at timestamp, view_options string, status string, error string")
 
@@ -86,7 +87,10 @@ def _of_run(spark: SparkSession, out: str, name: str, run_id: str) -> DataFrame:
 def _held(spark: SparkSession, out: str, name: str, state: DataFrame) -> DataFrame:
     """The rows of a table that the state points to, whichever run wrote them."""
     run = "view_run" if name in VIEW else "native_run"
-    rows = spark.read.option("mergeSchema", "true").parquet(f"{out}/{name}")
+    if name == "segments":      # may hold no row at all
+        rows = spark.read.schema(f"{SEGMENTS}, run_id string").parquet(f"{out}/{name}")
+    else:
+        rows = spark.read.option("mergeSchema", "true").parquet(f"{out}/{name}")
     wanted = state.where(F.col(run).isNotNull() & F.col(ERROR).isNull()).select(F.col("source").alias(ID), F.col(run).alias("run_id"))
     spread = F.col("packet_index") if "packet_index" in rows.columns else F.xxhash64(ID)
     return join_facts(rows, wanted, [ID, "run_id"], spread, how="inner").drop("run_id")
@@ -94,7 +98,7 @@ def _held(spark: SparkSession, out: str, name: str, state: DataFrame) -> DataFra
 
 def read_prepared(spark: SparkSession, out: str, name: str) -> DataFrame:
     """A table of the last published run: ``packets``, ``recordings``, ``quality``, ``clips``, ``windows``, ``view_recordings``,
-    ``view_quality``, ``state``, ``split`` or ``policy``."""
+    ``view_quality``, ``segments``, ``state``, ``split`` or ``policy``."""
     run_id = published(spark, out)
     if run_id is None:
         raise FileNotFoundError(f"nothing was published in {out}")
@@ -120,14 +124,14 @@ def _convert(spark: SparkSession, dataset_id: str, release: Release, root: str,
     if good.isEmpty():
         return errors
     packets = join_facts(raw.drop(ERROR), good.select(ID), [ID], F.xxhash64("sample_index", "packet_index"), how="inner")
-    signals = [s for s in jobs.SIGNALS if s in packets.columns]
+    signals = [s for s in SIGNALS if s in packets.columns]
     facts = [c for c in ("links", "tx_links", "rx_links") if c in packets.columns]
     packets, good = canonicalize_links(packets.drop(*facts), good, signals=signals)
     _append(packets, out, "packets", run_id)
     packets = spark.read.parquet(f"{out}/packets").where(F.col("run_id") == run_id)
     _append(good, out, "recordings", run_id)
     _append(quality_report(packets, signals), out, "quality", run_id)
-    _append(jobs._described(packets, good), out, "clips", run_id)
+    _append(describe_clips(packets, good), out, "clips", run_id)
     return errors
 
 
@@ -198,11 +202,13 @@ def _views(spark: SparkSession, dataset_id: str, out: str, state: DataFrame, bef
     if not pending.isEmpty():
         todo = state.join(pending.select("source"), "source", "left_semi")
         packets = _held(spark, out, "packets", todo)
-        signals = [s for s in jobs.SIGNALS if s in packets.columns]
+        signals = [s for s in SIGNALS if s in packets.columns]
         lengths = per.join(pending.select(F.col("source").alias(ID)), ID, "left_semi")
-        windows, meta = jobs.create_view(packets, _held(spark, out, "recordings", todo), base, window_length=lengths)
-        _append(windows, out, "windows", run_id)
-        _append(meta, out, "view_recordings", run_id)
+        view = build_view(packets, _held(spark, out, "recordings", todo), base, window_length=lengths,
+                          clips=_held(spark, out, "clips", todo))
+        _append(view.windows, out, "windows", run_id)
+        _append(view.recordings, out, "view_recordings", run_id)
+        _append(view.segments, out, "segments", run_id)
         windows = spark.read.parquet(f"{out}/windows").where(F.col("run_id") == run_id)
         _append(quality_report(windows, signals, valid="valid"), out, "view_quality", run_id)
     fresh = pending.select("source", F.col("view_options").alias("_options"), F.lit(run_id).alias("_run"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("timeline", "signals", "windows", "layouts", "labels", "links", "checks", "subsets", "paths", "files", "streams", "runs")
+MODULES = ("timeline", "signals", "windows", "views", "layouts", "labels", "links", "checks", "subsets", "paths", "files", "streams", "runs")
 
 
 def load(kind: str) -> dict:

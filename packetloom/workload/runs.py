@@ -92,7 +92,7 @@ def create_view(spark, sf):
     view, _ = E.create_view(packets, recordings, ViewOptions(target_rate_hz=2.0, duration_s=8.0, rx_links=3), (1, 1, 2))
     return view.select(ID, "window_index", "window_start_index", F.col("offset").cast("long").alias("offset"), "packet_index",
                        *[r6(F.get("csi_real", F.lit(i))).alias(f"c{i}") for i in range(3)], "source_label", "valid",
-                       r6("timestamp_s").alias("timestamp_s"))
+                       r6(F.when(F.col("packet_index") >= 0, F.col("timestamp_s"))).alias("timestamp_s"))
 
 
 VIEW_SQL = f"""WITH {LENGTHS_SQL},
