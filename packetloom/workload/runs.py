@@ -232,13 +232,20 @@ def prepare_matrix(spark, sf):
     return _by_label(spark, sf, "glasgow-multiuser", write, setting="random")
 
 
-def _by_id_sql(bad: int, error: str, channels: int, limit: int) -> str:
-    return f"""WITH c AS (SELECT label, count(*) AS n FROM embeddings GROUP BY 1),
-a AS (SELECT CAST(label AS INT) AS label, n FROM c UNION ALL SELECT 99, n FROM c WHERE label = 0),
-w AS (SELECT least(min(n), {limit}) AS w FROM a WHERE label <> {bad}), ok AS (SELECT *, label <> {bad} AS good FROM a)
+# packets per label; the second at the rate of the profile, from the median gap of the timestamps
+PLAIN_LENGTHS = "SELECT label, count(*) AS n, count(*) AS m FROM embeddings GROUP BY 1"
+TIMED_LENGTHS = """SELECT label, count(*) AS n, CAST(round_even(count(*) * 100.0::DOUBLE / (1.0::DOUBLE / median(t - before) FILTER (t > before)), 0) AS BIGINT) AS m
+  FROM (SELECT label, t, lag(t) OVER (PARTITION BY label ORDER BY vec_id) AS before
+        FROM (SELECT label, vec_id, vec_id / 100.0::DOUBLE - min(vec_id / 100.0::DOUBLE) OVER (PARTITION BY label) AS t FROM embeddings)) GROUP BY 1"""
+
+
+def _by_id_sql(bad: int, error: str, channels: int, limit: int, lengths: str = PLAIN_LENGTHS) -> str:
+    return f"""WITH c AS ({lengths}),
+a AS (SELECT CAST(label AS INT) AS label, n, m FROM c UNION ALL SELECT 99, n, m FROM c WHERE label = 0),
+w AS (SELECT least(min(m), {limit}) AS w FROM a WHERE label <> {bad}), ok AS (SELECT *, label <> {bad} AS good FROM a)
 SELECT label, CASE WHEN label = 99 THEN NULL WHEN good THEN 'converted' ELSE 'failed' END AS first,
        CASE WHEN label = 99 THEN 'converted' WHEN good THEN 'skipped' ELSE 'failed' END AS second, CASE WHEN NOT good THEN substring('{error}', 1, 20) END AS error,
-       CASE WHEN good THEN n END AS packets, CASE WHEN good THEN {channels} END AS channels, CASE WHEN good THEN n END AS resampled,
+       CASE WHEN good THEN n END AS packets, CASE WHEN good THEN {channels} END AS channels, CASE WHEN good THEN m END AS resampled,
        CASE WHEN good THEN CAST(w AS BIGINT) END AS window_length FROM ok, w"""
 
 
@@ -250,7 +257,7 @@ QUERIES = {
 }
 SQL = {
     "prepare_literal_cells": _by_id_sql(3, "not a list of numbers", 26, 300),
-    "prepare_packet_lines": _by_id_sql(4, "inconsistent packet shape", 32, 300),
+    "prepare_packet_lines": _by_id_sql(4, "inconsistent packet shape", 32, 300, TIMED_LENGTHS),
     "prepare_matrix": _by_id_sql(5, "not a rectangular numeric CSV", 52, 300),
     "split_registry": """WITH s(group_by, settings) AS (VALUES ('subject', 14), ('environment', 15), ('device', 6)),
         h AS (SELECT CASE lang WHEN 'en' THEN 'subject' WHEN 'fr' THEN 'environment' ELSE 'device' END AS group_by,
