@@ -23,7 +23,9 @@ from packetloom.plans.views import SIGNALS, build_view, describe_clips
 from packetloom.session import cut_lineage
 from packetloom.sources.discovery import discover_sources, list_files, read_external_split
 from packetloom.sources.tables import write_table
-from packetloom.sources.text import read_wide_csv
+from packetloom.sources.text import full_path, read_wide_csv, without_rows
+
+TOOL = "packetloom"
 
 
 
@@ -41,41 +43,94 @@ def standardize_packets(packets: DataFrame, rate_hz: float = 100.0, duration_s:
     return power_db_rel(grid)
 
 
-def standardized_recordings(packets: DataFrame, standardized: DataFrame, dataset_id: str,
-                            rate_hz: float) -> DataFrame:
-    """The sidecar rows of standardized recordings."""
+STANDARD_AXES = ("time", "link", "subcarrier")
+
+
+@dataclass
+class Standardized:
+    """What ``standardize_files`` makes: packets, one sidecar a recording, and the files that failed."""
+
+    packets: DataFrame
+    recordings: DataFrame
+    failed: DataFrame
+
+
+def standardized_recordings(packets: DataFrame, standardized: DataFrame, dataset_id: str, rate_hz: float,
+                            checksums: DataFrame | None = None) -> DataFrame:
+    """The sidecar rows of standardized recordings, with what a view needs: axes, link counts and rate.
+
+    ``checksums`` has ``recording_id, source_sha256``; files without one keep NULL.
+    """
     source = packets.groupBy("recording_id").agg(
-        F.first("source_representation").alias("source_representation"))
+        F.first("source_representation").alias("source_representation"),
+        F.max("links").alias("links"), F.max("subcarriers").alias("subcarriers"))
     facts = standardized.groupBy("recording_id").agg(
-        F.count(F.lit(1)).alias("length"), F.max(F.size("amplitude")).alias("channels"),
-        F.avg(F.col("valid").cast("int")).alias("valid_fraction"))
-    return facts.join(source, "recording_id").select(
+        F.count(F.lit(1)).alias("length"), F.avg(F.col("valid").cast("int")).alias("valid_fraction"))
+    rows = facts.join(source, "recording_id")
+    if checksums is not None:
+        rows = rows.join(checksums, "recording_id", "left")
+    else:
+        rows = rows.withColumn("source_sha256", F.lit(None).cast("string"))
+    return rows.select(
         "recording_id", F.lit("1.0").alias("schema_version"), F.lit(dataset_id).alias("dataset_id"),
-        T.file_name("recording_id").alias("source_file"), "source_representation",
+        T.file_name("recording_id").alias("source_file"), "source_sha256", "source_representation",
         F.when(F.col("source_representation") == "complex_csi", F.lit("complex_csi")).otherwise(
             F.lit("amplitude_as_real_component")).alias("standard_representation"),
-        F.array(F.col("length").cast("int"), F.col("channels")).alias("shape"),
+        F.array(*[F.col(c).cast("int") for c in ("length", "links", "subcarriers")]).alias("shape"),
+        F.array(*map(F.lit, STANDARD_AXES)).alias("axis_order"), "links", "subcarriers",
         F.lit(float(rate_hz)).alias("sample_rate_hz"),
-        (F.col("length") / F.lit(float(rate_hz))).alias("duration_s"),
+        (F.col("length") / F.lit(float(rate_hz))).alias("duration_s"), F.lit("s").alias("time_unit"),
         F.lit("dB_relative_to_median_valid_sample_power").alias("power_unit"), "valid_fraction",
-        F.array(*map(F.lit, ("sort timestamps", "drop duplicate timestamps",
-                             "linear interpolation of real/imag", "fixed interval crop/pad",
-                             "relative-power conversion"))).alias("transformations"),
-        F.current_timestamp().alias("created_at"))
+        F.array(*map(F.lit, ("packets ordered by time", "one packet kept per timestamp",
+                             "real and imaginary parts interpolated linearly", "cropped or padded to one interval",
+                             "power relative to the median in dB"))).alias("transformations"),
+        F.current_timestamp().alias("created_at"), F.lit(TOOL).alias("tool"))
+
+
+def source_checksums(spark: SparkSession, path: str | list[str], recordings: DataFrame) -> DataFrame:
+    """``recording_id, source_sha256`` of files; NULL for a file that one value cannot hold."""
+    files = list_files(spark, path, content=True).select(
+        full_path(F.col("path")).alias("_path"), F.sha2("content", 256).alias("source_sha256"))
+    # readers name their files percent-encoded
+    named = full_path(F.url_decode(F.replace(F.col("recording_id"), F.lit("+"), F.lit("%2B"))))
+    return recordings.select("recording_id").distinct().withColumn("_path", named).join(files, "_path", "left").drop("_path")
+
+
+def standardize_files(spark: SparkSession, path: str | list[str], dataset_id: str, rate_hz: float = 100.0,
+                      duration_s: float | None = None) -> Standardized:
+    """Wide CSV files to standardized packets and sidecars; a file that cannot be used fails alone.
+
+    It fails by its header, by a cell that is not a number, without data lines, or with fewer than two
+    timestamps.  The parsed packets are written once.
+    """
+    raw = cut_lineage(read_wide_csv(spark, path, strict=False), "raw_packets")
+    bad = raw.where("packet_error is not null").groupBy("recording_id").agg(F.min("packet_error").alias("error"))
+    short = TL.short_recordings(raw.where("packet_error is null")).select("recording_id", "error")
+    empty = without_rows(spark, path, raw).select("recording_id", "error")
+    failed = bad.unionByName(short).unionByName(empty).groupBy("recording_id").agg(F.min("error").alias("error"))
+    failed = cut_lineage(failed, "failed")
+    good = raw.join(failed.select("recording_id"), "recording_id", "left_anti").drop("packet_error")
+    done = standardize_packets(good, rate_hz, duration_s)
+    sums = source_checksums(spark, path, good)
+    return Standardized(done, standardized_recordings(good, done, dataset_id, rate_hz, sums), failed)
 
 
 def standardize(spark: SparkSession, path: str | list[str], dataset_id: str, rate_hz: float = 100.0,
                 duration_s: float | None = None, out: str | None = None
                 ) -> tuple[DataFrame, DataFrame]:
-    """Wide CSV files to standardized packets and their sidecars, written below ``out`` if given."""
-    packets = read_wide_csv(spark, path)
-    done = standardize_packets(packets, rate_hz, duration_s)
-    sidecars = standardized_recordings(packets, done, dataset_id, rate_hz)
+    """Wide CSV files to standardized packets and their sidecars, written below ``out`` if given.
+
+    A file that failed raises at the end, when the others are written (``failed`` has their errors).
+    """
+    made = standardize_files(spark, path, dataset_id, rate_hz, duration_s)
     if out:
-        done = done.withColumn("dataset_id", F.lit(dataset_id))
-        write_table(done, f"{out}/packets", sort_by=["recording_id", "packet_index"])
-        write_table(sidecars, f"{out}/recordings")
-    return done, sidecars
+        write_table(made.packets.withColumn("dataset_id", F.lit(dataset_id)), f"{out}/packets", sort_by=["recording_id", "packet_index"])
+        write_table(made.recordings, f"{out}/recordings")
+        write_table(made.failed, f"{out}/failed")
+    first = made.failed.orderBy("recording_id").first()
+    if first:
+        raise ValueError(f"{first['recording_id']}: {first['error']}")
+    return made.packets, made.recordings
 
 
 # --- views ---------------------------------------------------------------------------------

@@ -80,7 +80,7 @@ def test_demo_wide_csv(spark, folder):
     assert done.count() == round(50.0 * 3.9)
     card = sidecars.first()
     assert card["standard_representation"] == "complex_csi"
-    assert card["shape"] == [195, 4] and card["duration_s"] == pytest.approx(3.9)
+    assert card["shape"] == [195, 1, 4] and card["duration_s"] == pytest.approx(3.9)
 
 
 def test_percentiles_are_exact_beyond_the_sketch(spark):

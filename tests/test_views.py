@@ -1,9 +1,12 @@
+import hashlib
 import math
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from packetloom.operators.catalog import SIDECAR_CONSTRAINTS, check_constraints
+from packetloom.plans.jobs import standardize, standardize_files
 from packetloom.plans.profiles import ViewOptions
 from packetloom.plans.views import build_view
 
@@ -108,3 +111,24 @@ def test_phase_is_taken_again(spark):
     got = [r["phase_rad"][0] for r in view.windows.orderBy("packet_index").collect()]
     assert np.allclose(got, np.arctan2([0, 1, 2], 1), atol=1e-6)
     assert any("phase" in t for t in view.recordings.select(F.explode("transformations")).toPandas()["col"])
+
+
+def test_sidecars_pass_their_constraints_and_enter_a_view(spark, folder):
+    head = "timestamp_s," + ",".join(f"amplitude_l{i}_s{s}" for i in range(2) for s in range(3))
+    files = {"good one.csv": "\n".join([head, *[f"{i / 10},{','.join([str(i)] * 6)}" for i in range(21)]]),
+             "cell.csv": f"{head}\n0.0,1,2,3,4,5,6\n0.1,1,2,x,4,5,6\n", "head.csv": "t,a\n0,1\n", "none.csv": "",
+             "short.csv": f"{head}\n0.0,1,2,3,4,5,6\n"}
+    for name, text in files.items():
+        (folder / name).write_text(text)
+    made = standardize_files(spark, str(folder), "demo", 10.0)
+    assert check_constraints(made.recordings, "recording_id", SIDECAR_CONSTRAINTS).count() == 0
+    cards = made.recordings.collect()
+    assert len(cards) == 1 and cards[0]["shape"][1:] == [2, 3]
+    assert cards[0]["source_sha256"] == hashlib.sha256(files["good one.csv"].encode()).hexdigest()
+    errors = {r["recording_id"].rsplit("/", 1)[-1]: r["error"] for r in made.failed.collect()}
+    assert set(errors) == {"cell.csv", "head.csv", "none.csv", "short.csv"} and "not a number" in errors["cell.csv"]
+    view = build_view(made.packets, made.recordings, ViewOptions(target_rate_hz=5.0, target_length=4, links=1))
+    assert view.recordings.first()["shape"] == [3, 4, 1, 3] and view.windows.where("packet_index >= 0").count() == 10
+    with pytest.raises(ValueError, match="csv"):
+        standardize(spark, str(folder), "demo", 10.0, out=str(folder / "out"))
+    assert spark.read.parquet(str(folder / "out" / "recordings")).count() == 1
