@@ -28,7 +28,6 @@ from packetloom.sources.text import full_path, read_wide_csv, without_rows
 TOOL = "packetloom"
 
 
-
 # --- standardize ---------------------------------------------------------------------------
 
 def standardize_packets(packets: DataFrame, rate_hz: float = 100.0, duration_s: float | None = None,

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from packetloom.operators.catalog import SIDECAR_CONSTRAINTS, check_constraints
+from packetloom.plans import jobs as E
 from packetloom.plans.profiles import ViewOptions
 from packetloom.plans.views import build_view
-from packetloom.session import cut_lineage
-from packetloom.workload.tables import INDEXED_SQL, indexed_events, q6, r6
+from packetloom.session import cut_lineage, scratch_path
+from packetloom.workload.tables import INDEXED_SQL, indexed_events, q6, r6, table
 
 ID = "recording_id"
 
@@ -104,5 +106,34 @@ UNION ALL
 SELECT recording_id, CASE WHEN kinds = 1 THEN label END, NULL, NULL, NULL, NULL FROM facts WHERE NOT (n <= 66 AND kinds > 1)"""
 
 
-QUERIES = {"view_packets": view_packets, "view_recordings": view_recordings, "view_segments": view_segments}
-SQL = {"view_packets": PACKETS_SQL, "view_recordings": RECORDINGS_SQL, "view_segments": SEGMENTS_SQL}
+def standardize_files(spark, sf):
+    """Vectors as one wide CSV a label: sidecars with what breaks their constraints, and the label with a bad cell."""
+    root = scratch_path(spark, "wide")
+    cells = [F.when((F.col("label") == 3) & (F.col("vec_id") % 2 == 1) & (F.lit(i) == 5), "x").otherwise(F.get("embedding", F.lit(i)).cast("string"))
+             .alias(f"amplitude_l{i // 4}_s{i % 4}") for i in range(8)]
+    em = table(spark, sf, "embeddings").select(F.col("label").alias("set"), F.col("vec_id").cast("double").alias("timestamp_s"), *cells)
+    em.repartition("set").write.partitionBy("set").csv(root, header=True)
+    made = E.standardize_files(spark, root, "vectors", 2.0)
+    cards = cut_lineage(made.recordings, "sidecars")
+    broken = check_constraints(cards, ID, SIDECAR_CONSTRAINTS).groupBy(F.col("id").alias(ID)).agg(F.count(F.lit(1)).alias("breaches"))
+    rows = cards.join(broken, ID, "left").select(
+        ID, F.concat_ws(",", F.col("shape").cast("array<string>")).alias("shape"), F.concat_ws(",", "axis_order").alias("axis_order"),
+        F.coalesce("breaches", F.lit(0).cast("long")).alias("breaches"), F.char_length("source_sha256").cast("long").alias("digits"),
+        r6("duration_s").alias("duration_s"), "standard_representation")
+    rows = rows.unionByName(made.failed.select(ID, "error"), allowMissingColumns=True)
+    return rows.withColumn("label", F.regexp_extract(ID, "set=([0-9]+)", 1).cast("int")).drop(ID)
+
+
+FILES_SQL = f"""WITH c AS (
+  SELECT CAST(label AS INT) AS label, CAST(greatest(1, round_even((max(vec_id) - min(vec_id) + 0.5::DOUBLE) * 2.0::DOUBLE, 0)) AS BIGINT) AS n,
+         label = 3 AND count(*) FILTER (vec_id % 2 = 1) > 0 AS bad
+  FROM embeddings GROUP BY label)
+SELECT label, CASE WHEN NOT bad THEN n || ',2,4' END AS shape, CASE WHEN NOT bad THEN 'time,link,subcarrier' END AS axis_order,
+       CASE WHEN NOT bad THEN CAST(0 AS BIGINT) END AS breaches, CASE WHEN NOT bad THEN CAST(64 AS BIGINT) END AS digits,
+       CASE WHEN NOT bad THEN {q6('n / 2.0')} END AS duration_s, CASE WHEN NOT bad THEN 'amplitude_as_real_component' END AS standard_representation,
+       CASE WHEN bad THEN 'a cell is not a number' END AS error
+FROM c"""
+
+
+QUERIES = {"view_packets": view_packets, "view_recordings": view_recordings, "view_segments": view_segments, "standardize_files": standardize_files}
+SQL = {"view_packets": PACKETS_SQL, "view_recordings": RECORDINGS_SQL, "view_segments": SEGMENTS_SQL, "standardize_files": FILES_SQL}
