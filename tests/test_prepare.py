@@ -112,6 +112,7 @@ def test_decoded_arrays_by_id(spark, folder):
     got = {r.source: (r.status, r.error) for r in run.state.collect()}
     assert got["odd_train_data_split_amp.mat"] == ("failed", "expected samples of 52 x 192, got 7 values")
     assert got["train_data_split_amp.mat"][0] == "converted" and run.table("packets").count() == 2 * 192
+    assert run.table("segments").count() == 0 and run.table("view_recordings").count() == 2
 
 
 def test_figshare_keeps_the_place_of_empty_rows_and_columns(spark, folder):
