@@ -84,6 +84,22 @@ def first_characters(spark: SparkSession, path: str | list[str], length: int = S
     return heads.select("path", F.substring(F.array_join(F.transform("_all", lambda x: x["_line"]), "\n"), 1, length).alias("head"))
 
 
+def leading_text(content: Column, length: int = SNIFF_LENGTH) -> Column:
+    """The first characters of UTF-8 bytes; bytes that are no UTF-8 are left out, as is a character cut in two.
+
+    A few bytes a character are looked at first, and the whole content only where those hold too many odd ones.
+    """
+    spared, odd = "\uffff", "\ufffd"   # a replacement sign that the text itself holds stays
+
+    def characters(raw: Column) -> Column:
+        text = F.replace(raw.cast("string"), F.lit(odd), F.lit(spared))
+        return F.translate(F.replace(F.make_valid_utf8(text), F.lit(odd), F.lit("")), spared, odd)
+
+    few = characters(F.substring(content, 1, length * 4))
+    enough = (F.char_length(few) >= length) | (F.octet_length(content) <= length * 4)
+    return F.substring(F.when(enough, few).otherwise(characters(content)), 1, length)
+
+
 def discover_sources(files: DataFrame, patterns: Sequence[str], limit: int | None = None,
                      sniff: str | None = None, path: str = "relative_path") -> DataFrame:
     """Distinct matching files in path order; ``limit`` takes the first ones of that order.
@@ -92,8 +108,7 @@ def discover_sources(files: DataFrame, patterns: Sequence[str], limit: int | Non
     """
     found = matching_patterns(files, patterns, path)
     if sniff is not None:
-        head = F.decode(F.substring("content", 1, SNIFF_LENGTH * 4), "UTF-8")
-        found = found.where(F.contains(F.substring(head, 1, SNIFF_LENGTH), F.lit(sniff)))
+        found = found.where(F.contains(leading_text(F.col("content")), F.lit(sniff)))
     found = found.dropDuplicates([path])
     return found.orderBy(path).limit(limit) if limit is not None else found
 

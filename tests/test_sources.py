@@ -84,6 +84,24 @@ def test_discovery_and_overrides(spark, folder):
     assert rows == {"a/b.csv": {"source_file": "a\\b.csv", "subject": "3"}, "s": {"sample_id": "s", "source_file": "q"}}
 
 
+def test_sniffing_drops_bytes_that_are_no_text(spark):
+    size = 4 * DI.SNIFF_LENGTH
+    texts = {
+        "cut.csv": b"data" + b"x" * (size - 5) + "é".encode() + b"y" * 20,          # a character across the first bytes
+        "odd.csv": b"\xff\xfe\x80da" + b"\xc3" + b"ta" + b"\xf0\x9f",
+        "far.csv": b"\xff" * (size + 10) + b"data",                                # odd bytes do not count
+        "late.csv": "é".encode() * DI.SNIFF_LENGTH + b"data",
+        "sign.csv": "\ufffd".encode() * (DI.SNIFF_LENGTH - 3) + b"data",            # a real sign does
+        "last.csv": "\U0001f600".encode() * (DI.SNIFF_LENGTH - 4) + b"data", "none.csv": None, "empty.csv": b""}
+    rows = [(n, None if t is None else bytearray(t)) for n, t in texts.items()]
+    files = spark.createDataFrame(rows, "relative_path string, content binary")
+    want = sorted(n for n, t in texts.items() if t and "data" in t.decode("utf-8", "ignore")[:DI.SNIFF_LENGTH])
+    assert want == ["cut.csv", "far.csv", "last.csv", "odd.csv"]
+    assert sorted(r["relative_path"] for r in DI.discover_sources(files, ["*.csv"], sniff="data").collect()) == want
+    heads = {r["relative_path"]: r["head"] for r in files.select("relative_path", DI.leading_text(F.col("content")).alias("head")).collect()}
+    assert heads == {n: None if t is None else t.decode("utf-8", "ignore")[:DI.SNIFF_LENGTH] for n, t in texts.items()}
+
+
 def test_external_lists(spark, folder):
     write(folder / "a_id.json", json.dumps({"training": ["x", ["y"]], "valid": {"ids": ["v"]}, "test": {"nothing": 1}}))
     write(folder / "cross_test.json", json.dumps(["p", "q"]))
