@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from packetloom.llm.common import SPACE, byte_set, flat, ragged, ship, slices, words
+from packetloom.llm.common import SPACE, byte_set, flat, ragged, ship, slices, trim, words
 from packetloom.session import cut_lineage, scratch_path
 
 MAGIC = b"TOKSHRD1"
@@ -29,7 +29,10 @@ SHARD_BYTES = 8 << 20      # of text that one shard holds, or one longer documen
 SAMPLE_ROWS, SAMPLE_BYTES = 500, 32 << 10   # rows that the dictionary is trained on, and their longest
 DICT_BYTES = 32 << 10
 LEVEL = 1
-CACHED = 600_000           # pieces whose ids a task keeps
+SLICE = 1 << 20            # text that is encoded at once, or one longer document
+BATCH = 4096               # pieces that the tokenizer gets at once: each of its results takes far more than the ids
+CACHE_BYTES = 64 << 20     # of pieces and their ids that a worker keeps
+ENTRY_BYTES = 200          # of a piece in the cache besides its letters and ids
 NOT_SPACE = byte_set(SPACE)
 
 
@@ -45,7 +48,9 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache: dict[bytes, np.ndarray] = {}
+        self.cache: dict[bytes, int] = {}      # place of a piece in the two arrays after the ids
+        self.ids, self.first, self.number = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.held = 0
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         joined = {b for t in added for a, b in zip(t, t[1:], strict=False) if a.isalpha()}
 
@@ -56,9 +61,14 @@ class Encoder:
             if mark not in joined and all(ids(x + mark + y) == ids(x) + ids(mark + y) for x in ("a", "Thing") for y in ("", "b", mark, "'s")):
                 self.cut_before[ord(mark)] = True
 
-    def _new(self, pieces: list[bytes]) -> list[np.ndarray]:
-        found = self.tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)
-        return [np.array(e.ids, np.uint32) for e in found]
+    def _new(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the pieces, and how many each has."""
+        ids, number = [np.zeros(0, np.uint32)], []
+        for k in range(0, len(pieces), BATCH):
+            for e in self.tokenizer.encode_batch_fast([p.decode() for p in pieces[k: k + BATCH]], add_special_tokens=False):
+                ids.append(np.array(e.ids, np.uint32))
+                number.append(len(ids[-1]))
+        return np.concatenate(ids), np.array(number, np.int64)
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and how many each row has."""
@@ -78,19 +88,21 @@ class Encoder:
         pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(bounds), pa.py_buffer(inside)]).dictionary_encode()
         distinct = pieces.dictionary.to_pylist()
         get = self.cache.get
-        ids = [get(p) for p in distinct]
-        missing = [k for k, x in enumerate(ids) if x is None]
-        for k, new in zip(missing, self._new([distinct[k] for k in missing]), strict=True):
-            ids[k] = new
-            if len(self.cache) < CACHED:
-                self.cache[distinct[k]] = new
-        lengths = np.array([len(x) for x in ids], np.int64)
-        table = np.concatenate(ids)
-        begin = np.cumsum(lengths) - lengths
-        index = pieces.indices.to_numpy()
-        counts = lengths[index]
-        out = table[ragged(begin[index], counts)]
-        return out, np.bincount(row, counts, len(offsets) - 1).astype(np.int64)
+        place = np.array([get(p, -1) for p in distinct], np.int64)
+        missing = np.flatnonzero(place < 0)
+        fresh = [distinct[k] for k in missing]
+        new, number = self._new(fresh)
+        place[missing] = len(self.first) + np.arange(len(missing))
+        ids, numbers = np.concatenate([self.ids, new]), np.concatenate([self.number, number])
+        first = np.concatenate([self.first, len(self.ids) + np.cumsum(number) - number])
+        more = sum(map(len, fresh)) + 4 * len(new) + ENTRY_BYTES * len(fresh)
+        if self.held + more <= CACHE_BYTES:
+            self.held += more
+            self.cache.update(zip(fresh, place[missing].tolist(), strict=True))
+            self.ids, self.first, self.number = ids, first, numbers
+        place = place[pieces.indices.to_numpy()]
+        counts = numbers[place]
+        return ids[ragged(first[place], counts)], np.bincount(row, counts, len(offsets) - 1).astype(np.int64)
 
 
 _encoders: dict[str, Encoder] = {}
@@ -118,7 +130,8 @@ def train_dictionary(docs: DataFrame, text: str, path: str, end_id: int, seed_co
     if last is None:
         return b""
     rows = sorted(short.where(F.col("at") <= last).limit(2 * SAMPLE_ROWS).collect(), key=lambda r: (r["at"], r["text"]))[:SAMPLE_ROWS]
-    samples = with_end(*encoder(path).encode(pa.array([r["text"] for r in rows], pa.large_string())), end_id)
+    texts = pa.record_batch({"text": pa.array([r["text"] for r in rows], pa.large_string())})
+    samples = [d for part in slices(iter([texts]), "text", SLICE) for d in with_end(*encoder(path).encode(part.column("text")), end_id)]
     try:
         return zstandard.train_dictionary(DICT_BYTES, samples).as_bytes()
     except zstandard.ZstdError:
@@ -159,7 +172,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int, id_c
 
     A null id comes first, equal ids go by text; null and empty texts hold the end id alone.  Other
     columns are not written.  An empty table writes no shard.  Each task sorts a range of ids and
-    holds one shard of ``SHARD_BYTES``; a rerun task writes the same bytes.
+    holds one shard of ``SHARD_BYTES`` and encodes ``SLICE`` of it at once; a rerun task writes the same bytes.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -171,12 +184,15 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int, id_c
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         part = TaskContext.get().partitionId()
-        for k, rows in enumerate(slices(batches, "text", SHARD_BYTES)):
-            ids, counts = encoder(tokenizer).encode(rows.column("text"))
-            blob = pack(with_end(ids, counts, end_id), known.value)
-            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([k], pa.int32()), pa.array([int(counts.sum()) + rows.num_rows], pa.int64()),
-                                              pa.array([rows.column("id").to_pylist()], pa.list_(rows.schema.field("id").type)), pa.array([blob], pa.binary())],
-                                             names=["part", "shard", "tokens", "ids", "blob"])
+        try:
+            for k, rows in enumerate(slices(batches, "text", SHARD_BYTES)):
+                documents = [d for some in slices(iter([rows]), "text", SLICE) for d in with_end(*encoder(tokenizer).encode(some.column("text")), end_id)]
+                tokens = sum(map(len, documents)) // 4
+                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([k], pa.int32()), pa.array([tokens], pa.int64()),
+                                                  pa.array([rows.column("id").to_pylist()], pa.list_(rows.schema.field("id").type)), pa.array([pack(documents, known.value)], pa.binary())],
+                                                 names=["part", "shard", "tokens", "ids", "blob"])
+        finally:
+            trim()
     ordered = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).repartitionByRange("id").sortWithinPartitions("id", "text")
     ordered.mapInArrow(work, f"part int, shard int, tokens bigint, ids array<{kind}>, blob binary").write.parquet(f"{folder}/shards")
 

@@ -89,6 +89,27 @@ def base(t):
     return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t or ""), dup, len(covered)
 
 
+def test_token_encoder_keeps_few_pieces_and_gives_all_ids(monkeypatch):
+    import public_tokenizers
+
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, own = Tokenizer.from_file(path), tokenfiles.Encoder(path)
+    monkeypatch.setattr(tokenfiles, "CACHE_BYTES", 20_000)
+    monkeypatch.setattr(tokenfiles, "BATCH", 7)
+    asked = []
+    new = own._new
+    monkeypatch.setattr(own, "_new", lambda pieces: asked.append(len(pieces)) or new(pieces))
+    for k in range(6):
+        texts = [f"common words, here{k}x{i} odd{i * 7919 + k}" for i in range(30)] + ["", None, "common words"]
+        ids, counts = own.encode(pa.array(texts))
+        want = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+        assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+        assert own.held <= 20_000 and len(own.cache) == len(own.first) == len(own.number)
+    assert 0 < len(own.cache) < sum(asked)
+
+
 def test_quality_counts_and_decisions(spark):
     rnd = random.Random(2)
     good = [prose(rnd, 90).replace("\n", "und.\n") for _ in range(40)]
