@@ -2,8 +2,9 @@
 
 Spark's ``percentile`` keeps every distinct value of a group in one buffer.  Here a mergeable
 sketch only brackets the wanted ranks; the exact answer comes from counting what lies below
-the bracket and ranking the few values inside it.  The input is read twice: for the sketch and
-for the answer.  Every group takes this one path, whatever its size.
+the bracket and ranking the few values inside it.  The input is read twice: for the sketch, which
+is worked out at once and written, and for the answer.  Every group takes this one path, whatever
+its size; only for many groups do the rows have to move to their brackets.
 """
 
 from __future__ import annotations
@@ -14,8 +15,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from packetloom.operators.ordered import join_facts
+from packetloom.session import cut_lineage
 
 ACCURACY = 10_000
+BRACKET_BYTES, BROADCAST_BYTES = 256, 32 << 20   # of one bracket in memory; of those that go to every task
 PARTS = 256     # a bracket is ranked in so many ranges of values, each by itself
 
 
@@ -91,7 +94,12 @@ def _percentiles(values: DataFrame, rows: DataFrame, keys: list[str], spread: Co
             (F.lit(p) * (F.col("_size") - 1)).alias("at"))
         for i, p in enumerate(wanted)]).alias("_brackets"))
 
-    beside = join_facts(rows, brackets, keys, spread, salts, "inner")
+    brackets = cut_lineage(brackets, "brackets")
+    if brackets.count() * BRACKET_BYTES * len(wanted) <= BROADCAST_BYTES:    # rows stay where they are read
+        held_by = F.broadcast(brackets)
+        beside = rows.join(held_by, keys, "inner") if keys else rows.crossJoin(held_by)
+    else:
+        beside = join_facts(rows, brackets, keys, spread, salts, "inner")
     found = placed(beside.select(*keys, "_v", F.explode("_brackets").alias("_b")))
     x, low, high = F.col("_x"), F.col("_b.low"), F.col("_b.high")
     part = F.when(high > low, F.floor((x - low) / (high - low) * F.lit(PARTS))).otherwise(F.lit(0))

@@ -127,3 +127,15 @@ def test_representative_prefers_segments_then_native(spark):
     df = spark.createDataFrame(rows, "label_key string, recording_id string, start_seconds double, end_seconds double, "
                                      "is_native boolean, label_count long, entry_order long")
     assert {r["label_key"]: r["recording_id"] for r in D.choose_representative(df).collect()} == {"k": "c", "w": "f"}
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ranges_of_few_groups_leave_rows_where_they_are(spark):
+    df = spark.range(5_000).select((F.col("id") % 3).alias("g"), F.col("id").cast("double").alias("v"))
+    out = Q.robust_range(df, F.col("v"), ["g"])
+    assert "SortMergeJoin [g" not in plan_of(out).split("BroadcastHashJoin")[-1] and "_salt" not in plan_of(out)
+    rows = {r["g"]: (round(r["low"], 6), round(r["high"], 6)) for r in out.collect()}
+    assert rows[0] == (99.96, 4898.04) and len(rows) == 3
