@@ -12,6 +12,9 @@ from packetloom.operators.ordered import (
     PACKETS_PER_BUCKET, SECONDS_PER_BUCKET, explode_range, index_bucket, join_facts, time_bucket,
     with_change_count)
 from packetloom.operators.timeline import RECORDING
+from packetloom.session import cut_lineage
+
+FEW = 1_000_000   # recordings whose keys and rates go to every task
 
 
 def numbered_runs(df: DataFrame, label: str, keys: Sequence[str], index: str) -> DataFrame:
@@ -33,22 +36,20 @@ def label_runs(df: DataFrame, rate: DataFrame | float | None = None, label: str
 
     Recordings with at most one packet have no segments.
     """
-    runs = numbered_runs(df, label, keys, index)
-    if isinstance(rate, DataFrame):
-        runs = join_facts(runs, rate.select(*keys, F.col("sample_rate_hz").alias("_rate")),
-                          list(keys), F.col("run"))
+    # written once: the runs and what is known of their recordings both come from them
+    runs = cut_lineage(numbered_runs(df, label, keys, index), "runs")
+    known = runs.groupBy(*keys).agg(F.max("run").alias("_last"), F.max(F.col("end_index") - F.col("start_index")).alias("_size"))
+    known = known.where("_last > 1 OR _size > 1").select(*keys)
+    if isinstance(rate, DataFrame):   # only the rates of recordings that have segments go on
+        known = known.join(rate.select(*keys, F.col("sample_rate_hz").cast("double").alias("_rate")), list(keys), "left")
     else:
-        runs = runs.withColumn("_rate", F.lit(rate).cast("double"))
+        known = known.withColumn("_rate", F.lit(rate).cast("double"))
+    known = cut_lineage(known.select(*[F.col(k).alias(f"_{k}") for k in keys], "_rate"), "known")
+    known = F.broadcast(known) if known.count() <= FEW else known.hint("merge")
+    kept = runs.join(known, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]).drop(*[f"_{k}" for k in keys])
     hz = F.coalesce(F.when(F.col("_rate") != 0, F.col("_rate")), F.lit(1.0))
-    lone = (F.col("run") == 1) & (F.col("end_index") - F.col("start_index") == 1)
-    # a lone packet is a first run of length one without a second run behind it
-    runs = runs.withColumn("_lone", lone)
-    many = (runs.groupBy(*keys).agg(F.max("run").alias("_runs")).where("_runs > 1")
-            .select(*keys, F.lit(True).alias("_many")))
-    kept = runs.where(~F.col("_lone")).unionByName(
-        runs.where("_lone").join(many, list(keys), "left_semi"))
     return (kept.withColumn("start_seconds", F.col("start_index") / hz)
-            .withColumn("end_seconds", F.col("end_index") / hz).drop("_rate", "_lone"))
+            .withColumn("end_seconds", F.col("end_index") / hz).drop("_rate"))
 
 
 def longest_run(runs: DataFrame, label: str = "source_label", keys: Sequence[str] = RECORDING,

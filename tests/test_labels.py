@@ -139,3 +139,14 @@ def test_ranges_of_few_groups_leave_rows_where_they_are(spark):
     assert "SortMergeJoin [g" not in plan_of(out).split("BroadcastHashJoin")[-1] and "_salt" not in plan_of(out)
     rows = {r["g"]: (round(r["low"], 6), round(r["high"], 6)) for r in out.collect()}
     assert rows[0] == (99.96, 4898.04) and len(rows) == 3
+
+
+def test_rates_of_other_recordings_are_not_sent_along(spark):
+    rows = [("a", i, "x" if i < 3 else "y") for i in range(5)] + [("b", 0, "x")]
+    df = spark.createDataFrame(rows, "recording_id string, packet_index long, source_label string")
+    rates = spark.range(2_000).select(F.when(F.col("id") == 7, "a").otherwise(F.col("id").cast("string")).alias("recording_id"),
+                                      F.lit(2.0).alias("sample_rate_hz"))
+    out = D.label_runs(df, rates)
+    assert "_salt" not in plan_of(out) and "sample_rate_hz" not in plan_of(out)
+    got = sorted(tuple(r) for r in out.select("recording_id", "run", "end_index", "end_seconds").collect())
+    assert got == [("a", 1, 3, 1.5), ("a", 2, 5, 2.5)]
