@@ -10,7 +10,7 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as ST
 
@@ -20,6 +20,7 @@ from packetloom.operators.ordered import join_facts, with_position
 from packetloom.session import cut_lineage
 
 CHANNEL_COLUMN = r"^(real|imag|amplitude)_l(\d+)_s(\d+)$"  # fixed value: channel header
+FEW_SPLITS = 100_000   # pieces of files whose places go to every task
 CSV_CELL = r',("(?:[^"]|"")*"|[^,]*)'   # one cell and the comma before it
 
 
@@ -280,30 +281,62 @@ def read_numeric_csv(spark: SparkSession, path: str | list[str] | Chosen, strict
     ``strict`` a cell that is missing or still not a number gives the row an ``error``.
     ``keep_empty`` keeps both in their places instead, with NaN for what is no number; only blank lines go.
     """
-    rows = lines_of(spark, path)
     values = F.transform(F.split("value", ","), lambda x: x.try_cast("double"))
     if keep_empty:
-        kept = rows.where(F.trim("value") != "").select("recording_id", "_start", "_id", F.transform(
-            values, lambda x: F.coalesce(x, F.lit(float("nan")))).alias("values"))
-        return _numbered(cut_lineage(kept, "matrix"), ("recording_id",), ("_start", "_id"))
-    parsed = rows.select("recording_id", "_start", "_id", values.alias("values"))
+        parsed = F.transform(values, lambda x: F.coalesce(x, F.lit(float("nan"))))
+        return _placed(spark, cut_lineage(_kept_lines(spark, path, parsed, F.trim("value") != ""), "matrix"))
+    parsed = F.transform(values, lambda x: F.when(~F.isnan(x), x))
     # text is parsed once: finding the used columns and numbering the rows read the parsed table
-    return numeric_matrix(cut_lineage(parsed, "matrix"), strict)
+    rows = cut_lineage(_kept_lines(spark, path, parsed, F.exists("values", lambda x: x.isNotNull())), "matrix")
+    return numeric_matrix(rows, strict, numbered=_placed)
+
+
+def _kept_lines(spark: SparkSession, path: str | list[str] | Chosen, values: Column, keep: Column) -> DataFrame:
+    """``recording_id, _start, _id, values`` of the lines to keep; ``_id`` ascends by one inside a split."""
+    chosen = isinstance(path, Chosen)
+    reader = spark.read.option("recursiveFileLookup", "true") if chosen else spark.read
+    # the first number only stands here so that the filter is not moved below it, which would parse twice
+    rows = reader.text(path.root if chosen else path).select(
+        recording_of().alias("recording_id"), F.col("_metadata.file_block_start").alias("_start"), "value",
+        values.alias("values"), F.monotonically_increasing_id().alias("_id"))
+    rows = rows.where(keep).select("recording_id", "_start", F.monotonically_increasing_id().alias("_id"), "values")
+    return of_chosen(rows, path, F.col("_id"))
+
+
+def _placed(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """``row_index`` of written ``_kept_lines``: no row moves, a split adds what the splits before it hold."""
+    splits = rows.groupBy("recording_id", "_start").agg(F.min("_id").alias("_least"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("recording_id").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
+    splits = cut_lineage(splits.select("recording_id", "_start", (
+        F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_least")).alias("_add")), "splits")
+    few = splits.count() <= FEW_SPLITS
+    return rows.join(F.broadcast(splits) if few else splits, ["recording_id", "_start"]).withColumn(
+        "row_index", F.col("_id") + F.col("_add")).drop("_start", "_id", "_add")
 
 
 def numeric_matrix(rows: DataFrame, strict: bool = True,
                    keys: Sequence[str] = ("recording_id",),
-                   order: Sequence[str] = ("_start", "_id")) -> DataFrame:
-    """Clean parsed matrix rows and number them in file order."""
-    rows = rows.withColumn("values", F.transform(
-        "values", lambda x: F.when(~F.isnan(x), x)))
-    filled = rows.where(F.exists("values", lambda x: x.isNotNull()))
+                   order: Sequence[str] = ("_start", "_id"), numbered=None) -> DataFrame:
+    """Clean parsed matrix rows and number them in file order.
+
+    ``numbered`` (session, rows) numbers rows that are clean already.
+    """
+    filled = rows
+    if numbered is None:
+        rows = rows.withColumn("values", F.transform(
+            "values", lambda x: F.when(~F.isnan(x), x)))
+        filled = rows.where(F.exists("values", lambda x: x.isNotNull()))
     used = (filled.select(*keys, F.explode(F.filter(F.transform(
                 "values", lambda x, i: F.when(x.isNotNull(), i)), lambda i: i.isNotNull())).alias("_c"))
             .distinct().groupBy(*keys).agg(F.sort_array(F.collect_set("_c")).alias("_keep")))
-    placed = join_facts(filled, used, list(keys), F.col(order[-1]), how="inner").withColumn(
-        "values", F.transform("_keep", lambda i: F.get(F.col("values"), i))).drop("_keep")
-    out = _numbered(placed, keys, order)
+    def packed(rows: DataFrame, spread: str) -> DataFrame:
+        return join_facts(rows, used, list(keys), F.col(spread), how="inner").withColumn(
+            "values", F.transform("_keep", lambda i: F.get(F.col("values"), i))).drop("_keep")
+
+    if numbered is None:
+        out = _numbered(packed(filled, order[-1]), keys, order)
+    else:
+        out = packed(numbered(rows.sparkSession, filled), "row_index")
     if strict:
         out = out.withColumn("error", F.when(F.exists("values", lambda x: x.isNull()), F.lit(
             "not a rectangular numeric CSV")))

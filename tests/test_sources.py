@@ -46,6 +46,23 @@ def test_row_order_survives_file_splits(spark, folder):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_lines_are_numbered_where_they_are(spark, folder):
+    for name, first in (("a", 0), ("b", 50_000)):
+        write(folder / "in" / f"{name}.csv", "".join(f"{first + i},\n" + ("no,number\n" if i % 3 == 0 else "") for i in range(6_000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
+    try:
+        for keep_empty in (False, True):
+            rows = TX.read_numeric_csv(spark, str(folder / "in"), strict=False, keep_empty=keep_empty)
+            assert "Window" not in rows._jdf.queryExecution().executedPlan().toString()
+            found = rows.groupBy("recording_id").agg(F.count("*").alias("n"), F.count_distinct("row_index").alias("d"), F.max("row_index").alias("m")).collect()
+            assert [(r.n, r.d, r.m + 1) for r in found] == [(8_000 if keep_empty else 6_000,) * 3] * 2
+            if not keep_empty:
+                assert rows.where(F.get("values", F.lit(0)) % 50_000 != F.col("row_index")).count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_ragged_and_incomplete_json(spark, folder):
     good = {"t": 1.0, "csi": [[{"r": 1, "i": 2}, {"r": 3, "i": 4}], [{"r": 5, "i": 6}, {"r": 7, "i": 8}]]}
     ragged = {"t": 2.0, "csi": [[{"r": 1, "i": 2}], [{"r": 5, "i": 6}, {"r": 7, "i": 8}]]}
