@@ -23,7 +23,7 @@ UNKNOWN = -1                # a code point that is no piece
 CACHE_BYTES = 32 << 20      # of words and their pieces that a task keeps; it drops them at its end
 ENTRY_BYTES = 150           # of a word in the cache besides its letters and ids
 MET_BITS = 20               # piece pairs whose answer a task keeps, as a power of two
-SLICE = 4 << 20             # text whose distinct words advance together
+SLICE = 1 << 20             # text whose distinct words advance together
 _STEP = np.uint64(0x9FB21C651E98DF25)
 _PAIR = np.uint64(0xD1342543DE82EF95)
 _HIGH = np.uint64(43)       # the top 21 bits of a key tell most misses without a search
@@ -315,7 +315,6 @@ def codec(path: str, kind: str = "bpe") -> Codec:
 def release(path: str, kind: str) -> None:
     """What a task does at its end: workers are used again, by other operators too."""
     codec(path, kind).forget()
-    pa.default_memory_pool().release_unused()
 
 
 def encode_pieces(docs: DataFrame, model: str, kind: str = "bpe", text: str = "text") -> DataFrame:
