@@ -3,8 +3,10 @@
 Spark's ``percentile`` keeps every distinct value of a group in one buffer.  Here a mergeable
 sketch only brackets the wanted ranks; the exact answer comes from counting what lies below
 the bracket and ranking the few values inside it.  The input is read twice: for the sketch, which
-is worked out at once and written, and for the answer.  Every group takes this one path, whatever
-its size; only for many groups do the rows have to move to their brackets.
+is worked out at once and written, and for the answer.  Where ``sizes`` of the groups are given, as
+many small groups (recordings) call for, those of up to ``SMALL_GROUP`` values are sorted as one array
+each instead.  Otherwise every group takes the first path, whatever its size; only for many groups do
+the rows have to move to their brackets.
 """
 
 from __future__ import annotations
@@ -19,13 +21,18 @@ from packetloom.session import cut_lineage
 
 ACCURACY = 10_000
 BRACKET_BYTES, BROADCAST_BYTES = 256, 32 << 20   # of one bracket in memory; of those that go to every task
+SMALL_GROUP = 20_000    # values of a group that one task may hold
 PARTS = 256     # a bracket is ranked in so many ranges of values, each by itself
 
 
 def exact_percentiles(df: DataFrame, keys: Sequence[str], value: Column,
                       probabilities: Mapping[str, float], accuracy: int = ACCURACY,
-                      salts: int = 8) -> DataFrame:
-    """One row per group with linearly interpolated percentiles, NULL and NaN left out."""
+                      salts: int = 8, sizes: DataFrame | None = None) -> DataFrame:
+    """One row per group with linearly interpolated percentiles, NULL and NaN left out.
+
+    ``sizes`` (keys and ``_size``) has the number of values of each group, or more.
+    """
+    keys = list(keys)
     thin = df.select(*keys, value.cast("double").alias("_v")).where(
         F.col("_v").isNotNull() & ~F.isnan("_v"))
     v, low, high = F.col("_v"), F.col("_b.low"), F.col("_b.high")
@@ -36,12 +43,15 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: Column,
             F.when(v <= high, F.lit(1)).otherwise(F.lit(0)).cast("long").alias("_n"),
             F.when(v < low, v).alias("_under"), F.when(v > high, v).alias("_above"))
 
-    return _percentiles(thin, thin, list(keys), F.hash("_v"), placed, probabilities, accuracy, salts)
+    def bracketed(rows: DataFrame) -> DataFrame:
+        return _percentiles(rows, rows, keys, F.hash("_v"), placed, probabilities, accuracy, salts)
+
+    return _by_size(thin, keys, sizes, F.collect_list("_v"), bracketed, probabilities)
 
 
 def exact_cell_percentiles(df: DataFrame, keys: Sequence[str], cells: Column,
                            probabilities: Mapping[str, float], accuracy: int = ACCURACY,
-                           salts: int = 8) -> DataFrame:
+                           salts: int = 8, sizes: DataFrame | None = None) -> DataFrame:
     """``exact_percentiles`` over all elements of the array ``cells`` of doubles.
 
     The bracket goes to the packet: what lies outside is counted inside its array, and only the
@@ -64,8 +74,35 @@ def exact_cell_percentiles(df: DataFrame, keys: Sequence[str], cells: Column,
         return flat.select(*keys, "_b", F.explode(F.concat(F.array(outside), inside)).alias("_r")).select(
             *keys, "_b", "_r.*")
 
-    values = packets.select(*keys, F.explode("_v").alias("_v"))
-    return _percentiles(values, packets, keys, F.xxhash64("_v"), placed, probabilities, accuracy, salts)
+    def bracketed(rows: DataFrame) -> DataFrame:
+        values = rows.select(*keys, F.explode("_v").alias("_v"))
+        return _percentiles(values, rows, keys, F.xxhash64("_v"), placed, probabilities, accuracy, salts)
+
+    return _by_size(packets, keys, sizes, F.flatten(F.collect_list("_v")), bracketed, probabilities)
+
+
+def _by_size(rows: DataFrame, keys: list[str], sizes: DataFrame | None, gathered: Column, bracketed,
+             probabilities: Mapping[str, float]) -> DataFrame:
+    """Percentiles of ``gathered``, the values of a group as one array, and ``bracketed`` for large groups.
+
+    The keys of large groups go to every task: at most one for ``SMALL_GROUP`` values.
+    """
+    if sizes is None or not keys:
+        return bracketed(rows)
+    large = cut_lineage(sizes.where(F.col("_size") > SMALL_GROUP).select(*keys), "large")
+    some = not large.isEmpty()
+    small = rows.join(F.broadcast(large), keys, "left_anti") if some else rows
+    for k in keys:      # as joins with the brackets do
+        small = small.where(F.col(k).isNotNull())
+    ordered = small.groupBy(*keys).agg(F.sort_array(gathered).alias("_sorted"))
+
+    def at(p: float) -> Column:
+        place = F.lit(float(p)) * (F.size("_sorted") - 1)
+        first, second = (F.get("_sorted", end(place).cast("int")) for end in (F.floor, F.ceil))
+        return first + (second - first) * (place - F.floor(place))
+
+    done = ordered.select(*keys, *[at(p).alias(n) for n, p in probabilities.items()])
+    return done.unionByName(bracketed(rows.join(F.broadcast(large), keys, "left_semi"))) if some else done
 
 
 def _percentiles(values: DataFrame, rows: DataFrame, keys: list[str], spread: Column, placed,
@@ -140,4 +177,6 @@ def _percentiles(values: DataFrame, rows: DataFrame, keys: list[str], spread: Co
 
 def exact_median(df: DataFrame, keys: Sequence[str], value: Column, out: str,
                  salts: int = 8) -> DataFrame:
-    return exact_percentiles(df, keys, value, {out: 0.5}, salts=salts)
+    """Medians of recordings; ``df`` is read twice, or more often for large groups."""
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
+    return exact_percentiles(df, keys, value, {out: 0.5}, salts=salts, sizes=sizes)

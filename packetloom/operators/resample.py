@@ -26,52 +26,113 @@ def _between(a: Column, b: Column, weight: Column) -> Column:
         x.cast("double") + (y.cast("double") - x.cast("double")) * weight).cast("float"))
 
 
-def _on_line(y0: Column, y1: Column, run: Column, x: Column) -> Column:
+def _slopes(y0: Column, y1: Column, run: Column) -> Column:
+    """Change per second of every channel, 0 behind the last packet (``run`` is NULL)."""
+    return F.when(run.isNull(), F.transform(y0, lambda a: F.lit(0.0))).otherwise(
+        F.zip_with(y0, y1, lambda a, b: (b.cast("double") - a.cast("double")) / run))
+
+
+def _on_line(y0: Column, slope: Column, x: Column) -> Column:
     """Slope form, evaluated in double and cast last."""
-    return F.zip_with(y0, y1, lambda a, b: (
-        (b.cast("double") - a.cast("double")) / run * x + a.cast("double")).cast("float"))
+    return F.zip_with(y0, slope, lambda a, m: (m * x + a.cast("double")).cast("float"))
 
 
 def grid_length(duration: Column, rate_hz: float) -> Column:
     return F.greatest(F.lit(1), F.rint(duration * F.lit(float(rate_hz)))).cast("long")
 
 
-def resample_time(df: DataFrame, rate_hz: float, duration_s: float | None = None,
-                  keys: Sequence[str] = RECORDING, time: str = "timestamp_s",
-                  signals: Sequence[str] = ("csi_real", "csi_imag"),
-                  bucket_s: float = SECONDS_PER_BUCKET) -> DataFrame:
-    """Linear interpolation of array columns at ``k / rate_hz``, held flat past the last packet.
+def grid_spans(df: DataFrame, keys: Sequence[str] = RECORDING, time: str = "timestamp_s",
+               signals: Sequence[str] = ("csi_real", "csi_imag"),
+               bucket_s: float = SECONDS_PER_BUCKET) -> DataFrame:
+    """Every packet with the time of its successor (``after_s``) and the slopes of its signals up to there:
+    all that the grid points between them need.
 
-    Input is what ``prepare_time`` returns.  The result carries ``before_s`` and ``after_s``,
-    the timestamps of the packets around each grid point, for ``mark_valid``.
+    Input is what ``prepare_time`` returns.
     """
+    keys = list(keys)
+    rows = df.select(*keys, time, *signals).withColumn("_bucket", time_bucket(time, bucket_s))
+    rows = with_neighbour(rows, keys, [time], "_bucket", [time, *signals], "_next")
+    after = F.col(f"_next.{time}")
+    rows = rows.withColumn("after_s", after).withColumn("_run", after - F.col(time))
+    return rows.select(*keys, time, "after_s", *signals, *[
+        _slopes(F.col(s), F.col(f"_next.{s}"), F.col("_run")).alias(f"slope_{s}") for s in signals])
+
+
+def span_duration(rate_hz: float, duration_s: float | None = None, last: str = "timestamp_s") -> Column:
+    """Seconds on the grid of a recording whose last packet is at ``last``."""
+    return F.lit(float(duration_s)) if duration_s is not None else F.col(last) + F.lit(1.0) / F.lit(float(rate_hz))
+
+
+def _grid_range(rate_hz: float, duration_s: float | None, time: str) -> tuple[Column, Column]:
+    """First and last grid point that a span may have, a little wider than it is."""
     if rate_hz <= 0:
         raise ValueError("rate_hz must be positive")
     if duration_s is not None and duration_s <= 0:
         raise ValueError("duration_s must be positive")
-    keys, rate = list(keys), F.lit(float(rate_hz))
-    rows = df.select(*keys, time, *signals).withColumn("_bucket", time_bucket(time, bucket_s))
-    rows = with_neighbour(rows, keys, [time], "_bucket", [time, *signals], "_next")
+    rate, after = F.lit(float(rate_hz)), F.col("after_s")
     # Only the last packet of a recording has no successor; it alone needs the grid length,
     # so no per-recording fact has to be joined to every packet.
-    span = F.lit(float(duration_s)) if duration_s is not None else F.col(time) + F.lit(1.0) / rate
-    after = F.col(f"_next.{time}")
+    final = grid_length(span_duration(rate_hz, duration_s, time), rate_hz) - 1
+    last = F.coalesce(F.ceil(after * rate) + 1, final)
     first = F.greatest(F.floor(F.col(time) * rate) - 1, F.lit(0).cast("long"))
-    if duration_s is not None:
-        final = grid_length(F.lit(float(duration_s)), rate_hz) - 1
-        last = F.least(F.coalesce(F.ceil(after * rate) + 1, final), final)
-    else:
-        last = F.coalesce(F.ceil(after * rate) + 1, grid_length(span, rate_hz) - 1)
-    grid = explode_range(rows, first, last, "_k").withColumn("_at", F.col("_k") / rate)
-    grid = grid.where((F.col("_at") >= F.col(time)) & (after.isNull() | (F.col("_at") < after)))
-    # columns of their own: below, the name of the time column already means the grid point
-    grid = grid.withColumn("_run", after - F.col(time)).withColumn("_x", F.col("_at") - F.col(time))
-    run, x = F.col("_run"), F.col("_x")
-    values = [F.when(after.isNull(), as_floats(s))
-              .otherwise(_on_line(F.col(s), F.col(f"_next.{s}"), run, x)).alias(s)
-              for s in signals]
+    return first, last if duration_s is None else F.least(last, final)
+
+
+def _inside_span(at: Column, time: str) -> Column:
+    return (at >= F.col(time)) & (F.col("after_s").isNull() | (at < F.col("after_s")))
+
+
+def on_grid(spans: DataFrame, rate_hz: float, duration_s: float | None = None,
+            keys: Sequence[str] = RECORDING, time: str = "timestamp_s",
+            signals: Sequence[str] = ("csi_real", "csi_imag"), keep: Sequence[str] = ()) -> DataFrame:
+    """Grid points of ``grid_spans``, each from its own span, so that no grid point is moved.
+
+    ``keep`` names columns of the spans that their grid points get.
+    """
+    first, last = _grid_range(rate_hz, duration_s, time)
+    grid = explode_range(spans, first, last, "_k").withColumn("_at", F.col("_k") / F.lit(float(rate_hz)))
+    # a column of its own: below, the name of the time column already means the grid point
+    grid = grid.where(_inside_span(F.col("_at"), time)).withColumn("_x", F.col("_at") - F.col(time))
+    values = [_on_line(F.col(s), F.col(f"slope_{s}"), F.col("_x")).alias(s) for s in signals]
     return grid.select(*keys, F.col("_k").alias("packet_index"), F.col("_at").alias(time),
-                       F.col(time).alias("before_s"), after.alias("after_s"), *values)
+                       F.col(time).alias("before_s"), "after_s", *values, *keep)
+
+
+def valid_amplitudes(spans: DataFrame, gaps: DataFrame, rate_hz: float, duration_s: float | None = None,
+                     keys: Sequence[str] = RECORDING, time: str = "timestamp_s", chunk: int = 4096) -> DataFrame:
+    """``amplitude`` of ``valid_grid``, all cells of a span's valid grid points in one array.
+
+    Long spans give an array for every ``chunk`` points.
+    """
+    keys, rate = list(keys), F.lit(float(rate_hz))
+    first, last = _grid_range(rate_hz, duration_s, time)
+    rows = join_facts(spans, gaps.select(*keys, "median_gap_s"), keys, F.hash(time))
+    rows = rows.withColumn("_first", first).withColumn("_last", last).where("_first <= _last")
+    rows = rows.withColumn("_k", F.explode(F.sequence("_first", "_last", F.lit(chunk).cast("long"))))
+    rows = rows.withColumn("_reach", _tolerance(rate_hz))
+    points = F.transform(F.sequence("_k", F.least(F.col("_k") + F.lit(chunk - 1), F.col("_last"))), lambda k: k / rate)
+    points = F.filter(points, lambda at: _inside_span(at, time) & _is_valid(
+        at, F.col(time), F.col("after_s"), F.col("_reach")))
+    cells = F.transform(F.transform(points, lambda at: at - F.col(time)), lambda x: amplitude(
+        _on_line(F.col("csi_real"), F.col("slope_csi_real"), x), _on_line(F.col("csi_imag"), F.col("slope_csi_imag"), x)))
+    return rows.select(*keys, F.flatten(cells).alias("amplitude"))
+
+
+def resample_time(df: DataFrame, rate_hz: float, duration_s: float | None = None,
+                  keys: Sequence[str] = RECORDING, time: str = "timestamp_s",
+                  signals: Sequence[str] = ("csi_real", "csi_imag"),
+                  bucket_s: float = SECONDS_PER_BUCKET) -> DataFrame:
+    """Linear interpolation of array columns at ``k / rate_hz``, held flat past the last packet.
+
+    Input is what ``prepare_time`` returns.  The result carries ``before_s`` and ``after_s``,
+    the timestamps of the packets around each grid point, for ``mark_valid``.
+    """
+    return on_grid(grid_spans(df, keys, time, signals, bucket_s), rate_hz, duration_s, keys, time, signals)
+
+
+def span_gaps(spans: DataFrame, keys: Sequence[str] = RECORDING, time: str = "timestamp_s") -> DataFrame:
+    """``median_gap_s`` of written spans."""
+    return exact_median(spans, keys, F.col("after_s") - F.col(time), "median_gap_s")
 
 
 def median_gap(df: DataFrame, keys: Sequence[str] = RECORDING, time: str = "timestamp_s",
@@ -81,30 +142,49 @@ def median_gap(df: DataFrame, keys: Sequence[str] = RECORDING, time: str = "time
     return exact_median(gaps, keys, F.col("gap_s"), "median_gap_s")
 
 
-def mark_valid(grid: DataFrame, gaps: DataFrame, rate_hz: float, keys: Sequence[str] = RECORDING,
-               time: str = "timestamp_s",
+def _tolerance(rate_hz: float) -> Column:
+    return F.greatest(F.lit(1.5 / float(rate_hz)), F.lit(1.5) * F.col("median_gap_s"))
+
+
+def _is_valid(at: Column, before: Column, after: Column, tolerance: Column) -> Column:
+    nearest = F.least(at - before, F.coalesce(after - at, at - before))
+    return (after.isNotNull() | (at <= before)) & (nearest <= tolerance)
+
+
+def valid_only(grid: DataFrame, rate_hz: float, time: str = "timestamp_s",
                signals: Sequence[str] = ("csi_real", "csi_imag")) -> DataFrame:
-    """``valid``: inside the observed range and close enough to a real packet; invalid signal is 0."""
-    nearest = F.least(F.col(time) - F.col("before_s"),
-                      F.coalesce(F.col("after_s") - F.col(time), F.col(time) - F.col("before_s")))
-    tolerance = F.greatest(F.lit(1.5 / float(rate_hz)), F.lit(1.5) * F.col("median_gap_s"))
-    inside = F.col("after_s").isNotNull() | (F.col(time) <= F.col("before_s"))
-    rows = join_facts(grid, gaps.select(*keys, "median_gap_s"), list(keys), F.col("packet_index"))
-    rows = rows.withColumn("valid", inside & (nearest <= tolerance))
+    """``mark_valid`` of grid points that have their recording's ``median_gap_s``."""
+    rows = grid.withColumn("valid", _is_valid(F.col(time), F.col("before_s"), F.col("after_s"), _tolerance(rate_hz)))
     for s in signals:
         rows = rows.withColumn(s, F.when(F.col("valid"), F.col(s)).otherwise(
             F.transform(F.col(s), lambda x: F.lit(0).cast("float"))))
     return rows.drop("before_s", "after_s", "median_gap_s")
 
 
+def mark_valid(grid: DataFrame, gaps: DataFrame, rate_hz: float, keys: Sequence[str] = RECORDING,
+               time: str = "timestamp_s",
+               signals: Sequence[str] = ("csi_real", "csi_imag")) -> DataFrame:
+    """``valid``: inside the observed range and close enough to a real packet; invalid signal is 0."""
+    rows = join_facts(grid, gaps.select(*keys, "median_gap_s"), list(keys), F.col("packet_index"))
+    return valid_only(rows, rate_hz, time, signals)
+
+
+def valid_grid(spans: DataFrame, facts: DataFrame, rate_hz: float, duration_s: float | None = None,
+               keys: Sequence[str] = RECORDING) -> DataFrame:
+    """Uniform grid with validity and amplitude; ``facts`` has ``median_gap_s`` of each recording, and what
+    its grid points are to get besides.  Facts go to the spans, which may be far fewer than the grid points."""
+    keep = [c for c in facts.columns if c not in keys]
+    rows = join_facts(spans, facts, list(keys), F.hash("timestamp_s"))
+    grid = on_grid(rows, rate_hz, duration_s, keys, keep=keep)
+    return valid_only(grid, rate_hz).withColumn("amplitude", amplitude("csi_real", "csi_imag"))
+
+
 def standard_grid(df: DataFrame, rate_hz: float, duration_s: float | None = None,
                   keys: Sequence[str] = RECORDING,
                   bucket_s: float = SECONDS_PER_BUCKET) -> DataFrame:
     """Cleaned packets -> uniform grid with validity and amplitude."""
-    grid = resample_time(df, rate_hz, duration_s, keys, bucket_s=bucket_s)
-    gaps = median_gap(df, keys, bucket_s=bucket_s)
-    return mark_valid(grid, gaps, rate_hz, keys).withColumn(
-        "amplitude", amplitude("csi_real", "csi_imag"))
+    spans = cut_lineage(grid_spans(df, keys, bucket_s=bucket_s), "spans")
+    return valid_grid(spans, span_gaps(spans, keys), rate_hz, duration_s, keys)
 
 
 def packet_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -31,28 +31,37 @@ def from_polar(df: DataFrame) -> DataFrame:
             .withColumn("csi_imag", A.polar_imag(amp, "phase_rad")))
 
 
-def reference_power(df: DataFrame, keys: Sequence[str] = RECORDING) -> DataFrame:
-    """Median power over the valid cells of a recording, at least the smallest float32."""
+def reference_power(df: DataFrame, keys: Sequence[str] = RECORDING, sizes: DataFrame | None = None) -> DataFrame:
+    """Median power over the valid cells of a recording, at least the smallest float32.
+
+    ``sizes`` (keys and ``_size``, its cells or more) saves counting them.
+    """
     valid = F.col("valid") if "valid" in df.columns else F.lit(True)
-    power = exact_cell_percentiles(df.where(valid), keys, F.transform(A.as_doubles("amplitude"), lambda a: a * a),
-                                   {"reference_power": 0.5})
+    if sizes is None:
+        sizes = df.groupBy(*keys).agg(F.sum(F.size("amplitude")).alias("_size"))
+    power = exact_cell_percentiles(df.where(valid), keys, F.transform("amplitude", lambda a: a.cast("double") * a.cast("double")),
+                                   {"reference_power": 0.5}, sizes=sizes)
     return power.withColumn("reference_power", F.greatest("reference_power", F.lit(A.FLOAT32_TINY)))
 
 
-def power_db_rel(df: DataFrame, keys: Sequence[str] = RECORDING) -> DataFrame:
-    """Power in dB relative to the recording's median valid power; invalid packets are 0.
-
-    The reference is 1 for a recording without valid cells, and stays in the result.
-    """
+def relative_power(df: DataFrame) -> DataFrame:
+    """``power_db_rel`` of packets that have their recording's ``reference_power``."""
     valid = F.col("valid") if "valid" in df.columns else F.lit(True)
-    rows = join_facts(df, reference_power(df, keys), list(keys), F.xxhash64("amplitude"))
-    rows = rows.withColumn("reference_power", F.coalesce("reference_power", F.lit(1.0)))
+    rows = df.withColumn("reference_power", F.coalesce("reference_power", F.lit(1.0)))
     return rows.withColumn("power_db_rel", F.transform("amplitude", lambda a: F.when(
         valid, F.lit(10.0) * F.log10(
             F.greatest(a.cast("double") * a.cast("double"), F.lit(A.FLOAT32_TINY))
             / F.col("reference_power"))).otherwise(F.lit(0.0)).cast("float")))
 
 
+def power_db_rel(df: DataFrame, keys: Sequence[str] = RECORDING) -> DataFrame:
+    """Power in dB relative to the recording's median valid power; invalid packets are 0.
+
+    The reference is 1 for a recording without valid cells, and stays in the result.
+    """
+    return relative_power(join_facts(df, reference_power(df, keys), list(keys), F.xxhash64("amplitude")))
+
+
 def deinterleave_iq(df: DataFrame, column: str) -> DataFrame:
     """Split ``[I, R, I, R, ...]``; an odd number of values is an error."""
     rows = flagged(df, column, F.size(column) % 2 == 0, "an interleaved I/R vector needs an even number of values")

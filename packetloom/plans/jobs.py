@@ -16,7 +16,7 @@ from packetloom.operators import timeline as TL
 from packetloom.operators import windows as W
 from packetloom.operators.layout import canonicalize_links
 from packetloom.operators.quality import quality_report
-from packetloom.operators.signal import power_db_rel
+from packetloom.operators.signal import reference_power, relative_power
 from packetloom.plans.profiles import ViewOptions, resolve_profile, task_view
 from packetloom.plans.registry import DATASET_PROFILES, SOURCE_PATTERNS, split_setting
 from packetloom.plans.views import SIGNALS, build_view, describe_clips
@@ -34,12 +34,20 @@ def standardize_packets(packets: DataFrame, rate_hz: float = 100.0, duration_s:
                         bucket_s: float = TL.SECONDS_PER_BUCKET) -> DataFrame:
     """Raw packets on a uniform grid with validity, amplitude and relative power.
 
-    The cleaned packets are written once: five branches read them (grid, its edges, gaps and the
-    two passes of the median), each only the columns it needs.
+    Written are the packets beside their successors and one row of facts a recording.  The grid,
+    which may have many points a packet, is neither written nor moved: it is made from the spans
+    once for the reference power and once for the result.
     """
+    keys = ["recording_id"]
     cleaned = cut_lineage(TL.prepare_time(packets), "cleaned")
-    grid = cut_lineage(R.standard_grid(cleaned, rate_hz, duration_s, bucket_s=bucket_s), "grid")
-    return power_db_rel(grid)
+    spans = cut_lineage(R.grid_spans(cleaned, bucket_s=bucket_s), "spans")
+    gaps = cut_lineage(R.span_gaps(spans), "gaps")
+    cells = R.grid_length(R.span_duration(rate_hz, duration_s, "_end"), rate_hz) * F.col("_width")
+    sizes = spans.groupBy(*keys).agg(F.max("timestamp_s").alias("_end"), F.max(F.size("csi_real")).alias("_width")).select(
+        *keys, cells.alias("_size"))
+    reference = reference_power(R.valid_amplitudes(spans, gaps, rate_hz, duration_s), sizes=sizes)
+    facts = cut_lineage(gaps.join(reference, keys, "left"), "facts")
+    return relative_power(R.valid_grid(spans, facts, rate_hz, duration_s))
 
 
 STANDARD_AXES = ("time", "link", "subcarrier")
