@@ -11,7 +11,7 @@ from packetloom.functions import arrays as A
 from packetloom.functions.vocabularies import HT_LTF_INDICES, L_LTF_INDICES
 from packetloom.operators.errors import flagged
 from packetloom.operators.ordered import join_facts
-from packetloom.operators.quantiles import exact_cell_percentiles
+from packetloom.operators.quantiles import exact_cell_percentiles, exact_percentiles
 from packetloom.operators.timeline import RECORDING
 
 
@@ -31,19 +31,22 @@ def from_polar(df: DataFrame) -> DataFrame:
             .withColumn("csi_imag", A.polar_imag(amp, "phase_rad")))
 
 
-def reference_power(df: DataFrame, keys: Sequence[str] = RECORDING, sizes: DataFrame | None = None) -> DataFrame:
-    """Median power over the valid cells of a recording, at least the smallest float32.
-
-    ``sizes`` (keys and ``_size``, its cells or more) saves counting them.
-    """
+def reference_power(df: DataFrame, keys: Sequence[str] = RECORDING) -> DataFrame:
+    """Median power over the valid cells of a recording, at least the smallest float32."""
     valid = F.col("valid") if "valid" in df.columns else F.lit(True)
-    if sizes is None:
-        sizes = df.groupBy(*keys).agg(F.sum(F.size("amplitude")).alias("_size"))
+    sizes = df.groupBy(*keys).agg(F.sum(F.size("amplitude")).alias("_size"))
     power = exact_cell_percentiles(df.where(valid), keys, F.transform("amplitude", lambda a: a.cast("double") * a.cast("double")),
                                    {"reference_power": 0.5}, sizes=sizes)
     return power.withColumn("reference_power", F.greatest("reference_power", F.lit(A.FLOAT32_TINY)))
 
 
+def reference_power_of_cells(cells: DataFrame, sizes: DataFrame, keys: Sequence[str] = RECORDING) -> DataFrame:
+    """``reference_power`` of valid cells in rows; ``sizes`` (keys and ``_size``) has their number, or more."""
+    a = F.col("amplitude").cast("double")
+    power = exact_percentiles(cells, keys, a * a, {"reference_power": 0.5}, sizes=sizes)
+    return power.withColumn("reference_power", F.greatest("reference_power", F.lit(A.FLOAT32_TINY)))
+
+
 def relative_power(df: DataFrame) -> DataFrame:
     """``power_db_rel`` of packets that have their recording's ``reference_power``."""
     valid = F.col("valid") if "valid" in df.columns else F.lit(True)

@@ -16,7 +16,7 @@ from packetloom.operators import timeline as TL
 from packetloom.operators import windows as W
 from packetloom.operators.layout import canonicalize_links
 from packetloom.operators.quality import quality_report
-from packetloom.operators.signal import reference_power, relative_power
+from packetloom.operators.signal import reference_power_of_cells, relative_power
 from packetloom.plans.profiles import ViewOptions, resolve_profile, task_view
 from packetloom.plans.registry import DATASET_PROFILES, SOURCE_PATTERNS, split_setting
 from packetloom.plans.views import SIGNALS, build_view, describe_clips
@@ -45,7 +45,7 @@ def standardize_packets(packets: DataFrame, rate_hz: float = 100.0, duration_s:
     cells = R.grid_length(R.span_duration(rate_hz, duration_s, "_end"), rate_hz) * F.col("_width")
     sizes = spans.groupBy(*keys).agg(F.max("timestamp_s").alias("_end"), F.max(F.size("csi_real")).alias("_width")).select(
         *keys, cells.alias("_size"))
-    reference = reference_power(R.valid_amplitudes(spans, gaps, rate_hz, duration_s), sizes=sizes)
+    reference = reference_power_of_cells(R.valid_cells(spans, gaps, rate_hz, duration_s), sizes)
     facts = cut_lineage(gaps.join(reference, keys, "left"), "facts")
     return relative_power(R.valid_grid(spans, facts, rate_hz, duration_s))
 

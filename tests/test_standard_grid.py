@@ -39,7 +39,7 @@ def test_percentiles_of_small_and_large_groups(spark, monkeypatch):
 
 
 @pytest.mark.parametrize("duration", [None, 4.0])
-def test_amplitudes_of_spans_are_those_of_the_grid(spark, duration):
+def test_cells_of_spans_are_those_of_the_grid(spark, duration):
     rng = np.random.default_rng(7)
     rows = []
     for name, n in (("a", 40), ("b", 3)):
@@ -51,6 +51,6 @@ def test_amplitudes_of_spans_are_those_of_the_grid(spark, duration):
     spans = R.grid_spans(TL.prepare_time(df), bucket_s=0.7)
     gaps = R.span_gaps(spans)
     grid = R.valid_grid(spans, gaps, 7.0, duration).where("valid").select("recording_id", F.explode("amplitude").alias("x"))
-    made = R.valid_amplitudes(spans, gaps, 7.0, duration, chunk=3).select("recording_id", F.explode("amplitude").alias("x"))
+    made = R.valid_cells(spans, gaps, 7.0, duration).select("recording_id", F.col("amplitude").alias("x"))
     want, got = (sorted(tuple(r) for r in x.where("x is not null").collect()) for x in (grid, made))
     assert got == want and len(got) > 40
